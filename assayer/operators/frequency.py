@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 from pyspark.sql.window import Window
 
 from assayer.config import LIMITS, Limits
@@ -46,30 +48,64 @@ def missing_counts(df: DataFrame) -> DataFrame:
     return long.withColumn("missing_pct", share_pct(F.col("missing"), F.col("rows")))
 
 
-def _key_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(ordinal, missing, n_nonnull, n_unique), exact.
+def _key_counts(parts: list[tuple[DataFrame, dict[int, StructField]]]) -> DataFrame:
+    """(ordinal, missing, n_nonnull, n_unique), exact, for columns of one or many tables.
 
     Columns are melted per key class, so that a number is grouped as a number
-    and each scan reads only the columns of its class. The aggregate on
-    (ordinal, value) combines before the shuffle: a value that holds a third
-    of the rows is one row per map task.
+    and each scan reads only the columns of its class; tables share the
+    aggregate of a class. The aggregate on (ordinal, value) combines before
+    the shuffle: a value that holds a third of the rows is one row per map
+    task.
     """
-    chosen = set(columns)
-    classes: dict[str, dict] = {}
-    for i, field in enumerate(df.schema.fields):
-        if field.name in chosen:
-            classes.setdefault(key_class(field.dataType), {})[i] = group_key(ref(field.name), field.dataType)
-    parts = []
-    for values in classes.values():
-        counts = melt(df, values).groupBy("ordinal", "value").agg(F.count(F.lit(1)).alias("n"))
-        parts.append(
-            counts.groupBy("ordinal").agg(
-                F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
-                F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("n_nonnull"),
-                F.count("value").alias("n_unique"),
-            )
+    classes: dict[str, list[DataFrame]] = {}
+    for df, fields in parts:
+        of_class: dict[str, dict[int, Column]] = {}
+        for i, f in fields.items():
+            of_class.setdefault(key_class(f.dataType), {})[i] = group_key(ref(f.name), f.dataType)
+        for cls, values in of_class.items():
+            classes.setdefault(cls, []).append(melt(df, values))
+    counted = [
+        union_all(melted)
+        .groupBy("ordinal", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("ordinal")
+        .agg(
+            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
+            F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("n_nonnull"),
+            F.count("value").alias("n_unique"),
         )
-    return union_all(parts)
+        for melted in classes.values()
+    ]
+    return union_all(counted)
+
+
+_STATS = ("rows", "missing", "missing_pct", "n_nonnull", "n_unique")
+
+
+def tables_stats(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]] | None = None) -> DataFrame:
+    """(dataset, ordinal, column, dtype, rows, missing, missing_pct, n_nonnull, n_unique) of many tables."""
+    parts, listed = [], []
+    for name in sorted(tables):
+        df = nan_to_null(tables[name])
+        chosen = set(df.columns if columns is None else columns.get(name, []))
+        fields = {}
+        for i, f in enumerate(df.schema.fields):
+            if f.name in chosen:
+                fields[len(listed)] = f
+                listed.append((len(listed), name, i, f.name, f.dataType.simpleString()))
+        parts.append((df, fields))
+    schema = {"place": "int", "dataset": "string", "ordinal": "int", "column": "string", "dtype": "string"}
+    names = small_relation(next(iter(tables.values())).sparkSession, schema, listed)
+    if listed:
+        # the counts are one row per column
+        counts = _key_counts([p for p in parts if p[1]]).withColumnRenamed("ordinal", "place")
+        counted = names.join(F.broadcast(counts), "place", "left").na.fill(0, ["missing", "n_nonnull", "n_unique"])
+    else:
+        counted = names.withColumns({c: F.lit(0).cast("bigint") for c in ("missing", "n_nonnull", "n_unique")})
+    counted = counted.withColumn("rows", F.col("missing") + F.col("n_nonnull"))
+    return counted.withColumn("missing_pct", share_pct(F.col("missing"), F.col("rows"))).select(
+        "dataset", "ordinal", "column", "dtype", *_STATS
+    )
 
 
 def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -77,31 +113,7 @@ def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
     (ordinal, column, dtype, rows, missing, missing_pct, n_nonnull, n_unique)
     """
-    df = nan_to_null(df)
-    names = df.columns if columns is None else [c for c in df.columns if c in set(columns)]
-    listed = column_list(df, names)
-    if not names:
-        return listed.select(
-            "ordinal",
-            "column",
-            "dtype",
-            *[F.lit(0).cast("bigint").alias(c) for c in ("rows", "missing")],
-            F.lit(0.0).alias("missing_pct"),
-            *[F.lit(0).cast("bigint").alias(c) for c in ("n_nonnull", "n_unique")],
-        )
-    # the counts are one row per column
-    counted = listed.join(F.broadcast(_key_counts(df, names)), "ordinal", "left").na.fill(0, ["missing", "n_nonnull", "n_unique"])
-    rows = F.col("missing") + F.col("n_nonnull")
-    return counted.select(
-        "ordinal",
-        "column",
-        "dtype",
-        rows.alias("rows"),
-        "missing",
-        share_pct(F.col("missing"), rows).alias("missing_pct"),
-        "n_nonnull",
-        "n_unique",
-    )
+    return tables_stats({"": df}, None if columns is None else {"": columns}).drop("dataset")
 
 
 def labelled(df: DataFrame, stats: DataFrame) -> DataFrame:

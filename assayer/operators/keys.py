@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer.config import DEFAULTS, Thresholds
-from assayer.functions.columns import group_key, nan_to_null, ref
-from assayer.functions.relations import melt, small_relation
-from assayer.operators.frequency import column_stats
+from assayer.functions.columns import group_key, key_class, nan_to_null, ref
+from assayer.functions.relations import melt, one_row_per, small_relation
+from assayer.operators.frequency import column_stats, tables_stats, union_all
 
 
 def single_keys(stats: DataFrame) -> DataFrame:
@@ -19,6 +20,59 @@ def single_keys(stats: DataFrame) -> DataFrame:
     return stats.where(is_key).select("ordinal", "column")
 
 
+def possible_keys(
+    tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]] | None = None
+) -> dict[str, list[str]]:
+    """Columns that one scan without a shuffle cannot rule out as key.
+
+    A gap rules a column out, and so does a range of whole numbers smaller
+    than the number of rows. The driver sees a few numbers per column.
+    """
+    parts, names = [], []
+    for dataset in sorted(tables):
+        df = nan_to_null(tables[dataset])
+        chosen = set(df.columns if columns is None else columns.get(dataset, []))
+        fields = [f for f in df.schema.fields if f.name in chosen]
+        aggregates, structs = [F.count(F.lit(1)).alias("rows")], []
+        for i, f in enumerate(fields):
+            ranged = key_class(f.dataType) == "bigint"
+            value = group_key(ref(f.name), f.dataType) if ranged else F.lit(None).cast("bigint")
+            aggregates += [
+                F.count(ref(f.name)).alias(f"n{i}"),
+                F.min(value).alias(f"lo{i}"),
+                F.max(value).alias(f"hi{i}"),
+            ]
+            structs.append(
+                F.struct(
+                    F.lit(len(names)).alias("place"),
+                    F.col("rows"),
+                    F.col(f"n{i}").alias("n"),
+                    F.col(f"lo{i}").alias("lo"),
+                    F.col(f"hi{i}").alias("hi"),
+                )
+            )
+            names.append((dataset, f.name))
+        if structs:
+            parts.append(one_row_per(df.agg(*aggregates), structs))
+    kept: dict[str, list[str]] = {}
+    for row in union_all(parts).orderBy("place").collect() if parts else []:
+        wide = row["lo"] is None or row["hi"] - row["lo"] + 1 >= row["rows"]
+        if row["rows"] > 0 and row["n"] == row["rows"] and wide:
+            dataset, column = names[row["place"]]
+            kept.setdefault(dataset, []).append(column)
+    return kept
+
+
+def all_single_keys(
+    tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]] | None = None
+) -> DataFrame:
+    """(dataset, ordinal, column) of the single keys of many tables, in one exact count of what remains."""
+    kept = possible_keys(tables, columns)
+    stats = tables_stats(tables, kept)
+    is_key = (F.col("rows") > 0) & (F.col("missing") == 0) & (F.col("n_unique") == F.col("rows"))
+    return stats.where(is_key).select("dataset", "ordinal", "column")
+
+
 def key_candidates(stats: DataFrame, rules: Thresholds = DEFAULTS) -> DataFrame:
     """(ordinal, column, score, rank): the columns worth trying in pairs, best first."""
     ratio = F.col("n_unique") / F.nullif(F.col("rows"), F.lit(0))

@@ -14,8 +14,8 @@ from assayer.config import CONTRIBUTION_TARGET_WORDS, DEFAULTS, Thresholds
 from assayer.functions.columns import compact, nan_to_null, normalize_name, ref, text_key
 from assayer.functions.relations import melt, small_relation
 from assayer.functions.types import INTEGRAL, columns_of, dtype_family
-from assayer.operators.frequency import column_stats, union_all
-from assayer.operators.keys import single_keys
+from assayer.operators.frequency import union_all
+from assayer.operators.keys import all_single_keys
 
 Tables = Mapping[str, DataFrame]
 
@@ -53,19 +53,12 @@ def match_groups(entries: list[Entry]) -> dict[str, list[Entry]]:
 
 def all_keys(tables: Tables, groups: dict[str, list[Entry]] | None = None) -> DataFrame:
     """(dataset, ordinal, column) of single keys; only among matched columns if ``groups`` is given."""
-    parts = []
-    for dataset in sorted(tables):
-        chosen = None
-        if groups is not None:
-            chosen = [e.column for g in groups.values() for e in g if e.dataset == dataset]
-            if not chosen:
-                continue
-        keys = single_keys(column_stats(tables[dataset], chosen))
-        parts.append(keys.select(F.lit(dataset).alias("dataset"), "ordinal", "column"))
-    if not parts:
-        spark = next(iter(tables.values())).sparkSession
-        return small_relation(spark, {"dataset": "string", "ordinal": "int", "column": "string"}, [])
-    return union_all(parts)
+    if groups is None:
+        return all_single_keys(tables)
+    matched: dict[str, list[str]] = {}
+    for e in (e for g in groups.values() for e in g):
+        matched.setdefault(e.dataset, []).append(e.column)
+    return all_single_keys(tables, matched)
 
 
 def matching_columns(tables: Tables, name_map: Mapping[str, str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.functions.relations import small_relation
-from assayer.operators.frequency import column_stats, duplicate_rows, labelled, missing_counts, union_all
+from assayer.operators.frequency import duplicate_rows, labelled, missing_counts, union_all
 
 DATASET_SCHEMA = {
     "dataset": "string",
@@ -49,8 +49,3 @@ def inspect_all_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(
         [inspect_columns(tables[name]).select(F.lit(name).alias("dataset"), "*") for name in sorted(tables)]
     )
-
-
-def base_statistics(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``column_stats`` of many tables in one relation."""
-    return union_all([column_stats(tables[name]).select(F.lit(name).alias("dataset"), "*") for name in sorted(tables)])

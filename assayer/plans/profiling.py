@@ -89,7 +89,7 @@ def explore(
     outliers = pinned(iqr_outliers(df, rules=rules, limits=limits, quantiles=quantiles))
     pairs = pinned(correlations(df, limits=limits))
     base = facts.select("ordinal", "column", "label", "rows", "missing", "missing_pct", "n_unique")
-    numbers = _numeric_section(df, quantiles, outliers)
+    numbers = numeric_section(df, rules, limits, quantiles, outliers)
     return {
         "overview": overview(df),
         "columns": base,
@@ -104,9 +104,19 @@ def explore(
     }
 
 
-def _numeric_section(df: DataFrame, quantiles: DataFrame, outliers: DataFrame) -> DataFrame:
+def numeric_section(
+    df: DataFrame,
+    rules: Thresholds = DEFAULTS,
+    limits: Limits = LIMITS,
+    quantiles: DataFrame | None = None,
+    outliers: DataFrame | None = None,
+) -> DataFrame:
+    """(ordinal, column, n, mean, std, min, q1, median, q3, max, outliers, outlier_pct)."""
+    df = nan_to_null(df)
     if not columns_of(df.schema, is_numeric):
-        return outliers
+        return iqr_outliers(df)
+    quantiles = pinned(exact_quantiles(df, limits=limits)) if quantiles is None else quantiles
+    outliers = iqr_outliers(df, rules=rules, limits=limits, quantiles=quantiles) if outliers is None else outliers
     quartiles = quantiles.select(
         "ordinal", *[F.get("quantiles", F.lit(j)).alias(c) for j, c in enumerate(("q1", "median", "q3"))]
     )

@@ -300,7 +300,7 @@ def overview(spark, folder):
     ),
 )
 def numeric_section(spark, folder):
-    found = profiling.explore(source(spark, folder, "orders_wide"))["numeric"]
+    found = profiling.numeric_section(source(spark, folder, "orders_wide"))
     return _rounded(found).withColumn("outlier_pct", F.round("outlier_pct", 4)).withColumns(
         {c: F.col(c).cast("double") for c in ("min", "max")}
     )
