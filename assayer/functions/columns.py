@@ -51,11 +51,10 @@ def text_key(value: Column, dtype: T.DataType) -> Column:
         return value
     if isinstance(dtype, T.BinaryType):
         return F.base64(value)
-    if isinstance(dtype, T.MapType):
-        return F.to_json(F.struct(F.array_sort(F.map_entries(value)).alias("v")))
-    if isinstance(dtype, (T.ArrayType, T.StructType)):
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        shown = F.array_sort(F.map_entries(value)) if isinstance(dtype, T.MapType) else value
         # to_json never returns null, so a missing value is kept apart
-        return F.when(value.isNotNull(), F.to_json(F.struct(value.alias("v"))))
+        return F.when(value.isNotNull(), F.to_json(F.struct(shown.alias("v"))))
     return value.cast("string")
 
 

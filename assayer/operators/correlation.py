@@ -30,11 +30,14 @@ def _few_columns(df: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
     aggregates = []
     for k, (i, j) in enumerate(pairs):
         a, b = numeric_value(df.columns[i]), numeric_value(df.columns[j])
-        both = a.isNotNull() & b.isNotNull()
+        left, right = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
         aggregates += [
             F.covar_pop(a, b).alias(f"c{k}"),
-            F.var_pop(F.when(both, a)).alias(f"a{k}"),
-            F.var_pop(F.when(both, b)).alias(f"b{k}"),
+            F.var_pop(left).alias(f"a{k}"),
+            F.var_pop(right).alias(f"b{k}"),
+            # rounding leaves a constant column some variance
+            (F.min(left) < F.max(left)).alias(f"va{k}"),
+            (F.min(right) < F.max(right)).alias(f"vb{k}"),
         ]
     return one_row_per(
         df.agg(*aggregates),
@@ -42,7 +45,9 @@ def _few_columns(df: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
             F.struct(
                 F.lit(i).alias("a"),
                 F.lit(j).alias("b"),
-                _ratio(F.col(f"c{k}"), F.col(f"a{k}"), F.col(f"b{k}")).alias("r"),
+                F.when(
+                    F.col(f"va{k}") & F.col(f"vb{k}"), _ratio(F.col(f"c{k}"), F.col(f"a{k}"), F.col(f"b{k}"))
+                ).alias("r"),
             )
             for k, (i, j) in enumerate(pairs)
         ],

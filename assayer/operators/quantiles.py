@@ -1,16 +1,18 @@
 """Exact quantiles with linear interpolation, without one task holding a column.
 
 Spark's own ``percentile`` ends in one task with every distinct value of the
-column. Here a column of up to ``exact_rank_rows`` rows is ranked through its
-counted distinct values. A longer one is first narrowed: an approximate sketch
-proposes a bracket around each quantile, exact counts confirm it, and only the
-rows inside the bracket are ranked. Brackets cost scans, not shuffles.
+column. Here a table of up to ``exact_rank_rows`` rows is ranked through its
+counted distinct values. In a longer one an approximate sketch proposes a
+bracket around each quantile, exact counts confirm it, and only the rows
+strictly inside the bracket are ranked. Brackets cost scans, not shuffles: a
+round divides the rows that are left by some thousands.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,92 +55,145 @@ def _ranked_whole(df: DataFrame, values: dict[int, Column], probs: tuple[float,
 
 @dataclass
 class _Bracket:
-    """Closed value range known to hold the ranks ``low`` and ``high`` (from 0)."""
+    """Where the ranks ``low`` and ``high`` (from 0) of one column lie.
+
+    Without edges it is the whole column. With edges, ``below`` rows come
+    before the lower one, ``at_lower`` rows equal it and ``interior`` rows lie
+    strictly between both.
+    """
 
     ordinal: int
     slot: int
-    rows: int
     place: float
-    lower: float = -math.inf
-    upper: float = math.inf
+    interior: int
+    edges: tuple[float, float] | None = None
     below: int = 0
-    inside: int = 0
-    interior: int = 0
+    at_lower: int = 0
     spread: float = 1.0
 
     @property
-    def low(self) -> int:
-        return math.floor(self.place)
+    def ranks(self) -> tuple[int, int]:
+        return math.floor(self.place), math.ceil(self.place)
+
+    def interior_value(self, value: Column) -> Column:
+        if self.edges is None:
+            return value
+        return F.when((value > F.lit(self.edges[0])) & (value < F.lit(self.edges[1])), value)
+
+    def settle(self, rank: int) -> tuple[float | None, int | None]:
+        """The value at a rank if an edge has it, else its rank inside."""
+        if self.edges is None:
+            return None, rank
+        inside = rank - self.below - self.at_lower
+        if inside < 0:
+            return self.edges[0], None
+        return (None, inside) if inside < self.interior else (self.edges[1], None)
 
     @property
-    def high(self) -> int:
-        return math.ceil(self.place)
+    def is_open(self) -> bool:
+        """Some rank lies strictly inside."""
+        return any(self.settle(rank)[0] is None for rank in self.ranks)
+
 
-    def holds(self, value: Column) -> Column:
-        return value.between(F.lit(self.lower), F.lit(self.upper))
+def _propose(df: DataFrame, values: dict[int, Column], pending: list[_Bracket], limits: Limits) -> list[tuple]:
+    """Approximate edges for every bracket; one sketch serves all brackets of one range."""
+    step = 3.0 / limits.sketch_accuracy
+    ranges: dict[tuple, list[float]] = {}
+    slots: list[list] = []
+    for b in pending:
+        start = b.below + b.at_lower
+        wanted = (
+            (b.ranks[0] - start) / b.interior - step * b.spread,
+            (b.ranks[1] - start + 1) / b.interior + step * b.spread,
+        )
+        fractions = ranges.setdefault((b.ordinal, b.edges), [])
+        found: list = []
+        for side, p in enumerate(wanted):
+            if b.edges is not None and not 0.0 < p < 1.0:
+                # the rank may lie on the edge itself, which stays
+                found.append(("edge", b.edges[side]))
+            else:
+                found.append(("sketch", (b.ordinal, b.edges), len(fractions)))
+                fractions.append(min(1.0, max(0.0, p)))
+        slots.append(found)
+    sketched = {k: p for k, p in ranges.items() if p}
+    if not sketched:
+        return [tuple(s[1] for s in pair) for pair in slots]
+    of_range = {(b.ordinal, b.edges): b for b in pending}
+    row = df.agg(
+        *[
+            F.percentile_approx(of_range[k].interior_value(values[k[0]]), p, limits.sketch_accuracy).alias(f"s{i}")
+            for i, (k, p) in enumerate(sketched.items())
+        ]
+    ).first()
+    answers = dict(zip(sketched, row))
+    return [tuple(s[1] if s[0] == "edge" else answers[s[1]][s[2]] for s in pair) for pair in slots]
 
 
 def _narrow(df: DataFrame, values: dict[int, Column], brackets: list[_Bracket], limits: Limits) -> None:
-    """Shrink every bracket until few values lie strictly inside it."""
-    step = 3.0 / limits.sketch_accuracy
+    """Shrink every bracket until few rows lie strictly inside it. Proposals count only once confirmed."""
     for _ in range(30):
-        pending = [b for b in brackets if b.interior > limits.exact_rank_rows]
+        pending = [b for b in brackets if b.is_open and b.interior > limits.exact_rank_rows]
         if not pending:
             return
-        sketches = []
-        for i, b in enumerate(pending):
-            first = max(0.0, (b.low - b.below) / b.inside - step * b.spread)
-            last = min(1.0, (b.high - b.below + 1) / b.inside + step * b.spread)
-            held = F.when(b.holds(values[b.ordinal]), values[b.ordinal])
-            sketches.append(F.percentile_approx(held, [first, last], limits.sketch_accuracy).alias(f"s{i}"))
-        proposed = df.agg(*sketches).first()
+        proposed = _propose(df, values, pending, limits)
         checks = []
-        for i, b in enumerate(pending):
-            v, (lo, hi) = values[b.ordinal], proposed[i]
+        for i, (b, (lo, hi)) in enumerate(zip(pending, proposed)):
+            v = values[b.ordinal]
             checks += [
                 F.count_if(v < F.lit(lo)).alias(f"b{i}"),
-                F.count_if(v.between(F.lit(lo), F.lit(hi))).alias(f"i{i}"),
+                F.count_if(v == F.lit(lo)).alias(f"l{i}"),
                 F.count_if((v > F.lit(lo)) & (v < F.lit(hi))).alias(f"t{i}"),
+                F.count_if(v <= F.lit(hi)).alias(f"u{i}"),
             ]
         exact = df.agg(*checks).first()
-        for i, b in enumerate(pending):
-            below, inside, interior = exact[f"b{i}"], exact[f"i{i}"], exact[f"t{i}"]
-            if below <= b.low and below + inside > b.high:
-                b.lower, b.upper = proposed[i]
-                b.below, b.inside, b.interior = below, inside, interior
+        for i, (b, edges) in enumerate(zip(pending, proposed)):
+            low, high = b.ranks
+            if exact[f"b{i}"] <= low and exact[f"u{i}"] > high:
+                b.edges, b.below, b.at_lower, b.interior = edges, exact[f"b{i}"], exact[f"l{i}"], exact[f"t{i}"]
             else:
                 b.spread *= 4
 
 
-def _ranked_brackets(df: DataFrame, values: dict[int, Column], brackets: list[_Bracket], slots: int) -> DataFrame:
-    """Rank the distinct values inside each bracket and read off the quantiles."""
-    if not brackets:
-        return small_relation(df.sparkSession, {"ordinal": "int", "quantile": "double", "slot": "int"}, []).select(
-            "ordinal", F.array("quantile").alias("quantiles")
+def _read_off(df: DataFrame, values: dict[int, Column], brackets: list[_Bracket], slots: int) -> DataFrame:
+    """Values at the ranks: from an edge, or by ranking the few rows strictly inside a bracket."""
+    rows, open_brackets = [], []
+    for k, b in enumerate(brackets):
+        (lo_value, lo_rank), (hi_value, hi_rank) = map(b.settle, b.ranks)
+        rows.append((k, b.ordinal, b.slot, b.place - b.ranks[0], lo_value, lo_rank, hi_value, hi_rank))
+        if lo_value is None or hi_value is None:
+            open_brackets.append(k)
+    schema = {"bracket": "int", "ordinal": "int", "slot": "int", "weight": "double"}
+    schema |= {"lo_value": "double", "lo_rank": "bigint", "hi_value": "double", "hi_rank": "bigint"}
+    places = small_relation(df.sparkSession, schema, rows)
+    if open_brackets:
+        inside = {k: brackets[k].interior_value(values[brackets[k].ordinal]) for k in open_brackets}
+        # only rows inside some bracket are melted
+        held = df.where(reduce(lambda a, b: a | b, [v.isNotNull() for v in inside.values()]))
+        counts = (
+            melt(held, inside)
+            .where(F.col("value").isNotNull())
+            .groupBy(F.col("ordinal").alias("bracket"), "value")
+            .agg(F.count(F.lit(1)).alias("n"))
         )
-    held = {k: F.when(b.holds(values[b.ordinal]), values[b.ordinal]) for k, b in enumerate(brackets)}
-    counts = melt(df, held).where(F.col("value").isNotNull()).groupBy("ordinal", "value").agg(F.count(F.lit(1)).alias("n"))
-    places = small_relation(
-        df.sparkSession,
-        {"ordinal": "int", "source": "int", "slot": "int", "low": "bigint", "high": "bigint", "weight": "double"},
-        [
-            (k, b.ordinal, b.slot, b.low - b.below, b.high - b.below, b.place - b.low)
-            for k, b in enumerate(brackets)
-        ],
-    )
-    upto = Window.partitionBy("ordinal").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    picked = (
-        counts.withColumn("seen", F.sum("n").over(upto))
-        .join(F.broadcast(places), "ordinal")
-        .groupBy("source", "slot", "weight")
-        .agg(
-            F.min(F.when(F.col("seen") > F.col("low"), F.col("value"))).alias("lo"),
-            F.min(F.when(F.col("seen") > F.col("high"), F.col("value"))).alias("hi"),
+        upto = Window.partitionBy("bracket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = (
+            counts.withColumn("seen", F.sum("n").over(upto))
+            .join(F.broadcast(places.select("bracket", "lo_rank", "hi_rank")), "bracket")
+            .groupBy("bracket")
+            .agg(
+                F.min(F.when(F.col("seen") > F.col("lo_rank"), F.col("value"))).alias("lo_found"),
+                F.min(F.when(F.col("seen") > F.col("hi_rank"), F.col("value"))).alias("hi_found"),
+            )
         )
-        .withColumn("quantile", _interpolate(F.col("lo"), F.col("hi"), F.col("weight")))
-    )
+        # one row per quantile of a column
+        settled = places.join(F.broadcast(ranked), "bracket", "left")
+        lo, hi = F.coalesce("lo_value", "lo_found"), F.coalesce("hi_value", "hi_found")
+    else:
+        settled, lo, hi = places, F.col("lo_value"), F.col("hi_value")
+    quantile = settled.withColumn("quantile", _interpolate(lo, hi, F.col("weight")))
     by_slot = [F.max(F.when(F.col("slot") == j, F.col("quantile"))) for j in range(slots)]
-    return picked.groupBy(F.col("source").alias("ordinal")).agg(F.array(*by_slot).alias("quantiles"))
+    return quantile.groupBy("ordinal").agg(F.array(*by_slot).alias("quantiles"))
 
 
 def exact_quantiles(
@@ -152,18 +207,18 @@ def exact_quantiles(
     chosen = set(numeric_columns(df) if columns is None else columns)
     values = {i: numeric_value(c) for i, c in enumerate(df.columns) if c in chosen}
     if not values:
-        return _ranked_brackets(df, values, [], len(probs))
+        return _read_off(df, values, [], len(probs))
     if df.count() <= limits.exact_rank_rows:
         return _ranked_whole(df, values, probs)
     rows = df.agg(*[F.count(v).alias(str(i)) for i, v in values.items()]).first()
     brackets = [
-        _Bracket(i, j, rows[str(i)], p * (rows[str(i)] - 1), inside=rows[str(i)], interior=rows[str(i)])
+        _Bracket(i, j, p * (rows[str(i)] - 1), rows[str(i)])
         for i in values
         for j, p in enumerate(probs)
         if rows[str(i)]
     ]
     _narrow(df, values, brackets, limits)
-    return _ranked_brackets(df, values, brackets, len(probs))
+    return _read_off(df, values, brackets, len(probs))
 
 
 def approximate_quantiles(

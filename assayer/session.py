@@ -27,17 +27,22 @@ def build_session(app_name: str = "assayer", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only an unset session (a test on one machine) falls back to a local
-    temporary folder.
+    Only a session that names none (a test on one machine) gets a local
+    temporary folder, one per application.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="assayer-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="assayer-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
