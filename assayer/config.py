@@ -79,6 +79,7 @@ class Limits:
     salts: int = 64
     exact_rank_rows: int = 1 << 20
     sketch_accuracy: int = 10_000
+    sketched_columns: int = 24
     pairwise_columns: int = 3
 
 

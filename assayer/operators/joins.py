@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assayer.config import LIMITS, Limits
 from assayer.functions.columns import nan_to_null, ref
+from assayer.functions.types import value_bytes
 from assayer.operators.frequency import logical_size
 
 
@@ -20,6 +21,14 @@ def rename_collisions(left: DataFrame, right: DataFrame, key: str, suffix: str)
     return renamed
 
 
+def fits_broadcast(df: DataFrame, limits: Limits = LIMITS) -> bool:
+    """Measured, not guessed. A table whose row count alone is too large is not read for its texts."""
+    width = max(1, sum(value_bytes(f.dataType) or 0 for f in df.schema.fields))
+    if df.count() * width > limits.broadcast_bytes:
+        return False
+    return logical_size(df).first()["bytes"] <= limits.broadcast_bytes
+
+
 def hot_keys(df: DataFrame, key: str, limits: Limits = LIMITS) -> list:
     """Key values, null among them, that hold more than ``hot_key_share`` of the rows.
 
@@ -68,8 +77,7 @@ def left_join(
     left, right = nan_to_null(left), nan_to_null(right)
     renamed = rename_collisions(left, right, key, suffix)
     added = [c for c in renamed.columns if c != key]
-    small = logical_size(right).first()["bytes"] <= limits.broadcast_bytes
-    if small:
+    if fits_broadcast(right, limits):
         on = [key]
         probe, build = left, F.broadcast(renamed)
     else:

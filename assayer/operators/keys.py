@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from assayer.config import DEFAULTS, Thresholds
 from assayer.functions.columns import group_key, key_class, nan_to_null, ref
-from assayer.functions.relations import melt, one_row_per, small_relation
+from assayer.functions.relations import melt, small_relation
 from assayer.operators.frequency import column_stats, tables_stats, union_all
 
 
@@ -32,33 +32,32 @@ def possible_keys(
     for dataset in sorted(tables):
         df = nan_to_null(tables[dataset])
         chosen = set(df.columns if columns is None else columns.get(dataset, []))
-        fields = [f for f in df.schema.fields if f.name in chosen]
-        aggregates, structs = [F.count(F.lit(1)).alias("rows")], []
-        for i, f in enumerate(fields):
-            ranged = key_class(f.dataType) == "bigint"
-            value = group_key(ref(f.name), f.dataType) if ranged else F.lit(None).cast("bigint")
-            aggregates += [
-                F.count(ref(f.name)).alias(f"n{i}"),
-                F.min(value).alias(f"lo{i}"),
-                F.max(value).alias(f"hi{i}"),
-            ]
-            structs.append(
-                F.struct(
-                    F.lit(len(names)).alias("place"),
-                    F.col("rows"),
-                    F.col(f"n{i}").alias("n"),
-                    F.col(f"lo{i}").alias("lo"),
-                    F.col(f"hi{i}").alias("hi"),
-                )
-            )
-            names.append((dataset, f.name))
-        if structs:
-            parts.append(one_row_per(df.agg(*aggregates), structs))
+        values = {}
+        for f in df.schema.fields:
+            if f.name in chosen:
+                ranged = key_class(f.dataType) == "bigint"
+                present = F.when(ref(f.name).isNotNull(), F.lit(0).cast("bigint"))
+                values[len(names)] = group_key(ref(f.name), f.dataType) if ranged else present
+                names.append((dataset, f.name, ranged))
+        if values:
+            parts.append(melt(df, values))
+    if not parts:
+        return {}
+    # combined to one row per column in every task; all tables share the shuffle
+    found = (
+        union_all(parts)
+        .groupBy("ordinal")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count("value").alias("n"),
+            F.min("value").alias("lo"),
+            F.max("value").alias("hi"),
+        )
+    )
     kept: dict[str, list[str]] = {}
-    for row in union_all(parts).orderBy("place").collect() if parts else []:
-        wide = row["lo"] is None or row["hi"] - row["lo"] + 1 >= row["rows"]
-        if row["rows"] > 0 and row["n"] == row["rows"] and wide:
-            dataset, column = names[row["place"]]
+    for row in sorted(found.collect(), key=lambda r: r["ordinal"]):
+        dataset, column, ranged = names[row["ordinal"]]
+        if row["n"] == row["rows"] and not (ranged and row["hi"] - row["lo"] + 1 < row["rows"]):
             kept.setdefault(dataset, []).append(column)
     return kept
 

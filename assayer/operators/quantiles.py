@@ -210,15 +210,21 @@ def exact_quantiles(
         return _read_off(df, values, [], len(probs))
     if df.count() <= limits.exact_rank_rows:
         return _ranked_whole(df, values, probs)
-    rows = df.agg(*[F.count(v).alias(str(i)) for i, v in values.items()]).first()
-    brackets = [
-        _Bracket(i, j, p * (rows[str(i)] - 1), rows[str(i)])
-        for i in values
-        for j, p in enumerate(probs)
-        if rows[str(i)]
-    ]
-    _narrow(df, values, brackets, limits)
-    return _read_off(df, values, brackets, len(probs))
+    found = []
+    ordinals = list(values)
+    # a task holds one sketch per column, so wide tables go in several passes over few columns each
+    for start in range(0, len(ordinals), limits.sketched_columns):
+        chunk = {i: values[i] for i in ordinals[start : start + limits.sketched_columns]}
+        rows = df.agg(*[F.count(v).alias(str(i)) for i, v in chunk.items()]).first()
+        brackets = [
+            _Bracket(i, j, p * (rows[str(i)] - 1), rows[str(i)])
+            for i in chunk
+            for j, p in enumerate(probs)
+            if rows[str(i)]
+        ]
+        _narrow(df, chunk, brackets, limits)
+        found.append(_read_off(df, chunk, brackets, len(probs)))
+    return reduce(DataFrame.unionByName, found)
 
 
 def approximate_quantiles(

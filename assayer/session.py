@@ -51,12 +51,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def pinned(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and kept in the shared folder.
+    """The same rows, computed once and kept as a table in the shared folder.
 
-    For small intermediate findings that several later steps read. They
-    survive the loss of executors.
+    For findings that several later steps read, and for sources that are
+    costly to parse. The table survives the loss of executors, and its size
+    is known to the planner.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    path = scratch_path(df.sparkSession, "table")
+    plain.write.parquet(path)
+    return df.sparkSession.read.schema(plain.schema).parquet(path).toDF(*df.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from assayer.config import FALSE_TOKENS, MISSING_TOKENS, TRUE_TOKENS
 from assayer.functions.columns import ref
 from assayer.operators.frequency import union_all
+from assayer.session import pinned
 
 # Fixed patterns of what counts as a number in text.
 INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
@@ -97,6 +98,12 @@ def infer_types(df: DataFrame) -> DataFrame:
     return df.select(typed)
 
 
-def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A typed table from CSV files with a header row."""
-    return infer_types(blank_missing(read_csv_text(spark, path)))
+def read_csv(spark: SparkSession, path: str | list[str], staged: bool = True) -> DataFrame:
+    """A typed table from CSV files with a header row.
+
+    Staged, the text is parsed once into the shared folder and types are
+    found there: a file with quoted newlines is read by a single task, so it
+    should not be read again for every operator.
+    """
+    text = blank_missing(read_csv_text(spark, path))
+    return infer_types(pinned(text) if staged else text)

@@ -56,7 +56,7 @@ def test_duplicate_keys(right):
     assert joins.duplicate_keys(right, "absent").first()[0] == 0
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(KEYS, KEYS, st.booleans())
 def test_diagnostics_agree_with_the_join(spark, rows, lefts, rights, null_safe):
     left = spark.createDataFrame([(k, i) for i, k in enumerate(lefts)], "k int, i int")
@@ -88,6 +88,14 @@ def test_large_sides_are_not_broadcast(spark, capsys):
     assert joined.count() == 51
 
 
+def test_a_key_with_most_rows_is_joined_whole(spark):
+    left = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7 ELSE id END AS k", "id")
+    right = spark.range(3000).selectExpr("id AS k", "id * 2 AS v")
+    joined = joins.left_join(left, right, "k", "_r", limits=SHUFFLED)
+    row = joined.selectExpr("count(*)", "count_if(k = 7 AND v = 14)", "count_if(k IS NULL AND v IS NULL)", "count(v)").first()
+    assert tuple(row) == (3000, 1000, 1000, 2000)
+
+
 def test_collapse(spark, rows):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, None), (2, None), (None, "z")], "k int, v string")
     assert rows(joins.collapse(df, "k", "v", "vs", "n")) == [(1, "a; b", 2)]

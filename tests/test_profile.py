@@ -38,7 +38,7 @@ def df(spark, frame):
     [
         Limits(),
         Limits(exact_rank_rows=200, sketch_accuracy=50),
-        Limits(exact_rank_rows=5, sketch_accuracy=20),
+        Limits(exact_rank_rows=5, sketch_accuracy=20, sketched_columns=3),
         Limits(exact_rank_rows=2000, sketch_accuracy=10_000),
     ],
 )

@@ -1,4 +1,10 @@
-"""Every registered query against its checking SQL, over whole tables of the smallest scale."""
+"""Registered queries against their checking SQL, over whole tables of the smallest scale.
+
+``check.py`` runs all of them on any scale. Here those that only show the
+links found by f9 in another form wait for ALL_QUERIES=1.
+"""
+
+import os
 
 import duckdb
 import pytest
@@ -7,6 +13,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, compare
 
 FOLDER = "/root/testdata/sf0.001"
+SAME_LINKS = {"f8_compatibility", "f10_merge_guidance", "f11_standalone", "f15_relationship_listing", "f16_summary"}
+CHOSEN = sorted(set(queries()) - (set() if os.environ.get("ALL_QUERIES") else SAME_LINKS))
 
 
 @pytest.fixture(scope="module")
@@ -17,11 +25,15 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", CHOSEN)
 def test_query(spark, database, name):
     outcome = compare(queries()[name], oracle_sql().get(name), spark, database, FOLDER, [])
     assert outcome.startswith("ok"), outcome
 
 
+def test_every_query_has_checking_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
