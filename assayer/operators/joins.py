@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from assayer.config import LIMITS, Limits
 from assayer.functions.columns import nan_to_null, ref
-from assayer.functions.types import value_bytes
 from assayer.operators.frequency import logical_size
 
 
@@ -22,10 +21,7 @@ def rename_collisions(left: DataFrame, right: DataFrame, key: str, suffix: str)
 
 
 def fits_broadcast(df: DataFrame, limits: Limits = LIMITS) -> bool:
-    """Measured, not guessed. A table whose row count alone is too large is not read for its texts."""
-    width = max(1, sum(value_bytes(f.dataType) or 0 for f in df.schema.fields))
-    if df.count() * width > limits.broadcast_bytes:
-        return False
+    """Measured in one scan without a shuffle, not guessed."""
     return logical_size(df).first()["bytes"] <= limits.broadcast_bytes
 
 

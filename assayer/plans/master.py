@@ -13,6 +13,7 @@ from assayer.functions.relations import small_relation
 from assayer.operators.clean import clean_text_counts, clean_text_rows
 from assayer.operators.frequency import logical_size, union_all
 from assayer.operators.joins import join_diagnostics, left_join, skipped_step
+from assayer.session import pinned
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,8 @@ def build_master(
     report = []
     for number, step in enumerate(steps, 1):
         if step.table in tables:
-            right = tables[step.table] if step.reduce is None else step.reduce(tables[step.table])
+            # a reduced table is measured, described and joined: it is computed once
+            right = tables[step.table] if step.reduce is None else pinned(step.reduce(tables[step.table]))
             row = join_diagnostics(master, right, step.key, step.suffix, step.title, step.null_safe)
             master = left_join(master, right, step.key, step.suffix, step.null_safe, limits)
         else:

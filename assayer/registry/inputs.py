@@ -10,6 +10,7 @@ from __future__ import annotations
 import string
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TEMPLATES = {
     # gaps in numbers, keys and texts
@@ -96,8 +97,15 @@ _SPARK_WORDS = {"global_flag": ""}
 _CHECK_WORDS = {"global_flag": ", 'g'"}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A stored table; its schema is looked up once per path."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _fields(template: str) -> list[str]:

@@ -244,7 +244,7 @@ _LINKS = (
 
 def _links(spark, folder):
     tables = _tables(spark, folder)
-    return tables, pinned(relations.foreign_keys(tables, name_map=_name_map(tables)))
+    return tables, relations.foreign_keys(tables, name_map=_name_map(tables))
 
 
 _LINK_COLUMNS = ["normalized_name", "child_dataset", "child_column", "parent_dataset", "parent_column", "containment"]
@@ -285,7 +285,8 @@ def merge_guidance(spark, folder):
     + f") AS v(dataset) WHERE dataset NOT IN (SELECT child_dataset FROM ({_GOOD}) UNION SELECT parent_dataset FROM ({_GOOD}))",
 )
 def standalone(spark, folder):
-    return relations.standalone_tables(*_links(spark, folder))
+    tables, links = _links(spark, folder)
+    return relations.standalone_tables(tables, pinned(links))
 
 
 @query(
