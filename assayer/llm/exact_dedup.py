@@ -19,30 +19,32 @@ BUCKETS = 64
 
 
 class DigestIndex:
-    """The digests seen so far: (digest, keep_id), in ``buckets`` buckets sorted by digest."""
+    """The digests seen so far: (digest, keep_id, batch), in ``buckets`` buckets sorted by digest."""
 
     def __init__(self, spark: SparkSession, table: str | None = None, buckets: int = BUCKETS):
-        """A table that exists is used on; without a name a new one is made. It lives in the shared folder."""
+        """A table that exists is used on; without a name a new one is made. Its files are in the shared folder."""
         self.spark = spark
         self.table = table or f"digests_{uuid.uuid4().hex}"
         self.buckets = buckets
 
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.table)
-
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def append(self, groups: DataFrame) -> DataFrame:
-        """Adds the groups whose digest is new and returns them."""
-        if self.exists():
-            seen = self.rows().select("digest").hint("merge")
-            groups = pinned(groups.join(seen, "digest", "left_anti"))
-        writer = groups.select("digest", "keep_id").write.bucketBy(self.buckets, "digest").sortBy("digest")
-        if not self.exists():
+    def _append(self, rows: DataFrame) -> None:
+        writer = rows.select("digest", "keep_id", "batch").write.bucketBy(self.buckets, "digest").sortBy("digest")
+        if not self.spark.catalog.tableExists(self.table):
             writer = writer.option("path", scratch_path(self.spark, self.table))
         writer.format("parquet").mode("append").saveAsTable(self.table)
-        return groups
+
+    def add(self, groups: DataFrame) -> DataFrame:
+        """Appends the groups whose digest is new. Returns all groups with the row that stays and whether it is of this call."""
+        if not self.spark.catalog.tableExists(self.table):
+            self._append(groups.limit(0).withColumn("batch", F.lit("")))
+        batch = uuid.uuid4().hex
+        seen = self.rows().select("digest").hint("merge")
+        self._append(pinned(groups.join(seen, "digest", "left_anti")).withColumn("batch", F.lit(batch)))
+        known = groups.drop("keep_id").join(self.rows().hint("merge"), "digest")
+        return known.withColumn("new", F.col("batch") == batch).drop("batch")
 
 
 def digests(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -61,18 +63,8 @@ def deduplicated(documents: DataFrame, index: DigestIndex, id_column: str = "doc
     """
     rows = pinned(digests(documents, id_column, text_column))
     groups = pinned(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    before = index.exists()
-    fresh = index.append(groups)
-    if before:
-        known = groups.join(index.rows().select("digest", F.col("keep_id").alias("first_id")), "digest")
-        new = fresh.select("digest", F.lit(True).alias("new"))
-        known = known.join(new, "digest", "left")
-        groups = pinned(
-            known.select("digest", F.col("first_id").alias("keep_id"), "group_size", F.coalesce("new", F.lit(False)).alias("new"))
-        )
-    else:
-        groups = groups.withColumn("new", F.lit(True))
-    return rows.join(groups, "digest").select(
+    known = pinned(index.add(groups))
+    return rows.join(known, "digest").select(
         "doc_id",
         "keep_id",
         "group_size",

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import bpe, exact_dedup, packing, sharding, token_counts, url_rules
+from assayer.llm import bpe, exact_dedup, lm_scoring, packing, quality, sharding, token_counts, url_rules
+from assayer.llm.lm_scoring import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -92,6 +93,21 @@ def op7_sharding(spark, folder):
     return rows.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
+@query("op8_lm_scoring")
+def op8_lm_scoring(spark, folder):
+    fold = remainder(F.col("doc_id"), 5)
+    rows = lm_scoring.scored(table(spark, folder, "documents"), fold != 1)
+    return rows.withColumn("held_out", ~F.col("learned")).drop("learned")
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark, folder):
+    fold = remainder(F.col("doc_id"), 3)
+    labels = table(spark, folder, "labels").where(fold != 1)
+    rows = quality.scored(table(spark, folder, "documents"), labels)
+    return rows.withColumn("held_out", F.coalesce(fold == 1, F.lit(False)))
+
+
 @query("op10_bpe_round_trip")
 def op10_bpe_round_trip(spark, folder):
     return bpe.round_trip(table(spark, folder, "documents"), BYTE_BPE)
