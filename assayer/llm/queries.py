@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import bpe, exact_dedup, lm_scoring, packing, quality, sharding, token_counts, url_rules
+from assayer.llm import bpe, embedding_links, exact_dedup, lm_scoring, ngram_join, packing, quality, sharding, token_counts, url_rules
 from assayer.llm.lm_scoring import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_REACH = """reach AS (SELECT a AS id, least(a, b) AS r FROM links UNION SELECT b, least(a, b) FROM links UNION
+        SELECT n.id, least(r.r, n.id) FROM reach r JOIN (SELECT a AS at, b AS id FROM links UNION ALL SELECT b, a FROM links) n
+        ON n.at = r.id),
+    named AS (SELECT id, min(r) AS c FROM reach GROUP BY id)"""
+
+
+@query(
+    "op1_embedding_links",
+    f"""WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+    links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id
+        AND list_cosine_similarity(x.e, y.e) >= 0.98),
+    degree AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM links UNION ALL SELECT b FROM links) GROUP BY id),
+    {_REACH}
+    SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
+    FROM v LEFT JOIN degree d ON d.id = vec_id LEFT JOIN named m ON m.id = vec_id""",
+)
+def op1_embedding_links(spark, folder):
+    return embedding_links.linked(table(spark, folder, "embeddings"))
+
+
 _HOST = "translate(regexp_extract(after, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _FITS = "(host = '{0}' OR host LIKE '%.{0}') AND starts_with(path, '{1}')"
 
@@ -65,6 +85,23 @@ def op2_url_rules(spark, folder):
     return url_rules.judged(table(spark, folder, "pages"), rules)
 
 
+@query(
+    "op3_ngram_join",
+    f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+    items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+    links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM items x JOIN items y ON x.item = y.item AND x.doc_id < y.doc_id
+        AND 100 * x.n >= 90 * y.n AND 100 * y.n >= 90 * x.n
+        GROUP BY ALL HAVING 100 * count(*) >= 90 * (min(x.n) + min(y.n) - count(*))),
+    {_REACH}
+    SELECT doc_id, len(s) AS n_shingles, coalesce(c, doc_id) AS component_id FROM sets LEFT JOIN named ON id = doc_id""",
+)
+def op3_ngram_join(spark, folder):
+    return ngram_join.joined(table(spark, folder, "documents"))
+
+
 @query("op4_best_fit_packing")
 def op4_best_fit_packing(spark, folder):
     return packing.best_fit(table(spark, folder, "documents"), BYTE_BPE, SEQUENCE_TOKENS)
