@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 RANK_PARTS = 1024
+BROADCAST_ROWS = 1_000_000  # rows of a few numbers each
 
 
 def picked(df: DataFrame, **columns: str) -> DataFrame:
@@ -36,3 +37,8 @@ def ranked(rows: DataFrame, group: str, spread: list[str], order: list[str]) ->
     within = Window.partitionBy(group, "part").orderBy(*order)
     joined = dealt.join(first, [group, "part"])
     return joined.withColumn("rank", F.col("first") + F.row_number().over(within) - 1).drop("part", "first")
+
+
+def narrow(stored: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, broadcast where a count shows that it is small enough, else as it is."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored

@@ -6,7 +6,7 @@ text starts after a begin symbol, which is the end token of the text before it,
 
 **Automaton.** A state is a context seen in training. It has an arc for each word seen after it, weighted by log10 p(w | h),
 and a failure arc to the state of h', weighted by log10(m / (c(h) + m)). The root has an arc for every word. One traversal
-from left to right carries the state and adds up the weights.
+from left to right carries the state and adds up the weights; the texts of a block are traversed together, as arrays.
 
 **At scale.** Texts stay where they are. A task turns them into blocks of about ``BLOCK_BYTES`` (word numbers and 64-bit word
 hashes), which are stored. Each block asks for the counts of its distinct n-grams, dealt by ranges of their hashes; a range
@@ -19,6 +19,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +68,7 @@ class Grams:
         ends = np.cumsum(lengths)
         self.codes = codes
         self.document = np.repeat(np.arange(len(lengths)), lengths)
-        place = np.arange(len(codes)) - np.repeat(ends - lengths, lengths)
+        self.place = place = np.arange(len(codes)) - np.repeat(ends - lengths, lengths)
         # By level, from 1: the n-gram that ends at each position (-1: none), and hash, a position and the context of each.
         self.at, self.hashes, self.sample, self.context = [codes], [word_hashes], [np.zeros(0, dtype=np.int64)], [None]
         for level in range(2, order + 1):
@@ -82,10 +83,10 @@ class Grams:
             at = np.full(len(codes), -1, dtype=np.int64)
             at[whole] = inverse
             context, word = np.divmod(distinct, len(word_hashes))
-            hashes = (self.hashes[-1][context] * _MIX + np.uint64(level)) ^ (word_hashes[word] * _MIX)
-            hashes ^= hashes >> np.uint64(31)
+            hashes = (self.hashes[-1][context] + np.uint64(level)) * _MIX
+            hashes = (hashes ^ (hashes >> np.uint64(31))) * _MIX + word_hashes[word]
             self.at.append(at)
-            self.hashes.append(hashes * _MIX)
+            self.hashes.append((hashes ^ (hashes >> np.uint64(29))) * _MIX)
             self.sample.append(np.flatnonzero(whole)[sample])
             self.context.append(context)
 
@@ -109,7 +110,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], schema: list[str]) -> Iterator[pa
         stop = np.cumsum(lengths) - 1
         inside = np.ones(len(codes), dtype=bool)
         inside[stop] = False
-        codes[inside] = np.fromiter((known[w] for ws in split for w in ws), dtype="<i4", count=len(codes) - len(stop))
+        numbers = map(known.__getitem__, chain.from_iterable(split))
+        codes[inside] = np.fromiter(numbers, dtype="<i4", count=len(codes) - len(stop))
         hashes = np.array([xxhash.xxh3_64_intdigest(b" "), *map(xxhash.xxh3_64_intdigest, known)], dtype="<u8")
         values = [
             pa.array([task << 32 | number], pa.int64()),
@@ -193,48 +195,46 @@ def _answers(rows: pa.Table) -> pa.Table:
 
 
 class Automaton:
-    """States, arcs and failure arcs for the n-grams of one block."""
+    """The part of the automaton that the n-grams of one block can reach, by the numbers of the n-grams.
+
+    ``arcs[k]`` has the weight of the arc that reads the last word of each n-gram of k + 1 words (NaN: no such arc), and
+    ``back[k]`` that of the failure arc out of the state of each context of k + 1 words.
+    """
 
     def __init__(self, grams: Grams, totals: list[np.ndarray], base: np.ndarray):
         """``base``: log10 of the unigram probability of each word number."""
-        self.width = len(base)
-        levels = len(totals)
-        first = np.cumsum([1, *(len(t) for t in totals[: levels - 1])])  # number of each level's first state; 0 is the root
-        self.fail, self.back = np.zeros(first[-1], dtype=np.int64), np.zeros(first[-1])
-        keys, weights, targets = [np.arange(self.width)], [base], []
-        known = totals[0] > 0
-        targets.append(np.where(known, first[0] + np.arange(self.width), 0) if levels > 1 else np.zeros(self.width, dtype=np.int64))
-        lower = 10.0**base  # p of the n-gram's last word after a context one shorter, by n-gram of the level below
-        for level in range(1, levels):
-            count = totals[level - 1]
-            states = first[level - 1] + np.arange(len(count))
-            self.back[states] = np.log10(PRIOR / (count + PRIOR))
-            if level > 1:
-                self.fail[states] = first[level - 2] + grams.at[level - 2][grams.sample[level - 1]]
-            sample, context = grams.sample[level], grams.context[level]
-            shorter = lower[grams.at[level - 1][sample]]
-            p = (totals[level] + PRIOR * shorter) / (count[context] + PRIOR)
-            seen = np.flatnonzero(totals[level] > 0)
-            keys.append((first[level - 1] + context[seen]) * self.width + grams.codes[sample[seen]])
-            weights.append(np.log10(p[seen]))
-            last = level == levels - 1
-            target = first[level - 1] + grams.at[level - 1][sample] if last else first[level] + np.arange(len(p))
-            targets.append(target[seen])
-            lower = p
-        self.start = first[0] + END if levels > 1 and totals[0][END] > 0 else 0
-        arcs = zip(np.concatenate(weights).tolist(), np.concatenate(targets).tolist(), strict=True)
-        self.arcs = dict(zip(np.concatenate(keys).tolist(), arcs, strict=True))
-        self.fail, self.back = self.fail.tolist(), self.back.tolist()
-
-    def score(self, codes: list[int]) -> float:
-        arcs, back, fail, width = self.arcs.get, self.back, self.fail, self.width
-        state, total = self.start, 0.0
-        for code in codes:
-            while (arc := arcs(state * width + code)) is None:
-                total += back[state]
-                state = fail[state]
-            total += arc[0]
-            state = arc[1]
+        self.grams, self.totals = grams, totals
+        self.arcs, self.back = [base], [np.log10(PRIOR / (count + PRIOR)) for count in totals[:-1]]
+        p = 10.0**base  # of the last word of each n-gram after a context one word shorter
+        for level in range(1, len(totals)):
+            count = totals[level - 1][grams.context[level]]
+            shorter = p[grams.at[level - 1][grams.sample[level]]]
+            p = (totals[level] + PRIOR * shorter) / (count + PRIOR)
+            self.arcs.append(np.where(totals[level] > 0, np.log10(p), np.nan))
+
+    def weights(self) -> np.ndarray:
+        """What each step from left to right adds, for all texts of the block at once.
+
+        The state before a word is the longest context in training: the n-gram whose arc read the word before, cut to the
+        length of the longest context. From there failure arcs lead down to the first state that has an arc for the word.
+        """
+        grams, order = self.grams, len(self.arcs)
+        taken, total = np.zeros(len(grams.codes), dtype=np.int64), self.arcs[0][grams.codes]
+        for level in range(1, order):
+            at = grams.at[level]
+            weight = np.append(self.arcs[level], np.nan)[at]  # the last one for positions without an n-gram
+            has = ~np.isnan(weight)
+            taken[has], total[has] = level, weight[has]
+        known = taken + ((taken > 0) | (self.totals[0][grams.codes] > 0))  # words of the n-gram just read, 0 if unseen
+        state = np.minimum(np.append(0, known[:-1]), order - 1)
+        begin = grams.place == 0
+        state[begin] = min(int(self.totals[0][END] > 0), order - 1)
+        for level in range(1, order):
+            context = np.append(np.int64(END), grams.at[level - 1][:-1])
+            if level == 1:
+                context[begin] = END
+            fails = np.flatnonzero((state >= level) & (taken < level))
+            total[fails] += self.back[level - 1][context[fails]]
         return total
 
 
@@ -245,20 +245,17 @@ def _scored(block: pa.Table, answers: pa.Table, order: int, tokens: int, types:
     rows = answers.select(["level", "range", "totals"]).to_pylist()
     for level in range(1, order + 1):
         own = [_array(r["totals"], "<i8") for r in sorted(rows, key=lambda r: r["range"]) if r["level"] == level]
-        totals[level - 1][np.argsort(grams.hashes[level - 1])] = np.concatenate(own)
+        if own:
+            totals[level - 1][np.argsort(grams.hashes[level - 1])] = np.concatenate(own)
     base = np.log10((totals[0] + 0.5) / (tokens + 0.5 * (types + 1)))
-    automaton = Automaton(grams, totals, base)
     begins = np.cumsum(lengths) - lengths
-    codes = grams.codes.tolist()
     return pa.table(
         {
             "doc_id": block["ids"].combine_chunks().flatten(),
             "n_tokens": pa.array(lengths, pa.int64()),
             "n_known": pa.array(np.add.reduceat(totals[0][grams.codes] > 0, begins, dtype=np.int64), pa.int64()),
             "base_score": pa.array(np.add.reduceat(base[grams.codes], begins), pa.float64()),
-            "score": pa.array(
-                [automaton.score(codes[a : a + n]) for a, n in zip(begins.tolist(), lengths.tolist(), strict=True)], pa.float64()
-            ),
+            "score": pa.array(np.add.reduceat(Automaton(grams, totals, base).weights(), begins), pa.float64()),
         }
     )
 

@@ -5,17 +5,18 @@ complete up to collisions of 64-bit hashes; shingles are compared by those.
 
 **Which documents meet.** Linked sets of sizes x and y differ in at most (100 - p)(x + y) / (100 + p) shingles. Sizes fall
 into classes so wide that linked sets are in one class or in neighbouring ones. For each such level a set is cut by hash into
-one segment more than linked sets there can differ in (and ``SPARE`` more), so linked sets have a whole segment in common.
-The hashes of the segments are the keys; documents that share a key, directly or through others, are a candidate cluster.
-Equal sets are one set with copies, and most documents share no key and go no further.
-
-**How they are compared.** The sets of a cluster form a signature tree: a leaf holds up to ``LEAF`` sets, inner nodes hold the
-OR of their bitmaps and the range of their sizes. A traversal of two nodes at a time goes down only where the sizes and the
-largest possible overlap allow a link and the sets are not all connected yet. What remains is counted exactly.
-
-**Large clusters** are dealt into blocks of ``BLOCK`` sets. First each block is compared in itself and with some pivots of the
-cluster, which connects the bulk of near copies in one pass. Then only the sets outside the cluster's largest component are
-compared with all blocks. Each task returns a spanning forest of its links, never all pairs.
+one segment more than linked sets there can differ in (and some spare ones, as segments can be empty), so linked sets have a
+whole segment in common. The hashes of the segments are the keys. Equal sets are one set with copies, and most documents share
+no key and go no further. Keys with the same documents count once.
+
+**Signature trees** are used twice. A leaf holds up to ``LEAF`` sets; nodes hold the OR of their bitmaps and the range of their
+sizes. A traversal of two nodes at a time goes down only where the sizes and the largest possible overlap allow a link and the
+sets are not all connected yet. First the documents of each key are compared by their bitmaps alone; what can still link makes
+the candidate clusters. Then the sets of each cluster are compared, down to exact counts.
+
+**Large groups**, of either kind, are dealt into blocks of ``BLOCK`` sets. First each block is compared in itself and with some
+pivots of the group, which connects the bulk of near copies in one pass. Then only the sets outside the group's largest
+component are compared with all blocks. Each task returns a spanning forest of its links, never all pairs.
 """
 
 from __future__ import annotations
@@ -28,16 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import picked
+from assayer.llm.common import narrow, picked
 from assayer.llm.components import Sets, components, runs
 from assayer.session import pinned
 
-SPARE = 1
 LEAF = 8
 FAN = 4
 BLOCK = 128
 PIVOTS = 8
-BROADCAST_IDS = 2_000_000
+LONGEST_BITMAP = 32  # words of 64 bits that travel with a key
 CACHE_ENTRIES = 600_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -90,7 +90,8 @@ class Levels:
         """Segments, and the most that two linked sets of this class and the next can differ in."""
         largest = self.starts[level + 1] - 1
         differ = (100 - self.percent) * (largest + largest * 100 // self.percent) // (100 + self.percent)
-        return differ + 1 + SPARE, differ
+        empty = (differ + 1) * np.exp(-self.starts[level] / (differ + 1))
+        return differ + 2 + int(3 * empty), differ
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         own = self.class_of(len(shingles))
@@ -112,177 +113,192 @@ class Levels:
         return _mixed(sums * _MIX2 + _mixed((numbers + (level << 32)).astype(np.uint64)))
 
 
+def bitmap(shingles: np.ndarray, words: int) -> np.ndarray:
+    """A bit for each shingle, in a power of two of 64-bit words; a longer bitmap repeats a shorter one and tells more apart."""
+    bits = np.zeros(64 * words, dtype=np.uint8)
+    bits[(shingles & np.uint64(64 * words - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view("<u8")
+
+
+def bitmap_words(size: int) -> int:
+    return 1 << max(0, (2 * size - 1).bit_length() - 6)
+
+
 def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     shingler, levels = Shingler(width), Levels(percent)
     for batch in batches:
-        sizes, digests, keys = [], [], []
+        out = []
         for text in batch.column("text"):
             shingles = shingler.set_of(text.as_py() or "")
-            sizes.append(len(shingles))
-            digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
-            keys.append(levels.keys(shingles).view(np.int64) if len(shingles) else None)
-        columns = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_shingles", "digest", "keys"])
+            if not len(shingles):
+                out.append((0, None, None, None))
+                continue
+            bits = bitmap(shingles, min(LONGEST_BITMAP, bitmap_words(len(shingles))))
+            digest = xxhash.xxh3_128_digest(shingles.tobytes())
+            out.append((len(shingles), digest, levels.keys(shingles).view(np.int64), bits.tobytes()))
+        kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
+        columns = [pa.array([row[k] for row in out], kind) for k, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "size", "digest", "keys", "payload"])
 
 
 def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     shingler = Shingler(width)
     for batch in batches:
-        sets = [shingler.set_of(t.as_py() or "").tobytes() for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("cluster"), batch.column("doc_id"), pa.array(sets, pa.binary())], ["cluster", "doc_id", "shingles"]
-        )
+        sets = [shingler.set_of(t.as_py() or "") for t in batch.column("text")]
+        columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+        names = ["family", "doc_id", "size", "payload"]
+        yield pa.RecordBatch.from_arrays([batch.column("family"), batch.column("doc_id"), *columns], names)
 
 
 class Node:
-    """A node of a signature tree: OR of bitmaps, range of sizes, most shingles beyond one a bit, and what is below."""
-
-    __slots__ = ("bits", "low", "high", "extra", "below", "sets")
-
-    def __init__(self, bits, low, high, extra, below, sets):
-        self.bits, self.low, self.high, self.extra, self.below, self.sets = bits, low, high, extra, below, sets
-
-
-def tree(sets: list[np.ndarray], chosen: list[int]) -> Node:
-    """The signature tree of the chosen sets, in the order of their sizes and smallest shingles."""
-    words = 1 << max(4, int(4 * max(len(sets[i]) for i in chosen)).bit_length() - 6)
-    chosen = sorted(chosen, key=lambda i: (len(sets[i]), sets[i][0]))
-    level = []
-    for a in range(0, len(chosen), LEAF):
-        own = chosen[a : a + LEAF]
-        bits, extra = np.zeros(words, dtype=np.uint64), 0
-        for i in own:
-            bit = np.unique(sets[i] & np.uint64(64 * words - 1))
-            np.bitwise_or.at(bits, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-            extra = max(extra, len(sets[i]) - len(bit))
-        level.append(Node(bits, len(sets[own[0]]), len(sets[own[-1]]), extra, [], own))
+    """A node of a signature tree, or one set: OR of bitmaps, range of sizes, most shingles beyond one a bit, what is below."""
+
+    __slots__ = ("bits", "low", "high", "extra", "below", "members", "shingles")
+
+    def __init__(self, bits, low, high, extra, below=(), members=(), shingles=None):
+        self.bits, self.low, self.high, self.extra = bits, low, high, extra
+        self.below, self.members, self.shingles = below, members, shingles
+
+
+def single(number: int, size: int, payload: bytes, exact: bool, words: int) -> Node:
+    """A set by its shingles (``exact``) or by its bitmap, with a bitmap of at least so many words."""
+    values = np.frombuffer(payload, dtype="<u8")
+    bits = bitmap(values, words) if exact else values
+    extra = size - int(np.bitwise_count(bits).sum())
+    bits = np.tile(bits, words // len(bits)) if len(bits) < words else bits
+    return Node(bits, size, size, extra, members=[number], shingles=values if exact else None)
+
+
+def tree(sets: list[Node]) -> Node:
+    """The signature tree of sets, by their sizes and bitmaps."""
+    level = sorted(sets, key=lambda s: (s.low, s.bits[0], s.members))
+    fan = LEAF
     while len(level) > 1:
-        level = [_over(level[a : a + FAN]) for a in range(0, len(level), FAN)]
+        level, fan = [_over(level[a : a + fan]) for a in range(0, len(level), fan)], FAN
     return level[0]
 
 
 def _over(nodes: list[Node]) -> Node:
-    bits = np.bitwise_or.reduce([n.bits for n in nodes])
-    sets = [i for n in nodes for i in n.sets]
-    return Node(bits, min(n.low for n in nodes), max(n.high for n in nodes), max(n.extra for n in nodes), nodes, sets)
-
+    return Node(
+        np.bitwise_or.reduce([n.bits for n in nodes]),
+        min(n.low for n in nodes),
+        max(n.high for n in nodes),
+        max(n.extra for n in nodes),
+        nodes,
+        [i for n in nodes for i in n.members],
+    )
 
-def traverse(first: Node, second: Node, sets: list[np.ndarray], known: Sets, percent: int, apart: bool) -> Iterator[tuple[int, int]]:
-    """Links between sets of two nodes (of one, if they are the same) that join what was not connected.
 
-    ``apart``: the nodes are of different trees, so that a pair comes up once whatever the order.
-    """
-    pending = [(first, second)]
-    while pending:
-        a, b = pending.pop()
-        if 100 * a.high < percent * b.low or 100 * b.high < percent * a.low:
-            continue
-        if a is not b:
-            size = max(len(a.bits), len(b.bits))
-            x, y = (n.bits if len(n.bits) == size else np.tile(n.bits, size // len(n.bits)) for n in (a, b))
-            overlap = min(int(np.bitwise_count(x & y).sum()) + min(a.extra, b.extra), a.high, b.high)
-            if (100 + percent) * overlap < percent * (a.low + b.low):
-                continue
-        if len({known.find(i) for n in (a, b) for i in n.sets}) == 1:
-            continue
-        if not a.below and not b.below:
-            for i in a.sets:
-                for j in b.sets:
-                    if (apart or a is not b or i < j) and known.find(i) != known.find(j) and similar(sets[i], sets[j], percent):
-                        known.join(i, j)
-                        yield i, j
-        elif a is b:
-            pending += [(p, q) for k, p in enumerate(a.below) for q in a.below[k:]]
-        elif not b.below or (a.below and len(a.sets) >= len(b.sets)):
-            pending += [(p, b) for p in a.below]
-        else:
-            pending += [(a, q) for q in b.below]
+def may_link(a: Node, b: Node, percent: int) -> bool:
+    """Whether sizes and the largest possible overlap allow a link between a set of each."""
+    if 100 * a.high < percent * b.low or 100 * b.high < percent * a.low:
+        return False
+    overlap = min(int(np.bitwise_count(a.bits & b.bits).sum()) + min(a.extra, b.extra), a.high, b.high)
+    return (100 + percent) * overlap >= percent * (a.low + b.low)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
     both = len(a) + len(b)
     common = both - len(np.unique(np.concatenate([a, b])))
     return 100 * common >= percent * (both - common)
 
 
-def _compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Spanning links of each unit (cluster, x, y): of side 0 in itself, or of side 0 with side 1 where there is one."""
-    for rows in runs(batches, ["cluster", "x", "y"]):
-        sets = [np.frombuffer(s.as_py(), dtype=np.uint64) for s in rows["shingles"]]
-        side, component = rows["side"].to_pylist(), rows["component"].to_pylist()
+def traverse(first: Node, second: Node, known: Sets, percent: int) -> Iterator[tuple[int, int]]:
+    """Links between sets of two nodes (of one, if they are the same) that join what was not connected."""
+    pending = [(first, second)]
+    while pending:
+        a, b = pending.pop()
+        if a is b:
+            pending += [(p, q) for k, p in enumerate(a.below) for q in a.below[k:]]
+        elif may_link(a, b, percent) and len({known.find(i) for n in (a, b) for i in n.members}) > 1:
+            if a.below and (not b.below or len(a.members) >= len(b.members)):
+                pending += [(p, b) for p in a.below]
+            elif b.below:
+                pending += [(a, q) for q in b.below]
+            elif a.shingles is None or similar(a.shingles, b.shingles, percent):
+                known.join(a.members[0], b.members[0])
+                yield a.members[0], b.members[0]
+
+
+def _compared(batches: Iterator[pa.RecordBatch], percent: int, exact: bool) -> Iterator[pa.RecordBatch]:
+    """Spanning links of each unit (family, x, y): of side 0 in itself, and of side 0 with side 1 where there is one."""
+    for rows in runs(batches, ["family", "x", "y"]):
+        ids, sizes, component = (rows[c].to_pylist() for c in ("doc_id", "size", "component"))
+        side = rows["side"].to_pylist()
+        if len(ids) < 2 or 0 not in side:
+            continue
+        words = bitmap_words(max(sizes)) if exact else max(len(p.as_py()) for p in rows["payload"]) // 8
+        sets = [single(i, sizes[i], p.as_py(), exact, words) for i, p in enumerate(rows["payload"])]
         known, first = Sets(len(sets)), {}
         for i, c in enumerate(component):
             if c is not None:
                 known.join(i, first.setdefault(c, i))
-        left, right = ([i for i, s in enumerate(side) if s == k] for k in (0, 1))
-        if len(sets) < 2 or not left:
-            continue
-        a = tree(sets, left)
-        found = list(traverse(a, a, sets, known, percent, False))
+        left, right = ([s for s, k in zip(sets, side, strict=True) if k == n] for n in (0, 1))
+        a = tree(left)
+        found = list(traverse(a, a, known, percent))
         if right:
-            found += traverse(a, tree(sets, right), sets, known, percent, True)
-        ids = rows["doc_id"].to_pylist()
+            found += traverse(a, tree(right), known, percent)
         yield pa.RecordBatch.from_arrays(
             [pa.array([ids[i] for i, _ in found], pa.int64()), pa.array([ids[j] for _, j in found], pa.int64())], ["a", "b"]
         )
 
 
-def _links(units: DataFrame, percent: int) -> DataFrame:
-    """Links of units with columns cluster, x, y, side, component, doc_id and shingles."""
-    order = ["cluster", "x", "y"]
-    units = units.select(*order, "side", "component", "doc_id", "shingles")
+def _unit_links(units: DataFrame, percent: int, exact: bool) -> DataFrame:
+    order = ["family", "x", "y"]
+    units = units.select(*order, "side", "component", "doc_id", "size", "payload")
     dealt = units.repartition(*order).sortWithinPartitions(*order)
-    return dealt.mapInArrow(lambda batches: _compared(batches, percent), "a bigint, b bigint")
+    return dealt.mapInArrow(lambda batches: _compared(batches, percent, exact), "a bigint, b bigint")
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """(node, component): the documents with a set that shares a key with another set, and their candidate cluster."""
-    firsts = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    own = pinned(signed.join(pinned(firsts), ["digest", "doc_id"], "left_semi").select("doc_id", "keys"))
-    keyed = own.select("doc_id", F.explode("keys").alias("key"))
-    bounds = keyed.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("n"))
-    shared = pinned(bounds.where("a < b"))
-    more = keyed.join(shared.where("n > 2").select("key", "a"), "key").select("a", F.col("doc_id").alias("b"))
-    return components(shared.select("a", "b").union(more))
-
-
-def links(documents: DataFrame, clusters: DataFrame, percent: int, width: int) -> DataFrame:
-    """(node, component) for the documents that link with another."""
-    clusters = clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
-    if clusters.count() <= BROADCAST_IDS:
-        clusters = F.broadcast(clusters)
-    texts = documents.join(clusters, "doc_id").select("cluster", "doc_id", "text")
-    schema = "cluster bigint, doc_id bigint, shingles binary"
-    members = pinned(texts.mapInArrow(lambda batches: _members(batches, width), schema))
-    sizes = pinned(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")))
-    dealt = members.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+def connected(members: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """(node, component) for the documents that link with another of a family, directly or through others.
+
+    ``members`` is a stored table of (family, doc_id, size, payload); a document can be in several families. The payload is
+    the set of shingles (``exact``) or its bitmap; by the bitmap all that can link does.
+    """
+    sizes = pinned(members.groupBy("family").agg(F.count(F.lit(1)).alias("all")))
+    dealt = members.join(sizes, "family").withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    none = F.lit(None).cast("bigint")
-    pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.col("size")) < PIVOTS)
+    pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.col("all")) < PIVOTS)
     everywhere = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     within = dealt.withColumn("x", F.col("block"))
     within = within.union(dealt.where(pivot).withColumn("x", everywhere).where("x != block"))
-    within = within.withColumns({"y": F.lit(-1), "side": F.lit(0), "component": none})
-    found = pinned(_links(within, percent))
-    # What is left in clusters of several blocks: sets outside the largest component, against all blocks.
+    within = within.withColumns({"y": F.lit(-1), "side": F.lit(0), "component": F.lit(None).cast("bigint")})
+    found = pinned(_unit_links(within, percent, exact))
     named = components(found)
-    split = dealt.where("blocks > 1").join(named.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    # What is left in families of several blocks: sets outside the largest component, against all blocks.
+    large = dealt.where("blocks > 1").drop("all")
+    split = large.join(named.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     split = pinned(split.withColumn("component", F.coalesce("component", "doc_id")))
-    parts = split.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = parts.groupBy("cluster").agg(
-        F.max(F.struct("n", "component"))["component"].alias("main"), F.sum("n").alias("size"), F.max("n").alias("most")
-    )
-    main = pinned(main.where("size > most").withColumn("others", F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int")))
-    split = split.drop("size").join(main, "cluster")
-    outside = split.where("component != main").withColumn("x", F.pmod(F.xxhash64("doc_id"), F.col("others")).cast("int"))
-    left = outside.withColumn("y", everywhere).withColumn("side", F.lit(0))
+    parts = split.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", "component"))
+    main = parts.groupBy("family").agg(largest["component"].alias("main"), (F.sum("n") - F.max("n")).alias("rest"))
+    main = pinned(main.where("rest > 0").withColumn("others", F.ceil(F.col("rest") / BLOCK).cast("int")))
+    if main.isEmpty():
+        return named
+    split = split.join(main, "family").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("others")).cast("int"))
+    outside = F.col("component") != F.col("main")
+    left = split.where(outside).withColumns({"x": F.col("own"), "side": F.lit(0)}).withColumn("y", everywhere)
     right = split.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
-    right = right.where((F.col("component") == F.col("main")) | (F.pmod(F.xxhash64("doc_id"), F.col("others")) != F.col("x")))
-    right = right.withColumns({"y": F.col("block"), "side": F.lit(1)})
-    rest = _links(left.union(right.select(left.columns)), percent)
-    return components(found.union(pinned(rest)))
+    right = right.where(~outside | (F.col("own") != F.col("x"))).withColumns({"y": F.col("block"), "side": F.lit(1)})
+    rest = pinned(_unit_links(left.union(right.select(left.columns)), percent, exact))
+    return components(found.union(rest))
+
+
+def candidates(signed: DataFrame, percent: int) -> DataFrame:
+    """(node, component): documents that can link with another by size and bitmap, and their cluster."""
+    usable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
+    firsts = usable.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    copies = usable.select("digest", "doc_id").join(pinned(firsts), "digest").where("doc_id != first").select("doc_id", "digest")
+    own = usable.join(narrow(pinned(copies)), ["doc_id", "digest"], "left_anti")
+    keyed = own.select("doc_id", F.explode("keys").alias("key"))
+    groups = keyed.groupBy("key").agg(
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("all")
+    )
+    groups = pinned(groups.where("a < b").groupBy("a", "b", "n", "all").agg(F.min("key").alias("key")).select("key"))
+    shared = pinned(keyed.join(narrow(groups), "key").select(F.col("key").alias("family"), "doc_id").distinct())
+    members = pinned(shared.join(own.select("doc_id", "size", "payload"), "doc_id"))
+    return connected(members, percent, exact=False)
 
 
 def joined(documents: DataFrame, percent: int = 90, width: int = 3, id_column="doc_id", text_column="text") -> DataFrame:
@@ -295,13 +311,17 @@ def joined(documents: DataFrame, percent: int = 90, width: int = 3, id_column="d
     """
     rows = picked(documents, doc_id=id_column, text=text_column)
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    schema = "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>"
+    schema = "doc_id bigint, size bigint, digest binary, keys array<bigint>, payload binary"
     signed = pinned(rows.mapInArrow(lambda batches: _signed(batches, width, percent), schema))
-    named = links(rows, candidates(signed), percent, width)
+    clusters = pinned(candidates(signed, percent).select(F.col("node").alias("doc_id"), F.col("component").alias("family")))
+    texts = rows.join(narrow(clusters), "doc_id").select("family", "doc_id", "text")
+    schema = "family bigint, doc_id bigint, size bigint, payload binary"
+    named = connected(pinned(texts.mapInArrow(lambda batches: _members(batches, width), schema)), percent, exact=True)
     # Copies take the component of the first document with their set.
-    firsts = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"))
+    usable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "digest")
+    firsts = usable.groupBy("digest").agg(F.min("doc_id").alias("first"))
     firsts = firsts.join(named.withColumnRenamed("node", "first"), "first", "left")
     classes = pinned(firsts.select("digest", F.coalesce("component", "first").alias("class")))
-    found = signed.join(classes, "digest", "left")
+    found = signed.select("doc_id", "size", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
-    return found.select(F.col("doc_id").alias(id_column), "n_shingles", component.alias("component_id"))
+    return found.select(F.col("doc_id").alias(id_column), F.col("size").alias("n_shingles"), component.alias("component_id"))

@@ -126,6 +126,14 @@ class Scorer:
         often = np.bincount(word, minlength=len(new))
         self.known.update(zip(new, map(complex, parts.tolist(), often.tolist()), strict=True))
 
+    def scores(self, texts: pa.Array) -> list[float]:
+        found = []
+        for text in texts:
+            words = words_of(text.as_py() or "")
+            self.learn(set(words))
+            found.append(self.score(words))
+        return found
+
     def score(self, words: list[str]) -> float:
         again = repeats(words)
         total = sum(map(self.known.__getitem__, words), complex(again * self.parts[REPEAT] + self.parts[END], again + 1))
@@ -162,18 +170,34 @@ def scored(
     labelled rows of both kinds every score is 0.5. Repeated rows and rows without an id are scored like any others.
     """
     rows = picked(documents, doc_id=id_column, text=text_column)
-    known = picked(labels, doc_id=label_id, label=label_column).withColumn("label", F.col("label").cast("int"))
-    shared = rows.sparkSession.sparkContext.broadcast(trained(*sample(rows, known)))
+    shared = _fitted(rows, labels, label_id, label_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            scores = []
-            for text in batch.column("text"):
-                words = words_of(text.as_py() or "")
-                scorer.learn(set(words))
-                scores.append(scorer.score(words))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
+            scores = pa.array(scorer.scores(batch.column("text")), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
 
     found = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def filtered(
+    documents: DataFrame, labels: DataFrame, id_column="doc_id", text_column="text", label_id="doc_id", label_column="quality"
+) -> DataFrame:
+    """The rows of ``documents``, all columns, whose text the classifier gives a score of 0.5 or more."""
+    rows = picked(documents, doc_id=id_column, text=text_column)
+    shared = _fitted(rows, labels, label_id, label_column)
+    at = documents.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array([s >= 0.5 for s in scorer.scores(batch.column(at))], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
+def _fitted(rows: DataFrame, labels: DataFrame, label_id: str, label_column: str):
+    known = picked(labels, doc_id=label_id, label=label_column).withColumn("label", F.col("label").cast("int"))
+    return rows.sparkSession.sparkContext.broadcast(trained(*sample(rows, known)))

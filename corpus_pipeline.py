@@ -1,9 +1,65 @@
-"""The corpus pipeline: quality classifier, exact de-duplication, n-gram Jaccard join, best-fit packing."""
+"""The corpus pipeline over ``documents``: quality classifier, exact de-duplication, n-gram Jaccard join, best-fit packing.
+
+Each stage works on all rows that the one before it kept, written as Parquet and read again. The first three return the
+columns they were given; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from assayer.llm import exact_dedup, ngram_join, packing, quality
+from assayer.llm.common import narrow
+from assayer.llm.lm_scoring import remainder
+from assayer.llm.queries import BYTE_BPE, SEQUENCE_TOKENS, table
+from assayer.session import pinned, scratch_path
+
+SHINGLE_WORDS = 5
+PERCENT = 80
+# No SQL: the classifier is trained, and the packing is a procedure. The tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the classifier does not reject. It learns from the labels that query op9 learns from."""
+    labels = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 3) != 1)
+    return quality.filtered(docs, labels)
+
+
+def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts (A-Z in lower case): the one with the largest id. Rows without an id stay."""
+    found = exact_dedup.deduplicated(docs, exact_dedup.DigestIndex(spark))
+    return _without(docs, found.where("NOT kept").select("doc_id"))
+
+
+def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id. Rows without an id stay."""
+    found = ngram_join.joined(docs, PERCENT, SHINGLE_WORDS)
+    return _without(docs, found.where("component_id != doc_id").select("doc_id"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed."""
+    return packing.best_fit(docs, BYTE_BPE, SEQUENCE_TOKENS)
+
+
+STAGES = [
+    ("quality_classifier", quality_stage),
+    ("exact_dedup", exact_dedup_stage),
+    ("ngram_jaccard_join", ngram_join_stage),
+    ("best_fit_packing", packing_stage),
+]
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    return docs.join(narrow(pinned(dropped.distinct())), "doc_id", "left_anti").select(docs.columns)
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
