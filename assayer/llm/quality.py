@@ -195,7 +195,8 @@ def filtered(
         for batch in batches:
             yield batch.filter(pa.array([s >= 0.5 for s in scorer.scores(batch.column(at))], pa.bool_()))
 
-    return documents.mapInArrow(run, documents.schema)
+    plain = documents.toDF(*[f"c{i}" for i in range(len(documents.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*documents.columns)
 
 
 def _fitted(rows: DataFrame, labels: DataFrame, label_id: str, label_column: str):
