@@ -22,7 +22,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from assayer.llm.common import picked
 
 CACHE_ENTRIES = 800_000
 BATCH_CHARS = 4_000_000  # texts merged in one index
@@ -223,7 +224,7 @@ def round_trip(documents: DataFrame, path: str, id_column: str = "doc_id", text_
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    rows = picked(documents, id=id_column, text=text_column)
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     return found.withColumnRenamed("id", id_column)
