@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +35,13 @@ def strip_strings(df: DataFrame) -> DataFrame:
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     """One of each set of equal rows, nulls equal. Copies collapse before the shuffle."""
-    return nan_to_null(df).dropDuplicates()
+    df = nan_to_null(df)
+    if not any("map<" in f.dataType.simpleString() for f in df.schema.fields):
+        return df.dropDuplicates()
+    # maps cannot be compared as they are; their rows are told apart by keys
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    keys = [f"k{i}" for i in range(len(df.columns))]
+    return plain.select("*", *row_keys(plain)).dropDuplicates(keys).drop(*keys).toDF(*df.columns)
 
 
 def clean_table(df: DataFrame) -> DataFrame:
@@ -71,4 +79,5 @@ def clean_text_counts(df: DataFrame, text_column: str) -> DataFrame:
 
 def drop_missing(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows without a missing value in ``columns``."""
-    return nan_to_null(df).dropna(subset=columns)
+    df = nan_to_null(df)
+    return df.where(reduce(operator.and_, [ref(c).isNotNull() for c in columns], F.lit(True)))

@@ -22,7 +22,9 @@ _PAIR_SCHEMA = (
 
 def _ratio(cross, left, right):
     spread = F.sqrt(left) * F.sqrt(right)
-    return F.when(spread > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cross / spread)))
+    r = F.when(spread > 0, cross / spread)
+    # a column that holds an infinity has no correlation
+    return F.when(r.isNotNull() & ~F.isnan(r), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def _few_columns(df: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:

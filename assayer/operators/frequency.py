@@ -161,11 +161,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(ordinal, key, head, n) of non-null values; head is the start of the value as text.
-
-    The key is the value itself unless it is long. head orders like the
-    value up to ties.
-    """
+    """(ordinal, key, long, n) of non-null values. The key is the value itself, or a digest if the value is long."""
     df = nan_to_null(df)
     chosen = set(columns_of(df.schema, is_categorical) if columns is None else columns)
     values = {
@@ -174,7 +170,7 @@ def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return (
         melt(df, values)
         .where(F.col("value").isNotNull())
-        .groupBy("ordinal", compact(F.col("value")).alias("key"), F.left(F.col("value"), F.lit(KEY_BYTES)).alias("head"))
+        .groupBy("ordinal", compact(F.col("value")).alias("key"), (F.octet_length("value") > KEY_BYTES).alias("long"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -184,9 +180,11 @@ def top_values(
 ) -> DataFrame:
     """(ordinal, column, value, n, rank): the ``limit`` most frequent values per column.
 
-    Order: n descending, then value ascending. Ranking is cut to ``limit`` in
-    every task before the shuffle. A long text is looked up again by its
-    digest only if it is a candidate, so texts are never shuffled for counting.
+    Order: n descending, then value ascending. How often each count occurs
+    tells the count at which the limit falls. Fewer than ``limit`` values lie
+    above it; of those at it, every task passes on its ``limit`` smallest at
+    most. A long text is looked up by its digest only if it can be among
+    them, so texts are never shuffled for counting.
     """
     df = nan_to_null(df)
     chosen = columns_of(df.schema, is_categorical) if columns is None else list(columns)
@@ -196,17 +194,24 @@ def top_values(
             {"ordinal": "int", "column": "string", "value": "string", "n": "bigint", "rank": "int"},
             [],
         )
-    by_head = Window.partitionBy("ordinal").orderBy(F.desc("n"), F.asc("head"))
+    counts = pinned(value_counts(df, chosen))
+    # one row per column and count, of which there are few: k different counts need k * k / 2 rows
+    more = Window.partitionBy("ordinal").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    often = counts.groupBy("ordinal", "n").agg(F.count(F.lit(1)).alias("values"))
+    above = often.withColumn("above", F.coalesce(F.sum("values").over(more), F.lit(0))).where(F.col("above") < limit)
+    cut = above.groupBy("ordinal").agg(F.min("n").alias("least"))
+    candidates = counts.join(F.broadcast(cut), "ordinal").where(F.col("n") >= F.col("least")).drop("least")
     by_value = Window.partitionBy("ordinal").orderBy(F.desc("n"), F.asc("value"))
-    candidates = pinned(
-        value_counts(df, chosen).withColumn("place", F.rank().over(by_head)).where(F.col("place") <= limit)
-    )
-    is_short = F.col("head") == F.col("key")
-    found = candidates.where(is_short).select("ordinal", F.col("key").alias("value"), "n")
-    digested = candidates.where(~is_short).select("ordinal", "key", "n")
+
+    def first(values: DataFrame) -> DataFrame:
+        """At most ``limit`` per column; the limit also holds in every task before the shuffle."""
+        return values.withColumn("rank", F.row_number().over(by_value)).where(F.col("rank") <= limit)
+
+    found = first(candidates.where(~F.col("long")).select("ordinal", F.col("key").alias("value"), "n"))
+    digested = candidates.where("long").select("ordinal", "key", "n")
     in_columns = {row["ordinal"]: row["n"] for row in digested.groupBy("ordinal").agg(F.count("n").alias("n")).collect()}
     if in_columns:
-        # usually a handful; ties between texts with one beginning can make it long
+        # usually a handful; ties can make it long
         few = sum(in_columns.values()) * 2 * KEY_BYTES <= limits.broadcast_bytes
         values = {
             i: text_key(ref(f.name), f.dataType) for i, f in enumerate(df.schema.fields) if i in in_columns
@@ -219,10 +224,9 @@ def top_values(
             .groupBy("ordinal", "key", "n")
             .agg(F.first("value").alias("value"))
         )
-        found = found.unionByName(looked_up.select("ordinal", "value", "n"))
+        found = found.unionByName(first(looked_up.select("ordinal", "value", "n")))
     return (
-        found.withColumn("rank", F.row_number().over(by_value))
-        .where(F.col("rank") <= limit)
+        first(found.select("ordinal", "value", "n"))
         .join(F.broadcast(column_list(df, chosen).select("ordinal", "column")), "ordinal")
         .select("ordinal", "column", "value", "n", "rank")
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,14 +13,27 @@ from assayer.functions.columns import nan_to_null, ref
 from assayer.operators.frequency import logical_size
 
 
+def _folded(df: DataFrame) -> Callable[[str], str]:
+    """Names as the session tells them apart: without case unless it is set to mind case."""
+    minds = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    return str if minds else str.lower
+
+
 def rename_collisions(left: DataFrame, right: DataFrame, key: str, suffix: str) -> DataFrame:
     """Right columns that exist on the left get the suffix; the key keeps its name."""
-    taken = set(left.columns)
-    renamed = right.withColumnsRenamed({c: c + suffix for c in right.columns if c in taken and c != key})
-    doubled = sorted((set(renamed.columns) - {key}) & taken)
-    if doubled or len(set(renamed.columns)) < len(renamed.columns):
-        raise ValueError(f"suffix {suffix!r} does not make the joined names unique: {doubled or renamed.columns}")
-    return renamed
+    fold = _folded(left)
+    taken = {fold(c) for c in left.columns}
+    names = [c + suffix if fold(c) in taken and fold(c) != fold(key) else c for c in right.columns]
+    added = [fold(c) for c in names if fold(c) != fold(key)]
+    doubled = sorted(c for c, n in Counter(added).items() if n > 1 or c in taken)
+    if doubled:
+        raise ValueError(f"suffix {suffix!r} does not make the joined names unique: {doubled}")
+    return right.toDF(*names)
+
+
+def _place(df: DataFrame, key: str) -> int:
+    fold = _folded(df)
+    return [fold(c) for c in df.columns].index(fold(key))
 
 
 def fits_broadcast(df: DataFrame, limits: Limits = LIMITS) -> bool:
@@ -41,18 +57,13 @@ def _is_one_of(value: Column, keys: list) -> Column:
     return found | value.isNull() if None in keys else found
 
 
-def _salted(left: DataFrame, right: DataFrame, key: str, keys: list, salts: int) -> tuple[DataFrame, DataFrame]:
-    """Spread the rows of hot keys over several join partitions.
+def _salt(left: DataFrame, key: str, salts: int) -> Column:
+    """A salt from the content of a row, so that a task run again after a loss gives the same one.
 
-    The left salt depends on the content of the row only, so that a task run
-    again after a loss gives the same salt. The few right rows of a hot key
-    are repeated once per salt.
+    Rows of a table that is nothing but the key are all alike; they are told apart by their place in the task.
     """
-    content = [ref(f.name) for f in left.schema.fields if f.name != key and "map" not in f.dataType.simpleString()]
-    salt = F.pmod(F.xxhash64(*content) if content else F.lit(0), F.lit(salts)).cast("int")
-    spread = left.withColumn("__salt", F.when(_is_one_of(ref(key), keys), salt).otherwise(F.lit(0)))
-    every = F.when(_is_one_of(ref(key), keys), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return spread, right.withColumn("__salt", F.explode(every))
+    content = [ref(f.name) for f in left.schema.fields if f.name != key and "map<" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(*(content or [F.monotonically_increasing_id()])), F.lit(salts)).cast("int")
 
 
 def left_join(
@@ -62,36 +73,39 @@ def left_join(
     suffix: str = "_right",
     null_safe: bool = False,
     limits: Limits = LIMITS,
+    same_keys: DataFrame | None = None,
 ) -> DataFrame:
     """All left rows, enriched. With ``null_safe`` a missing key meets a missing key.
 
     The right side is measured first. Up to ``broadcast_bytes`` it is
     broadcast and the left side does not move. Beyond that both sides are
-    shuffled by key, and keys that hold a large share of the left rows are
-    salted.
+    shuffled by key, and the rows of keys that hold a large share of the left
+    rows are spread over several join partitions; the few right rows of such a
+    key are repeated once per salt. ``same_keys`` is a table with the same
+    keys as often as the left one, if there is one that is cheaper to read.
     """
     left, right = nan_to_null(left), nan_to_null(right)
     renamed = rename_collisions(left, right, key, suffix)
-    added = [c for c in renamed.columns if c != key]
-    if fits_broadcast(right, limits):
-        on = [key]
-        probe, build = left, F.broadcast(renamed)
-    else:
-        keys = hot_keys(left, key, limits)
-        if keys:
-            on = [key, "__salt"]
-            probe, build = _salted(left, renamed, key, keys, limits.salts)
-        else:
-            on = [key]
-            probe, build = left, renamed
-    build = build.withColumnsRenamed({c: f"__right_{c}" for c in on})
-    condition = (
-        ref(key).eqNullSafe(F.col(f"__right_{key}")) if null_safe else ref(key) == ref(f"__right_{key}")
+    at, other = _place(left, key), _place(renamed, key)
+    # own names for the join, which no column of either side can have
+    names, added = left.columns, [c for i, c in enumerate(renamed.columns) if i != other]
+    small = fits_broadcast(right, limits)
+    keys = [] if small else hot_keys(left if same_keys is None else same_keys, key, limits)
+    salt = _salt(left, names[at], limits.salts)
+    probe = left.select(*[ref(c).alias(f"l{i}") for i, c in enumerate(names)], *([salt.alias("salt")] if keys else []))
+    build = renamed.toDF(*[f"r{i}" for i in range(len(renamed.columns))])
+    mine, theirs = F.col(f"l{at}"), F.col(f"r{other}")
+    condition = mine.eqNullSafe(theirs) if null_safe else mine == theirs
+    if keys:
+        probe = probe.withColumn("salt", F.when(_is_one_of(mine, keys), F.col("salt")).otherwise(F.lit(0)))
+        every = F.when(_is_one_of(theirs, keys), F.sequence(F.lit(0), F.lit(limits.salts - 1))).otherwise(F.array(F.lit(0)))
+        build = build.withColumn("right_salt", F.explode(every))
+        condition = condition & (F.col("salt") == F.col("right_salt"))
+    joined = probe.join(F.broadcast(build) if small else build, condition, "left")
+    found = [f"r{i}" for i in range(len(renamed.columns)) if i != other]
+    return joined.select(
+        *[F.col(f"l{i}").alias(c) for i, c in enumerate(names)], *[F.col(f).alias(c) for f, c in zip(found, added)]
     )
-    for c in on[1:]:
-        condition = condition & (F.col(c) == F.col(f"__right_{c}"))
-    joined = probe.join(build, condition, "left")
-    return joined.select(*[ref(c) for c in left.columns], *[ref(c) for c in added])
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
@@ -142,7 +156,8 @@ def join_diagnostics(
         F.coalesce(F.sum(F.when(known & (F.col("right_rows") == 0), F.col("left_rows"))), F.lit(0)).alias("unmatched"),
         F.coalesce(F.sum(F.when(~known, F.col("left_rows"))), F.lit(0)).alias("null_keys"),
     )
-    added = [c for c in rename_collisions(left, right, key, suffix).columns if c != key]
+    renamed = rename_collisions(left, right, key, suffix)
+    added = [c for i, c in enumerate(renamed.columns) if i != _place(renamed, key)]
     return total.select(
         F.lit(step_name).alias("step_name"),
         F.lit(key).alias("join_key"),

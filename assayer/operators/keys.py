@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from assayer.config import DEFAULTS, Thresholds
 from assayer.functions.columns import group_key, key_class, nan_to_null, ref
 from assayer.functions.relations import melt, small_relation
+from assayer.functions.types import FLOATING
 from assayer.operators.frequency import column_stats, tables_stats, union_all
 
 
@@ -107,7 +108,16 @@ def composite_keys(df: DataFrame, stats: DataFrame, rules: Thresholds = DEFAULTS
 
     def key(i: int):
         field = df.schema.fields[i]
-        return group_key(ref(field.name), field.dataType).cast("string")
+        value = group_key(ref(field.name), field.dataType)
+        # adding zero makes -0.0 the 0.0 it equals, which their texts would not be
+        return (value + F.lit(0.0) if isinstance(field.dataType, FLOATING) else value).cast("string")
+
+    # A sketch without a shuffle rules out pairs that are far from unique; its error is a few percent at most.
+    sketch = df.agg(*[F.approx_count_distinct(F.struct(key(i), key(j)), 0.02).alias(f"p{k}") for k, (i, j) in enumerate(pairs)])
+    seen = sketch.first()
+    pairs = [p for k, p in enumerate(pairs) if seen[f"p{k}"] >= 0.5 * rows]
+    if not pairs:
+        return nothing
 
     combined = {k: F.struct(key(i).alias("a"), key(j).alias("b")) for k, (i, j) in enumerate(pairs)}
     distinct = (

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from assayer.config import CONTRIBUTION_TARGET_WORDS, DEFAULTS, Thresholds
 from assayer.functions.columns import compact, nan_to_null, normalize_name, ref, text_key
 from assayer.functions.relations import melt, small_relation
-from assayer.functions.types import INTEGRAL, columns_of, dtype_family
+from assayer.functions.types import FLOATING, INTEGRAL, columns_of, dtype_family
 from assayer.operators.frequency import union_all
 from assayer.operators.keys import all_single_keys
 
@@ -94,6 +94,12 @@ def _common_class(family: str, members: list[Entry]) -> str:
     if family == "numeric":
         if all(isinstance(e.dtype, INTEGRAL) for e in members):
             return "bigint"
+        if not any(isinstance(e.dtype, FLOATING) for e in members):
+            # whole numbers and decimals meet in a decimal that holds them all, if there is one
+            sizes = [(e.dtype.precision, e.dtype.scale) if isinstance(e.dtype, T.DecimalType) else (20, 0) for e in members]
+            scale = max(s for _, s in sizes)
+            whole = max(p - s for p, s in sizes)
+            return f"decimal({whole + scale},{scale})" if whole + scale <= 38 else "string"
         return "double"
     if family == "boolean":
         return "boolean"
@@ -104,6 +110,11 @@ def _common_class(family: str, members: list[Entry]) -> str:
 
 
 def _common_value(entry: Entry, cls: str) -> Column:
+    if cls == "string" and entry.family == "numeric":
+        # too wide for one decimal type: compared by their digits
+        text = ref(entry.column).cast("string")
+        digits = F.when(F.contains(text, F.lit(".")), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
+        return F.when(digits == "-0", "0").otherwise(digits)
     if cls == "string":
         return compact(text_key(ref(entry.column), entry.dtype))
     return ref(entry.column).cast(cls)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +11,9 @@ from assayer.functions.relations import small_relation
 from assayer.operators.clean import clean_counts, clean_table
 from assayer.operators.frequency import union_all
 from assayer.sources.discovery import find_file
-from assayer.sources.loading import read_table, reason
-from assayer.sources.sinks import save_table
+from assayer.session import pinned
+from assayer.sources.loading import TABLE_ERRORS, read_table, reason
+from assayer.sources.sinks import refuse_overlap, save_table
 
 RESULT_SCHEMA = {
     "dataset": "string",
@@ -38,12 +38,14 @@ def clean_all(spark: SparkSession, folder: str, names: list[str], target: str, f
         stem = name.rsplit(".", 1)[0]
         path = f"{target.rstrip('/')}/{name if fmt == 'csv' else stem}"
         try:
-            source = read_table(spark, find_file(spark, folder, name))
+            found = find_file(spark, folder, name)
+            refuse_overlap(found, path)
+            source = read_table(spark, found)
             before = source.count()
             save_table(clean_table(source), path, fmt)
             after = read_back(spark, path, fmt).count()
             rows.append((name, True, before, after, before - after, path, None))
-        except (PySparkException, OSError, ValueError) as error:
+        except TABLE_ERRORS as error:
             rows.append((name, False, None, None, None, None, reason(error)))
     return small_relation(spark, RESULT_SCHEMA, rows)
 
@@ -61,8 +63,9 @@ def clean_results(tables: Mapping[str, DataFrame], failures: Mapping[str, str] |
     for name in sorted(tables):
         spark = tables[name].sparkSession
         try:
-            counts = clean_counts(tables[name])
-        except ValueError as error:
+            # computed here, so that a table that cannot be read fails on its own
+            counts = pinned(clean_counts(tables[name]))
+        except TABLE_ERRORS as error:
             failed[name] = reason(error)
             continue
         parts.append(

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from assayer.functions.relations import small_relation
 from assayer.operators.frequency import duplicate_rows, labelled, missing_counts, union_all
+from assayer.session import pinned
+from assayer.sources.loading import TABLE_ERRORS, reason
 
 DATASET_SCHEMA = {
     "dataset": "string",
@@ -28,20 +30,25 @@ def inspect_datasets(
     spark: SparkSession, tables: Mapping[str, DataFrame], failures: Mapping[str, str] | None = None
 ) -> DataFrame:
     """One row per table, unreadable ones included with their error."""
-    parts = [
-        duplicate_rows(tables[name]).select(
-            F.lit(name).alias("dataset"),
-            "rows",
-            F.lit(len(tables[name].columns)).alias("columns"),
-            "duplicate_rows",
-            F.lit(None).cast("string").alias("error"),
+    parts, failed = [], dict(failures or {})
+    for name in sorted(tables):
+        try:
+            # computed here, so that a table that cannot be read fails on its own
+            counts = pinned(duplicate_rows(tables[name]))
+        except TABLE_ERRORS as error:
+            failed[name] = reason(error)
+            continue
+        parts.append(
+            counts.select(
+                F.lit(name).alias("dataset"),
+                "rows",
+                F.lit(len(tables[name].columns)).alias("columns"),
+                "duplicate_rows",
+                F.lit(None).cast("string").alias("error"),
+            )
         )
-        for name in sorted(tables)
-    ]
-    failed = small_relation(
-        spark, DATASET_SCHEMA, [(name, None, None, None, text) for name, text in sorted((failures or {}).items())]
-    )
-    return union_all([*parts, failed])
+    rows = [(name, None, None, None, text) for name, text in sorted(failed.items())]
+    return union_all([*parts, small_relation(spark, DATASET_SCHEMA, rows)])
 
 
 def inspect_all_columns(tables: Mapping[str, DataFrame]) -> DataFrame:

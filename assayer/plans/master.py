@@ -47,22 +47,38 @@ def build_master(
     if fact not in tables:
         raise LookupError(f"no fact table {fact!r}: {(failures or {}).get(fact, 'not loaded')}")
     master = tables[fact]
+    # A table with the same keys as the master: the fact itself until a step adds rows. Diagnostics and hot keys are taken
+    # from it, so that no step runs the joins before it again.
+    keys = master
     report = []
     for number, step in enumerate(steps, 1):
-        if step.table in tables:
+        if step.table not in tables:
+            reason = (failures or {}).get(step.table, "not loaded")
+            row = pinned(skipped_step(keys, step.key, step.title, reason))
+        else:
             # a reduced table is measured, described and joined: it is computed once
             right = tables[step.table] if step.reduce is None else pinned(step.reduce(tables[step.table]))
-            row = join_diagnostics(master, right, step.key, step.suffix, step.title, step.null_safe)
-            master = left_join(master, right, step.key, step.suffix, step.null_safe, limits)
-        else:
-            reason = (failures or {}).get(step.table, "not loaded")
-            row = skipped_step(master, step.key, step.title, reason)
+            for side, df in ((fact, master), (step.table, right)):
+                if step.key.lower() not in (c.lower() for c in df.columns):
+                    raise ValueError(f"step {number} ({step.title}): {side} has no column {step.key!r}")
+            if step.key not in keys.columns:  # a key that an earlier step brought
+                master = keys = pinned(master)
+            row = pinned(join_diagnostics(_counted(keys, master), right, step.key, step.suffix, step.title, step.null_safe))
+            master = left_join(master, right, step.key, step.suffix, step.null_safe, limits, keys)
+            if row.first()["row_count_changed"]:
+                master = keys = pinned(master)
         report.append(row.select(F.lit(number).alias("step"), "*"))
     if not report:
         return master, small_relation(master.sparkSession, {"step": "int", "step_name": "string"}, [])
     return master, union_all(report)
 
 
+def _counted(keys: DataFrame, master: DataFrame) -> DataFrame:
+    """The rows of ``keys`` under all column names of the master, so that collisions of names are seen."""
+    missing = [c for c in master.columns if c not in keys.columns]
+    return keys.withColumns({c: F.lit(None) for c in missing}) if missing else keys
+
+
 def build_text_master(df: DataFrame, text_column: str) -> tuple[DataFrame, DataFrame]:
     """The cleaned text table and what was removed from it."""
     return clean_text_rows(df, text_column), clean_text_counts(df, text_column)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +24,7 @@ from assayer.operators.quality import (
 )
 from assayer.operators.quantiles import exact_quantiles
 from assayer.session import pinned
-from assayer.sources.loading import reason
+from assayer.sources.loading import TABLE_ERRORS, reason
 
 
 def column_profile(df: DataFrame, rules: Thresholds = DEFAULTS, limits: Limits = LIMITS) -> DataFrame:
@@ -54,6 +53,8 @@ def column_profile(df: DataFrame, rules: Thresholds = DEFAULTS, limits: Limits =
         F.bround("missing_pct", 2).alias("missing_pct"),
         "n_unique",
         *rounded,
+        "min_exact",
+        "max_exact",
         "top_values",
     )
 
@@ -121,7 +122,7 @@ def numeric_section(
         "ordinal", *[F.get("quantiles", F.lit(j)).alias(c) for j, c in enumerate(("q1", "median", "q3"))]
     )
     return (
-        outliers.join(F.broadcast(moments(df).drop("n")), "ordinal", "left")
+        outliers.join(F.broadcast(moments(df).drop("n", "min_exact", "max_exact")), "ordinal", "left")
         .join(F.broadcast(quartiles), "ordinal", "left")
         .select("ordinal", "column", "n", "mean", "std", "min", "q1", "median", "q3", "max", "outliers", "outlier_pct")
     )
@@ -135,8 +136,9 @@ def explore_all(
     failures: dict[str, str] = {}
     for name in sorted(tables):
         try:
-            found = explore(tables[name], rules, limits)
-        except PySparkException as error:
+            # computed here, so that a table that cannot be read fails on its own
+            found = {section: pinned(findings) for section, findings in explore(tables[name], rules, limits).items()}
+        except TABLE_ERRORS as error:
             failures[name] = reason(error)
             continue
         for section, findings in found.items():

@@ -21,6 +21,7 @@ from assayer.operators.relations import (
     standalone_tables,
 )
 from assayer.session import pinned
+from assayer.sources.loading import TABLE_ERRORS, reason
 
 
 def dataset_overview(tables: Mapping[str, DataFrame], keys: DataFrame, rules: Thresholds = DEFAULTS) -> DataFrame:
@@ -48,13 +49,33 @@ def dataset_overview(tables: Mapping[str, DataFrame], keys: DataFrame, rules: Th
     )
 
 
-def all_table_keys(tables: Mapping[str, DataFrame], rules: Thresholds = DEFAULTS) -> DataFrame:
-    """(dataset, columns, kind) of every table."""
-    parts = []
+def readable_keys(
+    tables: Mapping[str, DataFrame], rules: Thresholds = DEFAULTS
+) -> tuple[DataFrame | None, dict[str, DataFrame], dict[str, str]]:
+    """(dataset, columns, kind) of every table that can be read, those tables, and why the others cannot.
+
+    The keys of a table are computed before the next one is looked at, so that a failing table fails on its own. Without any
+    readable table there are no keys.
+    """
+    parts, readable, failures = [], {}, {}
     for name in sorted(tables):
-        stats = pinned(column_stats(tables[name]))
-        parts.append(table_keys(tables[name], rules, stats).select(F.lit(name).alias("dataset"), "columns", "kind"))
-    return union_all(parts)
+        try:
+            stats = pinned(column_stats(tables[name]))
+            keys = pinned(table_keys(tables[name], rules, stats).select(F.lit(name).alias("dataset"), "columns", "kind"))
+        except TABLE_ERRORS as error:
+            failures[name] = reason(error)
+            continue
+        parts.append(keys)
+        readable[name] = tables[name]
+    return (union_all(parts) if parts else None), readable, failures
+
+
+def all_table_keys(tables: Mapping[str, DataFrame], rules: Thresholds = DEFAULTS) -> DataFrame:
+    """(dataset, columns, kind) of every table; an error if one cannot be read."""
+    keys, _, failures = readable_keys(tables, rules)
+    if failures:
+        raise ValueError(f"tables that cannot be read: {failures}")
+    return keys
 
 
 def analyze(
@@ -63,12 +84,15 @@ def analyze(
     rules: Thresholds = DEFAULTS,
     name_map: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The whole relationship report, by section."""
-    keys = pinned(all_table_keys(tables, rules))
+    """The whole relationship report, by section. Tables that fail while being read join the failures."""
+    keys, tables, unreadable = readable_keys(tables, rules)
+    failures = {**(failures or {}), **unreadable}
+    if keys is None:
+        raise LookupError(f"no table can be read: {failures}")
     single = keys.where("kind = 'single'").select("dataset", F.col("columns")[0].alias("column"))
     links = pinned(foreign_keys(tables, rules, name_map, single))
-    counts = {"datasets": len(tables), "failed": len(failures or {})}
-    failed = small_relation(keys.sparkSession, {"dataset": "string", "error": "string"}, sorted((failures or {}).items()))
+    counts = {"datasets": len(tables), "failed": len(failures)}
+    failed = small_relation(keys.sparkSession, {"dataset": "string", "error": "string"}, sorted(failures.items()))
     return {
         "overview": dataset_overview(tables, keys, rules),
         "keys": keys,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,17 +29,21 @@ def build_session(app_name: str = "assayer", **settings: str) -> SparkSession:
 
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session that names none (a test on one machine) gets a local
-    temporary folder, one per application.
+    Only a session on one machine may name none: it gets a local temporary
+    folder, one per application. Elsewhere that folder would be another one
+    on every executor, and what is read back would be incomplete.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="assayer-")
@@ -47,7 +52,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the tables that this application has put into the shared folder; returns how many. Findings that are still
+    lazy must not be read afterwards."""
+    jvm, removed = spark.sparkContext._jvm, 0
+    for name in _MADE.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        removed += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
 
 
 def pinned(df: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayer.config import FALSE_TOKENS, MISSING_TOKENS, TRUE_TOKENS
 from assayer.functions.columns import ref
-from assayer.operators.frequency import union_all
 from assayer.session import pinned
 
 # Fixed patterns of what counts as a number in text.
@@ -16,39 +18,70 @@ NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][n
 
 
 def file_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, encoding, multi_line), one row per file.
+    """(file, encoding, multi_line, header), one row per file.
 
     A file that is not valid UTF-8 is Latin-1 as a whole. If every line holds
     an even number of quotes, no value spans lines, and Spark may split the
-    file over tasks.
+    file over tasks. The header is the first line as it stands.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+        "value",
+    )
     quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     return lines.groupBy("file").agg(
         F.when(F.bool_and(F.is_valid_utf8("value")), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
         (~F.bool_and(quotes % 2 == 0)).alias("multi_line"),
+        F.min_by(F.rtrim("value", F.lit("\r")), "place").alias("header"),
     )
 
 
+def _fields(record: Column) -> Column:
+    """How many fields a record has: commas outside quotes, and one."""
+    bare = F.regexp_replace(record, '"[^"]*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All columns as text. Files of one layout are read together."""
+    """All columns as text. Files of one layout and header are read together, and their columns meet by name.
+
+    A shorter record ends in missing values. A record with more fields than
+    the header has no place for them: the table fails when it is read.
+    Headers that name different columns are an error that shows both.
+    """
     layouts: dict[tuple, list[str]] = {}
-    for row in file_layouts(spark, path).collect():
-        layouts.setdefault((row["encoding"], row["multi_line"]), []).append(row["file"])
-    parts = [
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", encoding)
-        .option("multiLine", multi_line)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(sorted(files))
-        for (encoding, multi_line), files in sorted(layouts.items())
-    ]
-    if not parts:
+    # few rows even for many files: those of one layout are gathered as an array
+    grouped = file_layouts(spark, path).groupBy("encoding", "multi_line", "header")
+    for row in grouped.agg(F.sort_array(F.collect_list("file")).alias("files")).collect():
+        layouts[row["encoding"], row["multi_line"], row["header"]] = row["files"]
+    if not layouts:
         return spark.read.option("header", True).csv(path)
-    return union_all(parts)
+    parts = []
+    for encoding, multi_line, header in sorted(layouts, key=str):
+        files = layouts[encoding, multi_line, header]
+        reader = (
+            spark.read.option("header", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("encoding", encoding)
+            .option("multiLine", multi_line)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
+        names = reader.csv(files[0]).columns
+        record = "record"
+        while record in names:
+            record += "_"
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, record]])
+        rows = reader.schema(schema).option("columnNameOfCorruptRecord", record).csv(files)
+        shown = F.concat(F.lit("a record has more fields than the header: "), F.left(ref(record), F.lit(80)))
+        fits = F.when(_fields(ref(record)) > len(names), F.raise_error(shown).cast("boolean")).otherwise(F.lit(True))
+        parts.append(rows.where(fits).select([ref(c) for c in names]))
+    for part in parts[1:]:
+        if sorted(part.columns) != sorted(parts[0].columns):
+            raise ValueError(f"files with different columns: {parts[0].columns} and {part.columns}")
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def blank_missing(df: DataFrame) -> DataFrame:
@@ -101,9 +134,9 @@ def infer_types(df: DataFrame) -> DataFrame:
 def read_csv(spark: SparkSession, path: str | list[str], staged: bool = True) -> DataFrame:
     """A typed table from CSV files with a header row.
 
-    Staged, the text is parsed once into the shared folder and types are
-    found there: a file with quoted newlines is read by a single task, so it
-    should not be read again for every operator.
+    Staged, the text is parsed once into the shared folder, types are found
+    there, and the typed table is written: a file with quoted newlines is
+    read by a single task, and no later scan casts text again.
     """
     text = blank_missing(read_csv_text(spark, path))
-    return infer_types(pinned(text) if staged else text)
+    return pinned(infer_types(pinned(text))) if staged else infer_types(text)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,20 @@ from assayer.functions.columns import ref
 FORMATS = ("parquet", "csv", "json", "text")
 
 
+def _parts(path: str) -> tuple[str, list[str]]:
+    scheme, _, rest = path.rpartition(":")
+    scheme = "" if scheme == "file" else scheme
+    return scheme, posixpath.normpath("/" + rest.lstrip("/")).split("/")
+
+
+def refuse_overlap(source: str, target: str) -> None:
+    """An error if writing to ``target`` would replace ``source``, a folder that holds it, or a part of it."""
+    (one, a), (two, b) = _parts(source), _parts(target)
+    shorter = min(len(a), len(b))
+    if one == two and a[:shorter] == b[:shorter]:
+        raise ValueError(f"{target} would overwrite the source {source}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header, doubled quotes, folders created, an older result replaced."""
     (

@@ -170,14 +170,14 @@ def test_top_values_of_nothing(spark):
     assert frequency.top_values(spark.range(3), 5).count() == 0
 
 
-def test_ranking_is_cut_before_the_shuffle(spark, capsys):
-    df = spark.createDataFrame([("a",)], "v string")
-    from pyspark.sql import functions as F
-    from pyspark.sql.window import Window
-
-    by = Window.partitionBy("ordinal").orderBy(F.desc("n"), "head")
-    frequency.value_counts(df).withColumn("p", F.rank().over(by)).where("p <= 3").explain()
-    assert "WindowGroupLimit" in capsys.readouterr().out
+def test_ranking_is_cut_before_the_shuffle(spark):
+    """Long values with one beginning, all as frequent: every task passes on at most ``limit`` of them."""
+    head = "https://example.org/a/rather/long/path/that/all/of/the/values/have/in/common/"
+    df = spark.range(4000).selectExpr(f"concat('{head}', lpad(id, 6, '0')) AS v").repartition(6)
+    found = frequency.top_values(df, 3)
+    assert [r["value"][-6:] for r in found.orderBy("rank").collect()] == ["000000", "000001", "000002"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2
 
 
 def test_column_profile_rounds_half_to_even(spark):
