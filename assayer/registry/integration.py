@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from assayer.config import LIMITS
 from assayer.functions.columns import WHITE_SPACE
 from assayer.operators import joins
 from assayer.plans import master
@@ -117,7 +118,7 @@ def fan_out_warnings(spark, folder):
     return rows[0].unionByName(rows[1]).select("step_name", "fan_out_risk", "row_count_changed")
 
 
-def build(spark, folder):
+def build(spark, folder, limits=LIMITS):
     names = ("orders_gaps", "buyers", "priorities", "order_totals")
     tables = {n: source(spark, folder, n) for n in names}
     steps = [
@@ -126,7 +127,7 @@ def build(spark, folder):
         JoinSpec("reviews", "o_orderkey", "_review"),
         JoinSpec("order_totals", "o_orderkey", "_total"),
     ]
-    return master.build_master(tables, "orders_gaps", steps, {"reviews": "PATH_NOT_FOUND"})
+    return master.build_master(tables, "orders_gaps", steps, {"reviews": "PATH_NOT_FOUND"}, limits)
 
 
 _MASTER = f"""SELECT l.*, {_BUYER}, p.priorities, p.priority_count, s.quantity, s.line_count

@@ -129,7 +129,7 @@ def _rounded(df):
 
 @query("c8_numeric_profile", per_column("lineitem_gaps", LINE_NUMBERS, lambda i, c: _PROFILE.format(c=c)))
 def numeric_profile(spark, folder):
-    return _rounded(numeric.numeric_profile(source(spark, folder, "lineitem_gaps")).drop("q1", "q3"))
+    return _rounded(numeric.numeric_profile(source(spark, folder, "lineitem_gaps")).drop("q1", "q3", "min_exact", "max_exact"))
 
 
 @query(
@@ -137,7 +137,7 @@ def numeric_profile(spark, folder):
     per_column("orders_gaps", [(i, ORDERS[i]) for i in (0, 1, 3)], lambda i, c: f"{_PROFILE.format(c=c)}, {_QUARTILES.format(c=c)}"),
 )
 def describe(spark, folder):
-    return _rounded(numeric.numeric_profile(source(spark, folder, "orders_gaps")))
+    return _rounded(numeric.numeric_profile(source(spark, folder, "orders_gaps")).drop("min_exact", "max_exact"))
 
 
 def _ranked(name: str, columns, limit: int) -> str:
@@ -246,8 +246,10 @@ def _profile_row(i: int, c: str) -> str:
                 ("std", f"stddev_samp({c})"),
             )
         )
-        return f"{common}, {numbers}, NULL::VARCHAR AS top_values"
+        ends = [f"CAST({f}({c}) AS VARCHAR)" if i < 3 else "NULL::VARCHAR" for f in ("min", "max")]
+        return f"{common}, {numbers}, {ends[0]} AS min_exact, {ends[1]} AS max_exact, NULL::VARCHAR AS top_values"
     none = ", ".join(f"NULL::DOUBLE AS {n}" for n in ("min", "max", "mean", "median", "std"))
+    none += ", NULL::VARCHAR AS min_exact, NULL::VARCHAR AS max_exact"
     top = (
         f"(SELECT string_agg(v || '=' || n, '; ' ORDER BY n DESC, v) FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n "
         f"FROM t WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, v LIMIT 10))"
