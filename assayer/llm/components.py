@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayer.llm.common import narrow
 from assayer.session import pinned
 
 
@@ -23,10 +24,9 @@ def components(edges: DataFrame) -> DataFrame:
     while seen[0]:
         both = edges.select(F.col("v").alias("x"), F.col("u").alias("y")).union(edges.select("u", "v"))
         least = pinned(both.groupBy("x").agg(F.min("y").alias("y")).select("x", F.least("x", "y").alias("m")))
-        large = edges.join(least, edges["v"] == least["x"]).select("u", F.col("m").alias("v"))
-        large = _stored(large)
+        large = edges.join(narrow(least.withColumnRenamed("x", "v")), "v").select("u", F.col("m").alias("v"))
         least = pinned(large.groupBy("u").agg(F.min("v").alias("m")))
-        small = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(narrow(least), "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = _stored(small.union(least.select("u", F.col("m").alias("v"))))
         now = _fingerprint(edges)
         if now == seen:

@@ -257,7 +257,7 @@ def connected(members: DataFrame, percent: int, exact: bool) -> DataFrame:
     the set of shingles (``exact``) or its bitmap; by the bitmap all that can link does.
     """
     sizes = pinned(members.groupBy("family").agg(F.count(F.lit(1)).alias("all")))
-    dealt = members.join(sizes, "family").withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
+    dealt = members.join(narrow(sizes), "family").withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.col("all")) < PIVOTS)
     everywhere = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -266,9 +266,11 @@ def connected(members: DataFrame, percent: int, exact: bool) -> DataFrame:
     within = within.withColumns({"y": F.lit(-1), "side": F.lit(0), "component": F.lit(None).cast("bigint")})
     found = pinned(_unit_links(within, percent, exact))
     named = components(found)
+    if sizes.where(F.col("all") > BLOCK).isEmpty():
+        return named
     # What is left in families of several blocks: sets outside the largest component, against all blocks.
     large = dealt.where("blocks > 1").drop("all")
-    split = large.join(named.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    split = large.join(narrow(named).withColumnRenamed("node", "doc_id"), "doc_id", "left")
     split = pinned(split.withColumn("component", F.coalesce("component", "doc_id")))
     parts = split.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = F.max(F.struct("n", "component"))
@@ -276,7 +278,7 @@ def connected(members: DataFrame, percent: int, exact: bool) -> DataFrame:
     main = pinned(main.where("rest > 0").withColumn("others", F.ceil(F.col("rest") / BLOCK).cast("int")))
     if main.isEmpty():
         return named
-    split = split.join(main, "family").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("others")).cast("int"))
+    split = split.join(narrow(main), "family").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("others")).cast("int"))
     outside = F.col("component") != F.col("main")
     left = split.where(outside).withColumns({"x": F.col("own"), "side": F.lit(0)}).withColumn("y", everywhere)
     right = split.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
@@ -320,7 +322,7 @@ def joined(documents: DataFrame, percent: int = 90, width: int = 3, id_column="d
     # Copies take the component of the first document with their set.
     usable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "digest")
     firsts = usable.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    firsts = firsts.join(named.withColumnRenamed("node", "first"), "first", "left")
+    firsts = firsts.join(narrow(named).withColumnRenamed("node", "first"), "first", "left")
     classes = pinned(firsts.select("digest", F.coalesce("component", "first").alias("class")))
     found = signed.select("doc_id", "size", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
