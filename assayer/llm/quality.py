@@ -146,18 +146,18 @@ def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bags = [bag(t.as_py() or "") for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), batch.column("place"), *(pa.array([b[k] for b in bags], kind) for k, kind in enumerate(kinds))],
-                ["label", "place", "ids", "counts"],
-            )
+            ids = pa.array([b[0].astype("<i4").tobytes() for b in bags], pa.binary())
+            counts = pa.array([b[1].astype("<f4").tobytes() for b in bags], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("place"), ids, counts], names)
 
-    kinds = [pa.list_(pa.int64()), pa.list_(pa.float64())]
+    names = ["label", "place", "ids", "counts"]
     chosen = labels.where("label IN (0, 1)").withColumn("place", F.xxhash64("doc_id"))
     chosen = chosen.orderBy("place", "doc_id", "label").limit(rows)
     found = documents.join(F.broadcast(chosen), "doc_id").select("label", "place", "text")
-    found = found.mapInArrow(run, "label int, place bigint, ids array<bigint>, counts array<double>")
-    table = sorted(found.toLocalIterator(), key=lambda r: (r["place"], r["label"], r["ids"]))
-    return [(np.array(r["ids"]), np.array(r["counts"])) for r in table], [r["label"] for r in table]
+    found = found.mapInArrow(run, "label int, place bigint, ids binary, counts binary")
+    table = sorted(found.collect(), key=lambda r: (r["place"], r["label"], r["ids"]))
+    bags = [(np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["counts"], "<f4")) for r in table]
+    return bags, [r["label"] for r in table]
 
 
 def scored(
