@@ -284,14 +284,14 @@ def connected(members: DataFrame, percent: int, exact: bool) -> DataFrame:
     right = split.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
     right = right.where(~outside | (F.col("own") != F.col("x"))).withColumns({"y": F.col("block"), "side": F.lit(1)})
     rest = pinned(_unit_links(left.union(right.select(left.columns)), percent, exact))
-    return components(found.union(rest))
+    return components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
 
 
 def candidates(signed: DataFrame, percent: int) -> DataFrame:
     """(node, component): documents that can link with another by size and bitmap, and their cluster."""
     usable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     firsts = usable.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = usable.select("digest", "doc_id").join(pinned(firsts), "digest").where("doc_id != first").select("doc_id", "digest")
+    copies = usable.select("digest", "doc_id").join(narrow(pinned(firsts)), "digest").where("doc_id != first").select("doc_id", "digest")
     own = usable.join(narrow(pinned(copies)), ["doc_id", "digest"], "left_anti")
     keyed = own.select("doc_id", F.explode("keys").alias("key"))
     groups = keyed.groupBy("key").agg(
@@ -299,7 +299,7 @@ def candidates(signed: DataFrame, percent: int) -> DataFrame:
     )
     groups = pinned(groups.where("a < b").groupBy("a", "b", "n", "all").agg(F.min("key").alias("key")).select("key"))
     shared = pinned(keyed.join(narrow(groups), "key").select(F.col("key").alias("family"), "doc_id").distinct())
-    members = pinned(shared.join(own.select("doc_id", "size", "payload"), "doc_id"))
+    members = pinned(own.select("doc_id", "size", "payload").join(narrow(shared), "doc_id"))
     return connected(members, percent, exact=False)
 
 
