@@ -294,10 +294,12 @@ def candidates(signed: DataFrame, percent: int) -> DataFrame:
     copies = usable.select("digest", "doc_id").join(narrow(pinned(firsts)), "digest").where("doc_id != first").select("doc_id", "digest")
     own = usable.join(narrow(pinned(copies)), ["doc_id", "digest"], "left_anti")
     keyed = own.select("doc_id", F.explode("keys").alias("key"))
-    groups = keyed.groupBy("key").agg(
-        F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("all")
-    )
-    groups = pinned(groups.where("a < b").groupBy("a", "b", "n", "all").agg(F.min("key").alias("key")).select("key"))
+    # What tells the documents of a key: ends, number, and two sums of hashes (a repeated id is no less than two).
+    hashed = F.xxhash64("doc_id")
+    told = {"a": F.min("doc_id"), "b": F.max("doc_id"), "n": F.count(F.lit(1)), "odd": F.bit_xor(hashed)}
+    told["all"] = F.sum(F.pmod(hashed, F.lit(1 << 31)))
+    groups = keyed.groupBy("key").agg(*[c.alias(n) for n, c in told.items()])
+    groups = pinned(groups.where("a < b").groupBy(*told).agg(F.min("key").alias("key")).select("key"))
     shared = pinned(keyed.join(narrow(groups), "key").select(F.col("key").alias("family"), "doc_id").distinct())
     members = pinned(own.select("doc_id", "size", "payload").join(narrow(shared), "doc_id"))
     return connected(members, percent, exact=False)
