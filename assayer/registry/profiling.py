@@ -11,6 +11,9 @@ from assayer.registry.catalog import query
 from assayer.registry.checks import per_column, quoted, with_input
 from assayer.registry.inputs import check_sql, source
 
+# All columns of the widest input.
+WIDE = ["o_orderkey", "o_custkey", "buyer", "status", "o_totalprice", "gross_price", "urgent_price", "open_custkey", "spiked_price"]
+WIDE += ["final_score", "currency", "o_orderdate", "o_orderpriority", "open_priority", "reference"]
 ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 ORDER_LABELS = [("int64", "float64")] * 2 + [("str", "str"), ("float64", "float64"), ("datetime64", "datetime64"), ("str", "str")]
 LINES = (
@@ -332,17 +335,16 @@ def categorical_section(spark, folder):
     "c21_type_classes",
     per_column(
         "orders_wide",
-        [(4, "o_totalprice"), (3, "status"), (11, "o_orderdate"), (10, "currency"), (9, "final_score")],
-        lambda i, c: f"{'true' if i in (4, 9) else 'false'} AS is_numeric, {'true' if i in (3, 10) else 'false'} "
+        list(enumerate(WIDE)),
+        lambda i, c: f"{'true' if i in (0, 1, 2, 4, 5, 6, 7, 8, 9) else 'false'} AS is_numeric, {'true' if i in (3, 10, 12, 13, 14) else 'false'} "
         f"AS is_categorical, count({c}) AS n_nonnull",
     ),
 )
 def type_classes(spark, folder):
     df = source(spark, folder, "orders_wide")
-    chosen = ["o_totalprice", "status", "o_orderdate", "currency", "final_score"]
-    numeric_names = [c for c in chosen if is_numeric(df.schema[c].dataType)]
-    categorical_names = [c for c in chosen if is_categorical(df.schema[c].dataType)]
-    return frequency.column_stats(df, chosen).select(
+    numeric_names = [c for c in df.columns if is_numeric(df.schema[c].dataType)]
+    categorical_names = [c for c in df.columns if is_categorical(df.schema[c].dataType)]
+    return frequency.column_stats(df).select(
         "ordinal",
         "column",
         F.col("column").isin(numeric_names).alias("is_numeric"),
@@ -354,12 +356,22 @@ def type_classes(spark, folder):
 @query(
     "c22_explore_all",
     f"""SELECT 'members' AS dataset, (SELECT count(*) FROM {check_sql('members')}) AS "rows", 5 AS "columns",
+        (SELECT {_SIZE} FROM {check_sql('members')}) AS bytes,
         (SELECT count(*) FROM {check_sql('members')}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {check_sql('members')}))
-        AS duplicate_rows
+        AS duplicate_rows, 5 AS column_rows, 3 AS numeric_rows, 3 AS pair_rows,
+        (SELECT least(20, count(DISTINCT c_name)) + least(20, count(DISTINCT c_mktsegment)) FROM {check_sql('members')})
+        AS value_rows
     UNION ALL SELECT 'orders', (SELECT count(*) FROM {check_sql('orders_copies')}), 6,
-        (SELECT count(*) FROM {check_sql('orders_copies')}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {check_sql('orders_copies')}))""",
+        (SELECT CAST(count(*) * 32 + sum(strlen(o_orderstatus)) + sum(strlen(o_orderpriority)) AS BIGINT) FROM {check_sql('orders_copies')}),
+        (SELECT count(*) FROM {check_sql('orders_copies')}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {check_sql('orders_copies')})),
+        6, 3, 3, (SELECT least(20, count(DISTINCT o_orderstatus)) + least(20, count(DISTINCT o_orderpriority))
+        FROM {check_sql('orders_copies')})""",
 )
 def explore_all(spark, folder):
     tables = {"members": source(spark, folder, "members"), "orders": source(spark, folder, "orders_copies")}
     sections, _ = profiling.explore_all(tables)
-    return sections["overview"].select("dataset", "rows", "columns", "duplicate_rows")
+    found = sections["overview"].select("dataset", "rows", "columns", "bytes", "duplicate_rows")
+    sizes = {"columns": "column_rows", "numeric": "numeric_rows", "correlation": "pair_rows", "top_values": "value_rows"}
+    for section, name in sizes.items():
+        found = found.join(sections[section].groupBy("dataset").agg(F.count(F.lit(1)).alias(name)), "dataset")
+    return found

@@ -16,6 +16,7 @@ from assayer.plans import relationships as plan
 from assayer.registry.catalog import query
 from assayer.registry.checks import per_column, with_input
 from assayer.registry.inputs import check_sql, source
+from assayer.registry.profiling import WIDE
 from assayer.session import pinned
 
 # Tables that are linked, and the prefix that keeps their names apart.
@@ -65,12 +66,16 @@ def _is_key(dataset: str, column: str) -> str:
     )
 
 
+# The columns of the widest input that are no numbers.
+_WIDE_FAMILY = {3: "text", 10: "text", 11: "datetime", 12: "text", 13: "text", 14: "text"}
+
+
 @query(
     "f1_single_keys",
     " UNION ALL ".join(
         f"SELECT '{t}' AS dataset, '{c}' AS \"column\" WHERE {_is_key(t, c)}"
         for t, columns in {
-            "orders_wide": ["o_orderkey", "o_custkey", "status", "o_totalprice", "currency", "reference", "open_custkey"],
+            "orders_wide": WIDE,
             "documents": ["doc_id", "text", "lang", "source", "n_chars"],
             "turns": ["conv_id", "turn"],
         }.items()
@@ -79,17 +84,14 @@ def _is_key(dataset: str, column: str) -> str:
 )
 def single_keys(spark, folder):
     chosen = {
-        "orders_wide": source(spark, folder, "orders_wide").select(
-            "o_orderkey", "o_custkey", "status", "o_totalprice", "currency", "reference", "open_custkey"
-        ),
+        "orders_wide": source(spark, folder, "orders_wide"),
         "documents": source(spark, folder, "documents"),
         "turns": source(spark, folder, "turns"),
     }
     return relations.all_keys(chosen).select("dataset", "column")
 
 
-_SCORED = [(0, "o_orderkey"), (1, "o_custkey"), (2, "buyer"), (4, "o_totalprice"), (5, "gross_price"), (8, "spiked_price")]
-_SCORED += [(14, "reference"), (3, "status"), (11, "o_orderdate")]
+_SCORED = list(enumerate(WIDE))
 
 
 @query(
@@ -107,7 +109,7 @@ _SCORED += [(14, "reference"), (3, "status"), (11, "o_orderdate")]
 )
 def key_candidates(spark, folder):
     df = source(spark, folder, "orders_wide")
-    found = keys.key_candidates(column_stats(df, [c for _, c in _SCORED]))
+    found = keys.key_candidates(column_stats(df))
     return found.select("ordinal", "column", F.round("score", 6).alias("score"))
 
 
@@ -156,19 +158,18 @@ def normalized_names(spark, folder):
     "f5_dtype_families",
     per_column(
         "orders_wide",
-        [(0, "o_orderkey"), (3, "status"), (4, "o_totalprice"), (9, "final_score"), (11, "o_orderdate")],
-        lambda i, c: f"'{ {0: 'numeric', 3: 'text', 4: 'numeric', 9: 'numeric', 11: 'datetime'}[i] }' AS dtype_family, count({c}) AS n_nonnull",
+        list(enumerate(WIDE)),
+        lambda i, c: f"'{_WIDE_FAMILY.get(i, 'numeric')}' AS dtype_family, count({c}) AS n_nonnull",
     ),
 )
 def dtype_families(spark, folder):
     df = source(spark, folder, "orders_wide")
-    chosen = ["o_orderkey", "status", "o_totalprice", "final_score", "o_orderdate"]
     named = small_relation(
         spark,
         {"column": "string", "dtype_family": "string"},
-        [(c, relations.dtype_family(df.schema[c].dataType)) for c in chosen],
+        [(f.name, relations.dtype_family(f.dataType)) for f in df.schema.fields],
     )
-    stats = column_stats(df, chosen).select("ordinal", "column", "n_nonnull")
+    stats = column_stats(df).select("ordinal", "column", "n_nonnull")
     return stats.join(F.broadcast(named), "column")
 
 
