@@ -40,6 +40,8 @@ def reason(error: Exception) -> str:
     if isinstance(error, Py4JJavaError):
         return f"{type(error).__name__}: {_cause(error)}"
     text = str(error).strip().splitlines()
+    if condition == "USER_RAISED_EXCEPTION":
+        return text[0]
     return condition or (text[0] if text else type(error).__name__)
 
 

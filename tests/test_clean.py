@@ -70,3 +70,10 @@ def test_cleaning_twice_changes_nothing(spark, rows, data):
     assert rows(clean.clean_table(once)) == rows(once)
     want = {(v.strip() if v is not None else None, n) for v, n in data}
     assert {tuple(r) for r in once.collect()} == want
+
+
+def test_duplicates_with_maps_and_dotted_names(spark):
+    rows = [({"a": 1}, 1), ({"a": 1}, 1), ({"a": 2}, 1), (None, None)]
+    df = spark.createDataFrame(rows, "m map<string,int>, `c.d` int")
+    assert clean.drop_duplicate_rows(df).count() == 3
+    assert clean.drop_missing(df, ["c.d"]).count() == 3

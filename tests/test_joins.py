@@ -5,9 +5,11 @@ from hypothesis import strategies as st
 from assayer.config import Limits
 from assayer.operators import joins
 from assayer.plans import master
-from assayer.plans.master import JoinSpec
+from assayer.plans.master import JoinSpec, build_master
+from assayer.plans.star import with_fallback
 
 SHUFFLED = Limits(broadcast_bytes=-1, hot_key_share=0.1, salts=3)
+SALTED = Limits(broadcast_bytes=-1)
 KEYS = st.lists(st.sampled_from([1, 2, 3, None]), min_size=1, max_size=15)
 
 
@@ -125,3 +127,41 @@ def test_text_master(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, " ")], "id int, t string")
     table, counts = master.build_text_master(df, "t")
     assert table.count() == 1 and tuple(counts.first()) == (3, 1, 1, 1)
+
+
+def test_names_that_differ_by_case_and_internal_names(spark, rows):
+    left = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k int, Name string, salt int")
+    right = spark.createDataFrame([(1, "x", 7)], "K int, name string, right_salt int")
+    found = joins.left_join(left, right, "k", "_r", limits=SALTED)
+    assert found.columns == ["k", "Name", "salt", "name_r", "right_salt"]
+    assert rows(found) == sorted([(1, "a", 5, "x", 7), (2, "b", 6, None, None)], key=repr)
+
+
+def test_a_table_of_keys_alone_gets_all_salts(spark):
+    left = spark.range(1000).selectExpr("CAST(1 AS INT) AS k")
+    right = spark.createDataFrame([(1, "v")], "k int, v string")
+    assert left.select(joins._salt(left, "k", 8).alias("s")).distinct().count() == 8
+    assert joins.left_join(left, right, "k", "_r", limits=SALTED).groupBy("v").count().collect()[0]["count"] == 1000
+
+
+def test_master_names_the_step_whose_key_is_missing(spark):
+    tables = {"fact": spark.range(3).toDF("k"), "other": spark.range(3).toDF("x")}
+    with pytest.raises(ValueError, match="step 1 .*other has no column 'k'"):
+        build_master(tables, "fact", [JoinSpec("other", "k")])
+
+
+def test_master_keeps_fan_out_and_keys_of_earlier_steps(spark, rows):
+    tables = {
+        "fact": spark.createDataFrame([(1, "f"), (2, "g")], "k int, f string"),
+        "many": spark.createDataFrame([(1, 10), (1, 11)], "k int, m int"),
+        "late": spark.createDataFrame([(10, "x")], "m int, l string"),
+    }
+    found, report = build_master(tables, "fact", [JoinSpec("many", "k"), JoinSpec("late", "m"), JoinSpec("many", "k", "_again")])
+    assert found.count() == 5
+    assert [(r["rows_before"], r["rows_after"]) for r in report.orderBy("step").collect()] == [(2, 3), (3, 3), (3, 5)]
+
+
+def test_fallback_takes_the_first_known_value(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 4.0), (None, 2.0, 4.0), (None, None, 4.0), (None, None, None)], "a double, b double, c double")
+    found = with_fallback(df, "v", [["a"], ["b", "c"], ["c"]]).select("v", "v_from").collect()
+    assert [tuple(r) for r in found] == [(1.0, "a"), (3.0, "b and c"), (4.0, "c"), (None, None)]

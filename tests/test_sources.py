@@ -127,3 +127,42 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
 
     assert shared_folder(Named) == "/shared/folder"
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_surplus_fields_fail_and_short_records_do_not(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text('a,b\n1,2\n3,4,\n"x,y",6\n')
+    (tmp_path / "short.csv").write_text('a,b\n1\n"x,y",6\n')
+    tables, failures = loading.load_tables(spark, {n: f"{tmp_path}/{n}.csv" for n in ("bad", "short")})
+    assert list(failures) == ["bad"] and "more fields" in failures["bad"]
+    assert sorted((tuple(r) for r in tables["short"].collect()), key=repr) == [("1", None), ("x,y", 6)]
+
+
+def test_files_with_columns_in_another_order(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "two.csv").write_text("b,a\ny,2\n")
+    found = csv.read_csv(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in found.select("a", "b").collect()) == [(1, "x"), (2, "y")]
+    (tmp_path / "three.csv").write_text("b,c\ny,2\n")
+    with pytest.raises(ValueError, match="different columns"):
+        csv.read_csv_text(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize(
+    ("source", "target", "clash"),
+    [("/a/raw", "/a/raw", True), ("file:/a/raw/x.csv", "/a/raw/", True), ("/a/raw", "/a/cleaned", False), ("s3://b/a", "/b/a", False)],
+)
+def test_a_source_is_never_overwritten(source, target, clash):
+    if clash:
+        with pytest.raises(ValueError, match="overwrite"):
+            sinks.refuse_overlap(source, target)
+    else:
+        sinks.refuse_overlap(source, target)
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    from assayer.session import clear_scratch, pinned
+
+    clear_scratch(spark)
+    found = pinned(spark.range(3))
+    assert found.count() == 3
+    assert clear_scratch(spark) == 1
