@@ -32,8 +32,8 @@ from assayer.llm.common import picked
 from assayer.session import pinned
 
 PRIOR = 8.0
-BLOCK_BYTES = 8_000_000
-RANGE_ENTRIES = 4_000_000
+BLOCK_BYTES = 5_000_000
+RANGE_ENTRIES = 2_000_000
 END = 0  # number of the end token, which is also the begin symbol of the next text
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
