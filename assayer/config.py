@@ -47,7 +47,7 @@ FALSE_TOKENS = ("False", "FALSE", "false")
 
 @dataclass(frozen=True)
 class Thresholds:
-    """Every number a rule compares with. Pass a changed copy to override."""
+    """Every number a rule compares with. Fixed values, as results depend on them; pass a changed copy to override."""
 
     high_missing_pct: float = 70.0
     high_correlation: float = 0.80

@@ -99,6 +99,7 @@ def normalize_name(name: str) -> str:
     Words are joined by one underscore and one trailing id is dropped.
     """
     plain = name.strip().lower()
+    # Fixed value: the characters that join words.
     joined = re.sub(r"[^0-9a-zA-Z]+", "_", plain).strip("_")
     shorter = re.fullmatch(r"(.+?)(_id|id)", joined)
     if shorter:

@@ -181,8 +181,11 @@ def set_containment(spark, folder):
     "g11_master_report",
     f"""SELECT 'master' AS dataset, count(*) AS "rows", 13 AS "columns", CAST(count(*) * 32 + coalesce(sum(strlen(o_orderstatus)), 0)
         + coalesce(sum(strlen(o_orderpriority)), 0) + coalesce(sum(strlen(name)), 0) + coalesce(sum(strlen(o_orderstatus_buyer)), 0)
-        + coalesce(sum(strlen(priorities)), 0) + count(*) * 32 AS BIGINT) AS bytes, 'documents, pages' AS ignored FROM ({_MASTER})""",
+        + coalesce(sum(strlen(priorities)), 0) + count(*) * 32 AS BIGINT) AS bytes,
+        'o_orderkey: bigint, o_custkey: bigint, o_orderstatus: string, o_totalprice: double, o_orderdate: timestamp_ntz, '
+        || 'o_orderpriority: string, name: string, o_orderstatus_buyer: string, o_totalprice_buyer: double, priorities: string, '
+        || 'priority_count: bigint, quantity: double, line_count: bigint' AS schema, 'documents, pages' AS ignored FROM ({_MASTER})""",
 )
 def master_report(spark, folder):
     report = master.table_report("master", build(spark, folder)[0], ["documents", "pages"])
-    return report.withColumn("ignored", F.array_join("ignored", ", ")).drop("schema")
+    return report.withColumns({c: F.array_join(c, ", ") for c in ("ignored", "schema")})
