@@ -108,6 +108,13 @@ def tables_stats(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str
     )
 
 
+def row_count(df: DataFrame, known: int | None = None) -> DataFrame:
+    """(rows): counted, unless the number is known already."""
+    if known is not None:
+        return small_relation(df.sparkSession, {"rows": "bigint"}, [(known,)])
+    return df.agg(F.count(F.lit(1)).alias("rows"))
+
+
 def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """The base findings of every column, from which most rules follow.
 

@@ -14,7 +14,7 @@ from assayer.config import CONTRIBUTION_TARGET_WORDS, DEFAULTS, Thresholds
 from assayer.functions.columns import compact, nan_to_null, normalize_name, ref, text_key
 from assayer.functions.relations import melt, small_relation
 from assayer.functions.types import FLOATING, INTEGRAL, columns_of, dtype_family
-from assayer.operators.frequency import union_all
+from assayer.operators.frequency import row_count, union_all
 from assayer.operators.keys import all_single_keys
 
 Tables = Mapping[str, DataFrame]
@@ -61,8 +61,13 @@ def all_keys(tables: Tables, groups: dict[str, list[Entry]] | None = None) -> Da
     return all_single_keys(tables, matched)
 
 
-def matching_columns(tables: Tables, name_map: Mapping[str, str] | None = None) -> DataFrame:
-    """(normalized_name, dataset, column, dtype_family, is_key, mixed_families) of every shared name."""
+def matching_columns(
+    tables: Tables, name_map: Mapping[str, str] | None = None, keys: DataFrame | None = None
+) -> DataFrame:
+    """(normalized_name, dataset, column, dtype_family, is_key, mixed_families) of every shared name.
+
+    ``keys``: the (dataset, column) of all single keys, if they are known.
+    """
     groups = match_groups(column_entries(tables, name_map))
     spark = next(iter(tables.values())).sparkSession
     schema = dict.fromkeys(("normalized_name", "dataset", "column", "dtype_family"), "string")
@@ -75,7 +80,8 @@ def matching_columns(tables: Tables, name_map: Mapping[str, str] | None = None)
             for e in g
         ],
     )
-    keys = all_keys(tables, groups).select("dataset", "column", F.lit(True).alias("is_key"))
+    keys = all_keys(tables, groups) if keys is None else keys
+    keys = keys.select("dataset", "column", F.lit(True).alias("is_key"))
     # keys are at most one row per column
     return listed.join(F.broadcast(keys), ["dataset", "column"], "left").na.fill(False, ["is_key"])
 
@@ -287,8 +293,8 @@ def relationship_summary(relationships: DataFrame) -> DataFrame:
     )
 
 
-def contributions(tables: Tables) -> DataFrame:
-    """(dataset, rows, numeric_columns, text_columns, datetime_columns, likely_targets)."""
+def contributions(tables: Tables, counts: Mapping[str, int] | None = None) -> DataFrame:
+    """(dataset, rows, numeric_columns, text_columns, datetime_columns, likely_targets). ``counts``: rows, if they are known."""
     parts = []
     for dataset in sorted(tables):
         df = tables[dataset]
@@ -302,7 +308,7 @@ def contributions(tables: Tables) -> DataFrame:
             if c.lower().rpartition("_")[2] in CONTRIBUTION_TARGET_WORDS
         ]
         parts.append(
-            df.agg(F.count(F.lit(1)).alias("rows")).select(
+            row_count(df, (counts or {}).get(dataset)).select(
                 F.lit(dataset).alias("dataset"),
                 "rows",
                 *[F.lit(of_family(k)).alias(f"{k}_columns") for k in ("numeric", "text", "datetime")],

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assayer.config import DEFAULTS, Thresholds
 from assayer.functions.relations import small_relation
 from assayer.functions.types import dtype_family
-from assayer.operators.frequency import column_stats, union_all
+from assayer.operators.frequency import row_count, tables_stats, union_all
 from assayer.operators.keys import table_keys
 from assayer.operators.relations import (
     contributions,
@@ -24,8 +24,13 @@ from assayer.session import pinned
 from assayer.sources.loading import TABLE_ERRORS, reason
 
 
-def dataset_overview(tables: Mapping[str, DataFrame], keys: DataFrame, rules: Thresholds = DEFAULTS) -> DataFrame:
-    """(dataset, rows, columns, type_mix, keys): composite keys are cut to the first few."""
+def dataset_overview(
+    tables: Mapping[str, DataFrame],
+    keys: DataFrame,
+    rules: Thresholds = DEFAULTS,
+    counts: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """(dataset, rows, columns, type_mix, keys): composite keys are cut to the first few. ``counts``: rows, if known."""
     parts = []
     for name in sorted(tables):
         df = tables[name]
@@ -34,7 +39,7 @@ def dataset_overview(tables: Mapping[str, DataFrame], keys: DataFrame, rules: Th
             families[dtype_family(f.dataType)] = families.get(dtype_family(f.dataType), 0) + 1
         mix = ", ".join(f"{k}={families[k]}" for k in sorted(families))
         parts.append(
-            df.agg(F.count(F.lit(1)).alias("rows")).select(
+            row_count(df, (counts or {}).get(name)).select(
                 F.lit(name).alias("dataset"), "rows", F.lit(len(df.columns)).alias("columns"), F.lit(mix).alias("type_mix")
             )
         )
@@ -54,22 +59,36 @@ def readable_keys(
 ) -> tuple[DataFrame | None, dict[str, DataFrame], dict[str, str]]:
     """(dataset, columns, kind) of every table that can be read, those tables, and why the others cannot.
 
-    The keys of a table are computed before the next one is looked at, so that a failing table fails on its own. Without any
-    readable table there are no keys.
+    All tables are read together. Only if that fails is each read on its own, so that a failing table fails alone. Without
+    any readable table there are no keys.
     """
-    parts, readable, failures = [], {}, {}
+    if not tables:
+        return None, {}, {}
+    try:
+        return _keys_of(tables, rules), dict(tables), {}
+    except TABLE_ERRORS:
+        parts, readable, failures = [], {}, {}
     for name in sorted(tables):
         try:
-            stats = pinned(column_stats(tables[name]))
-            keys = pinned(table_keys(tables[name], rules, stats).select(F.lit(name).alias("dataset"), "columns", "kind"))
+            parts.append(_keys_of({name: tables[name]}, rules))
         except TABLE_ERRORS as error:
             failures[name] = reason(error)
             continue
-        parts.append(keys)
         readable[name] = tables[name]
     return (union_all(parts) if parts else None), readable, failures
 
 
+def _keys_of(tables: Mapping[str, DataFrame], rules: Thresholds) -> DataFrame:
+    stats = pinned(tables_stats(tables))
+    parts = [
+        table_keys(tables[name], rules, stats.where(F.col("dataset") == name).drop("dataset")).select(
+            F.lit(name).alias("dataset"), "columns", "kind"
+        )
+        for name in sorted(tables)
+    ]
+    return pinned(union_all(parts))
+
+
 def all_table_keys(tables: Mapping[str, DataFrame], rules: Thresholds = DEFAULTS) -> DataFrame:
     """(dataset, columns, kind) of every table; an error if one cannot be read."""
     keys, _, failures = readable_keys(tables, rules)
@@ -90,17 +109,18 @@ def analyze(
     if keys is None:
         raise LookupError(f"no table can be read: {failures}")
     single = keys.where("kind = 'single'").select("dataset", F.col("columns")[0].alias("column"))
+    sizes = {name: df.count() for name, df in tables.items()}
     links = pinned(foreign_keys(tables, rules, name_map, single))
     counts = {"datasets": len(tables), "failed": len(failures)}
     failed = small_relation(keys.sparkSession, {"dataset": "string", "error": "string"}, sorted(failures.items()))
     return {
-        "overview": dataset_overview(tables, keys, rules),
+        "overview": dataset_overview(tables, keys, rules, sizes),
         "keys": keys,
-        "matching_columns": matching_columns(tables, name_map),
+        "matching_columns": matching_columns(tables, name_map, single),
         "relationships": links,
         "merge_guidance": merge_guidance(links),
         "standalone": standalone_tables(tables, links),
-        "contributions": contributions(tables),
+        "contributions": contributions(tables, sizes),
         "summary": relationship_summary(links).withColumns({k: F.lit(v) for k, v in counts.items()}),
         "failures": failed,
     }
