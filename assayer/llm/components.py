@@ -13,6 +13,9 @@ from assayer.llm.common import narrow
 from assayer.session import pinned
 
 
+EDGES_PER_TASK = 20_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a, b); a component is named by its smallest node.
 
@@ -22,12 +25,15 @@ def components(edges: DataFrame) -> DataFrame:
     edges = _stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v"))
     seen = _fingerprint(edges)
     while seen[0]:
+        # as many tasks as the edges need, whatever the number of shuffle partitions
+        tasks = -(-seen[0] // EDGES_PER_TASK)
         both = edges.select(F.col("v").alias("x"), F.col("u").alias("y")).union(edges.select("u", "v"))
-        least = pinned(both.groupBy("x").agg(F.min("y").alias("y")).select("x", F.least("x", "y").alias("m")))
+        least = both.groupBy("x").agg(F.min("y").alias("y")).select("x", F.least("x", "y").alias("m"))
+        least = pinned(least.coalesce(tasks))
         large = edges.join(narrow(least.withColumnRenamed("x", "v")), "v").select("u", F.col("m").alias("v"))
-        least = pinned(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = pinned(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks))
         small = large.join(narrow(least), "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = _stored(small.union(least.select("u", F.col("m").alias("v"))))
+        edges = _stored(small.union(least.select("u", F.col("m").alias("v"))), tasks)
         now = _fingerprint(edges)
         if now == seen:
             break
@@ -36,8 +42,9 @@ def components(edges: DataFrame) -> DataFrame:
     return pinned(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots))
 
 
-def _stored(edges: DataFrame) -> DataFrame:
-    return pinned(edges.distinct())
+def _stored(edges: DataFrame, tasks: int | None = None) -> DataFrame:
+    found = edges.distinct()
+    return pinned(found.coalesce(tasks) if tasks else found)
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
