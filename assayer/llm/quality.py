@@ -54,7 +54,7 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole = np.add.reduceat(codes * powers[np.arange(len(codes)) - begins[word]], begins)
         found = [(np.arange(len(words)), _bucket(whole + np.uint64(1)))]
         hashes = np.zeros(len(codes), dtype=np.uint64)
-        for n in range(1, LONGEST + 1):
+        for n in range(1, min(LONGEST, len(codes)) + 1):
             hashes[: len(codes) - n + 1] = hashes[: len(codes) - n + 1] * _PRIME + codes[n - 1 :] + np.uint64(n)
             if n >= SHORTEST:
                 at = np.flatnonzero(rest >= n)
