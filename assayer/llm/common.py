@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayer.session import pinned
+
+ROW_KEY = "assayer_row_key"
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 RANK_PARTS = 1024
 BROADCAST_ROWS = 1_000_000  # rows of a few numbers each
@@ -42,3 +45,18 @@ def ranked(rows: DataFrame, group: str, spread: list[str], order: list[str]) ->
 def narrow(stored: DataFrame) -> DataFrame:
     """A stored table of a few numbers a row, broadcast where a count shows that it is small enough, else as it is."""
     return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
+def row_keyed(df: DataFrame) -> DataFrame:
+    """The rows with a key of their own in the column ``ROW_KEY``, the same whenever and wherever they are read.
+
+    Rows of stored files are known by their file and their place in it; any others are stored first.
+    """
+    plan = df._jdf.queryExecution().analyzed().getClass().getSimpleName()
+    if plan != "LogicalRelation" or not len(df._jdf.inputFiles()):
+        return pinned(df.withColumn(ROW_KEY, F.monotonically_increasing_id()))
+    files = df.select(F.col("_metadata.file_path").alias("path")).distinct()
+    files = pinned(files.withColumn("file", F.row_number().over(Window.orderBy("path")).cast("bigint")))
+    rows = df.select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("place"))
+    key = F.shiftleft("file", 40).bitwiseOR(F.col("place"))
+    return rows.join(narrow(files), "path").withColumn(ROW_KEY, key).drop("path", "place", "file")

@@ -17,11 +17,17 @@ the candidate clusters. Then the sets of each cluster are compared, down to exac
 **Large groups**, of either kind, are dealt into blocks of ``BLOCK`` sets. First each block is compared in itself and with some
 pivots of the group, which connects the bulk of near copies in one pass. Then only the sets outside the group's largest
 component are compared with all blocks. Each task returns a spanning forest of its links, never all pairs.
+
+**Numbers of links** (``linked`` only) need every pair of a component, connected already or not. Its distinct sets are dealt
+into blocks of at most about ``LINK_BLOCK`` sets and ``LINK_BYTES`` of shingles; every two blocks meet once, overlaps are
+counted as products of matrices, and a task returns one number per set, weighted by copies. The work and the rows dealt grow
+with the square of a component's distinct sets, the rows by one ``LINK_BLOCK``-th of it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import narrow, picked
+from assayer.llm.common import ROW_KEY, narrow, picked, row_keyed
 from assayer.llm.components import Sets, components, runs
 from assayer.session import pinned
 
@@ -39,6 +45,11 @@ BLOCK = 128
 PIVOTS = 8
 LONGEST_BITMAP = 32  # words of 64 bits that travel with a key
 CACHE_ENTRIES = 600_000
+LINK_BLOCK = 2048
+LINK_BYTES = 8_000_000
+LIGHT = 256  # pairs of sets with a shingle up to which they are listed; beyond that a shingle is a column of a matrix
+COLUMNS = 1024
+PAIRS = 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -315,12 +326,7 @@ def joined(documents: DataFrame, percent: int = 90, width: int = 3, id_column="d
     """
     rows = picked(documents, doc_id=id_column, text=text_column)
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    schema = "doc_id bigint, size bigint, digest binary, keys array<bigint>, payload binary"
-    signed = pinned(rows.mapInArrow(lambda batches: _signed(batches, width, percent), schema))
-    clusters = pinned(candidates(signed, percent).select(F.col("node").alias("doc_id"), F.col("component").alias("family")))
-    texts = rows.join(narrow(clusters), "doc_id").select("family", "doc_id", "text")
-    schema = "family bigint, doc_id bigint, size bigint, payload binary"
-    named = connected(pinned(texts.mapInArrow(lambda batches: _members(batches, width), schema)), percent, exact=True)
+    signed, _, named = _classed(rows, percent, width)
     # Copies take the component of the first document with their set.
     usable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "digest")
     firsts = usable.groupBy("digest").agg(F.min("doc_id").alias("first"))
@@ -329,3 +335,136 @@ def joined(documents: DataFrame, percent: int = 90, width: int = 3, id_column="d
     found = signed.select("doc_id", "size", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
     return found.select(F.col("doc_id").alias(id_column), F.col("size").alias("n_shingles"), component.alias("component_id"))
+
+
+def _classed(rows: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For rows (doc_id, text): their signatures, the sets that were compared, and (node, component) of those that link."""
+    schema = "doc_id bigint, size bigint, digest binary, keys array<bigint>, payload binary"
+    signed = pinned(rows.mapInArrow(lambda batches: _signed(batches, width, percent), schema))
+    clusters = pinned(candidates(signed, percent).select(F.col("node").alias("doc_id"), F.col("component").alias("family")))
+    texts = rows.join(narrow(clusters), "doc_id").select("family", "doc_id", "text")
+    schema = "family bigint, doc_id bigint, size bigint, payload binary"
+    members = pinned(texts.mapInArrow(lambda batches: _members(batches, width), schema))
+    return signed, members, connected(members, percent, exact=True)
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of one list shares with each of the other."""
+    m, k = len(left), len(right)
+    values = np.concatenate([*left, *right])
+    owner = np.repeat(np.arange(m + k), [len(s) for s in chain(left, right)])
+    order = np.argsort(values, kind="stable")  # the left owners of a shingle come first
+    values, owner = values[order], owner[order]
+    begins = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    column = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(values)))
+    on_left = owner < m
+    a = np.bincount(column[on_left], minlength=len(begins))
+    b = np.bincount(column[~on_left], minlength=len(begins))
+    found = np.zeros(m * k, dtype=np.int64)
+    # Shingles of few pairs, pair by pair.
+    light = np.flatnonzero(on_left & ((a * b > 0) & (a * b <= LIGHT))[column])
+    times = b[column[light]]
+    part = np.cumsum(times) // PAIRS
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    for at, n in zip(np.split(light, cuts), np.split(times, cuts), strict=True):
+        if not len(at):
+            continue
+        c = column[at]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        other = owner[np.repeat(begins[c] + a[c], n) + within] - m
+        found += np.bincount(np.repeat(owner[at], n) * k + other, minlength=m * k)
+    found = found.reshape(m, k)
+    # The others as columns of two matrices of zeros and ones.
+    heavy = np.flatnonzero(a * b > LIGHT)
+    for start in range(0, len(heavy), COLUMNS):
+        some = heavy[start : start + COLUMNS]
+        number = np.full(len(begins), -1)
+        number[some] = np.arange(len(some))
+        at = np.flatnonzero(number[column] >= 0)
+        bits = np.zeros((m + k, len(some)), dtype=np.float32)
+        bits[owner[at], number[column[at]]] = 1
+        found += np.rint(bits[:m] @ bits[m:].T).astype(np.int64)
+    return found
+
+
+def _linked_weights(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """For each set of a unit (component, x, y), the copies of the sets it links with there: in itself, or across the sides."""
+    for rows in runs(batches, ["component", "x", "y"]):
+        ids, weights, side = (rows[c].to_numpy() for c in ("doc_id", "copies", "side"))
+        sets = [np.frombuffer(p.as_py(), dtype="<u8") for p in rows["payload"]]
+        sizes = np.array([len(s) for s in sets])
+        first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        alone = rows["x"][0].as_py() == rows["y"][0].as_py()
+        second = first if alone else second
+        if not len(first) or not len(second):
+            continue
+        common = overlaps([sets[i] for i in first], [sets[j] for j in second])
+        totals = np.zeros(len(ids), dtype=np.int64)
+        for at, i in enumerate(first):
+            both = sizes[i] + sizes[second]
+            links = 100 * common[at] >= percent * (both - common[at])
+            if alone:
+                links[at] = False
+            else:
+                totals[second] += links * weights[i]
+            totals[i] += weights[second] @ links
+        kept = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[kept], pa.int64()), pa.array(totals[kept], pa.int64())], ["doc_id", "n"])
+
+
+def link_counts(sets: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, n) for stored sets (component, doc_id, copies, payload): the copies of all sets of the component that link."""
+    total = F.sum(F.length("payload").cast("bigint"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / LINK_BLOCK), F.ceil(total / LINK_BYTES)).cast("int")
+    dealt = sets.join(narrow(pinned(sets.groupBy("component").agg(blocks.alias("blocks")))), "component")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    order = ["component", "x", "y"]
+    units = dealt.select(
+        "component",
+        F.least("block", "other").alias("x"),
+        F.greatest("block", "other").alias("y"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"),
+        "doc_id",
+        "copies",
+        "payload",
+    )
+    units = units.repartition(*order).sortWithinPartitions(*order)
+    counts = units.mapInArrow(lambda batches: _linked_weights(batches, percent), "doc_id bigint, n bigint")
+    return counts.groupBy("doc_id").agg(F.sum("n").alias("n"))
+
+
+def linked(documents: DataFrame, percent: int = 90, width: int = 3, id_column="doc_id", text_column="text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, n_links (the number of other rows that it links with).
+
+    Sets and links are those of ``joined``, but rows count, not ids: rows that repeat an id or have none link like any others
+    and have a component each, which is named by its smallest id (null where no row of it has one). Every link counts on both
+    its sides, also where the rows are connected through others. A row that links with nothing has 0.
+    """
+    keyed = row_keyed(documents)
+    ids = picked(keyed, node=ROW_KEY, id=id_column)
+    rows = picked(keyed, doc_id=ROW_KEY, text=text_column)
+    signed, members, named = _classed(rows, percent, width)
+    signed = signed.select(F.col("doc_id").alias("node"), "size", "digest")
+    signed = pinned(signed.join(ids.withColumn("id", F.col("id").cast("bigint")), "node"))
+    firsts = signed.where("digest IS NOT NULL").groupBy("digest")
+    firsts = pinned(firsts.agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("least")))
+    within = pinned(firsts.join(narrow(named), "node").select("node", "component", "copies", "least"))
+    sets = members.select("doc_id", "payload").join(narrow(within.select(F.col("node").alias("doc_id"), "component", "copies")), "doc_id")
+    counts = pinned(link_counts(pinned(sets), percent)).withColumnRenamed("doc_id", "node")
+    smallest = pinned(within.groupBy("component").agg(F.min("least").alias("smallest")))
+    within = pinned(within.select("node", "component").join(narrow(smallest), "component").join(narrow(counts), "node", "left"))
+    classes = firsts.join(narrow(within), "node", "left").select(
+        "digest",
+        # all of a component may be without an id
+        F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("smallest")).alias("component_id"),
+        (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
+    )
+    found = signed.join(pinned(classes), "digest", "left")
+    alone = F.col("digest").isNull()
+    return found.select(
+        F.col("id").alias(id_column),
+        F.col("size").alias("n_shingles"),
+        F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    )

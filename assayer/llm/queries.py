@@ -102,6 +102,25 @@ def op3_ngram_join(spark, folder):
     return ngram_join.joined(table(spark, folder, "documents"))
 
 
+@query(
+    "op3_ngram_links",
+    f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+    items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+    links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM items x JOIN items y ON x.item = y.item AND x.doc_id < y.doc_id
+        AND 100 * x.n >= 90 * y.n AND 100 * y.n >= 90 * x.n
+        GROUP BY ALL HAVING 100 * count(*) >= 90 * (min(x.n) + min(y.n) - count(*))),
+    degree AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM links UNION ALL SELECT b FROM links) GROUP BY id),
+    {_REACH}
+    SELECT doc_id, len(s) AS n_shingles, coalesce(c, doc_id) AS component_id, coalesce(d.n, 0) AS n_links
+    FROM sets LEFT JOIN named m ON m.id = doc_id LEFT JOIN degree d ON d.id = doc_id""",
+)
+def op3_ngram_links(spark, folder):
+    return ngram_join.linked(table(spark, folder, "documents"))
+
+
 @query("op4_best_fit_packing")
 def op4_best_fit_packing(spark, folder):
     return packing.best_fit(table(spark, folder, "documents"), BYTE_BPE, SEQUENCE_TOKENS)

@@ -179,3 +179,43 @@ def test_linked_sets_share_a_key():
 
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.joined(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+def test_ngram_links_are_all_counted(spark, monkeypatch, block):
+    """Every link counts, not only those of a spanning forest; copies, repeated ids and missing ids are rows like others."""
+    monkeypatch.setattr(ngram_join, "LINK_BLOCK", block)
+    draw = random.Random(5)
+    base = [f"w{k}" for k in range(150)]
+    texts = [" ".join(edited(draw, base, draw.randint(0, 5))) for _ in range(40)]
+    texts += [texts[0]] * 5 + [f"alone {k} and different" for k in range(5)] + ["", None, " ", "one", "ONE"]
+    ids = [1000 - k for k in range(len(texts))]
+    ids[3] = ids[4] = None
+    ids[7] = ids[8] = ids[-6]
+    sets = [shingles(t, 3) for t in texts]
+    edges = [
+        (i, j)
+        for i in range(len(texts))
+        for j in range(i)
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])
+    ]
+    named = classes(range(len(texts)), edges)
+    least = defaultdict(list)
+    for k, c in named.items():
+        least[c] += [ids[k]] if ids[k] is not None else []
+    degree = [sum(k in e for e in edges) for k in range(len(texts))]
+    want = [(ids[k], len(sets[k]), min(least[named[k]], default=None), degree[k]) for k in range(len(texts))]
+    assert sum(degree) > 4 * len(texts)
+    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id bigint, text string")
+    found = ngram_join.linked(df, 90, 3).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+
+
+def test_overlaps_of_few_and_many(monkeypatch):
+    draw = np.random.default_rng(2)
+    left, right = ([np.unique(draw.integers(0, 60, 25).astype(np.uint64)) for _ in range(n)] for n in (30, 20))
+    want = [[len(np.intersect1d(a, b)) for b in right] for a in left]
+    for light in (0, 100, 10**9):
+        monkeypatch.setattr(ngram_join, "LIGHT", light)
+        monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+        assert ngram_join.overlaps(left, right).tolist() == want
