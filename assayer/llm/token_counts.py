@@ -4,7 +4,9 @@ The tokenizer never joins text across white space, so the tokens of a text are t
 first tier is a table of the lengths of the most frequent pieces of all texts. Each task counts its pieces in a bounded
 summary, the summaries are merged in a tree of tasks, and at most ``TABLE_ENTRIES`` pieces are broadcast, whatever the size
 of the corpus. The second tier is the cache of each worker for all other pieces; what it lacks is encoded by the library.
-The tables only save work: every count is that of the library.
+Only pieces of at most ``LONGEST_PIECE`` characters enter a summary, the table or a cache, so that all of these are bounded in
+bytes too; longer ones, such as sentences without blanks, are encoded by the library each time. The tables only save work:
+every count is that of the library.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ TABLE_ENTRIES = 32_768
 SUMMARY_ENTRIES = 131_072
 CACHE_ENTRIES = 600_000
 SLICE_CHARS = 4_000_000
+LONGEST_PIECE = 64  # characters, at most 256 bytes
 FAN_IN = 16  # summaries that one task merges
 # str.split() also splits at these; the tokenizer takes them for letters or marks.
 _NOT_WHITE = re.compile("[\x1c-\x1f]")
@@ -46,6 +49,13 @@ def lengths(path: str, pieces: list[str]) -> list[int]:
     return [len(e.ids) for e in tokenizer(path).encode_batch_fast(pieces, add_special_tokens=False)]
 
 
+def _short(pieces: list[str]) -> list[str]:
+    """The pieces that a table may hold."""
+    if len(max(pieces, key=len, default="")) <= LONGEST_PIECE:
+        return pieces
+    return [p for p in pieces if len(p) <= LONGEST_PIECE]
+
+
 def _shrunk(counts: Counter, entries: int) -> Counter:
     """The most frequent entries; ties by the piece itself."""
     if len(counts) <= entries:
@@ -65,7 +75,7 @@ def frequent(documents: DataFrame, entries: int = TABLE_ENTRIES) -> list[str]:
         counts: Counter = Counter()
         for batch in batches:
             for text in batch.column("text"):
-                counts.update((text.as_py() or "").split())
+                counts.update(_short((text.as_py() or "").split()))
                 if len(counts) > 2 * SUMMARY_ENTRIES:
                     counts = _shrunk(counts, SUMMARY_ENTRIES)
         yield batch_of(counts)
@@ -132,6 +142,11 @@ def _counts(texts: list[str], path: str, common: dict[str, int], cache: dict[str
     parts = [[t] if _NOT_WHITE.search(t) else t.split() for t in texts]
     if len(cache) > CACHE_ENTRIES:
         cache.clear()
-    new = list({p for part in parts for p in part if p not in common and p not in cache})
+    unknown = {p for part in parts for p in part if p not in common and p not in cache}
+    new = _short(list(unknown))
     cache.update(zip(new, lengths(path, new), strict=True))
-    return [sum([common[p] if p in common else cache[p] for p in part]) for part in parts]
+    if len(new) == len(unknown):
+        return [sum([common[p] if p in common else cache[p] for p in part]) for part in parts]
+    rest = [p for p in unknown if len(p) > LONGEST_PIECE]
+    once = dict(zip(rest, lengths(path, rest), strict=True))
+    return [sum([common[p] if p in common else once[p] if p in once else cache[p] for p in part]) for part in parts]

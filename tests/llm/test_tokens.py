@@ -182,3 +182,15 @@ def test_plan_takes_no_longer_for_more_documents():
     rows = packing.plan(counts, 2048)
     assert len(rows) < 20_000
     assert all(sum(b - a for m, a, b, *_ in rows if m == n) == counts[n] for n in (1, 700, 2048))
+
+
+def test_long_pieces_stay_out_of_tables(spark):
+    texts = ["日本語" * 100, "x" * 5000, "x" * 5000, "short words", "y" * 65 + " short", "x" * 3000 + "\x1c" + "z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert token_counts.frequent(df.select("text")) == ["short", "words", "z"]
+    cache = {}
+    library = Tokenizer.from_file(WORD)
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert token_counts._counts(texts, WORD, {}, cache) == want
+    assert sorted(cache) == ["short", "words"]
+    assert [r["n_tokens"] for r in token_counts.counted(df, WORD).orderBy("doc_id").collect()] == want
