@@ -18,6 +18,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 SEQUENCE_TOKENS = 2048
 SHARDS = 24
+MODEL_ORDER = 3  # words of the longest n-gram
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -152,7 +153,7 @@ def op7_sharding(spark, folder):
 @query("op8_lm_scoring")
 def op8_lm_scoring(spark, folder):
     fold = remainder(F.col("doc_id"), 5)
-    rows = lm_scoring.scored(table(spark, folder, "documents"), fold != 1)
+    rows = lm_scoring.scored(table(spark, folder, "documents"), fold != 1, MODEL_ORDER)
     return rows.withColumn("held_out", ~F.col("learned")).drop("learned")
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayer.llm import lm_scoring
+from assayer.llm.queries import QUERIES
 from assayer.llm.lm_scoring import PRIOR, remainder, words_of
 
 COLUMNS = "doc_id bigint, text string"
@@ -82,3 +83,11 @@ def test_empty_and_unlearned(spark):
     assert lm_scoring.scored(empty, F.lit(True)).collect() == []
     nothing = lm_scoring.scored(spark.createDataFrame([(1, "a b")], COLUMNS), F.lit(False)).first()
     assert (nothing["train_tokens"], nothing["n_known"], nothing["score"]) == (0, 0, 0.0)
+
+
+def test_registered_query_scores_trigrams(spark, tmp_path):
+    rows = [(i, "a b c d a b d c b a") for i in range(20)]
+    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["score"] for r in QUERIES["op8_lm_scoring"](spark, str(tmp_path)).collect()}
+    assert found == pytest.approx({r[0]: r[5] for r in expected(rows, 3)})
+    assert found[0] != pytest.approx(expected(rows, 2)[0][5])
