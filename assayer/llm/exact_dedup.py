@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.llm.common import lower_az, picked
@@ -50,24 +50,42 @@ class DigestIndex:
 def digests(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id and the SHA-256 of the text with A-Z in lower case; a null text counts as empty."""
     rows = picked(documents, doc_id=id_column, text=text_column)
-    text = lower_az(F.coalesce("text", F.lit("")))
-    return rows.select("doc_id", F.unhex(F.sha2(text, 256)).alias("digest"))
+    return rows.select("doc_id", _digest("text").alias("digest"))
 
 
-def deduplicated(documents: DataFrame, index: DigestIndex, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def _digest(text: str) -> Column:
+    return F.unhex(F.sha2(lower_az(F.coalesce(text, F.lit(""))), 256))
+
+
+def deduplicated(
+    documents: DataFrame, index: DigestIndex, id_column: str = "doc_id", text_column: str = "text", row_key: str | None = None
+) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of the new documents with equal texts the one with the largest id stays, unless the index already holds the text: then
     none stays and keep_id names the earlier row. Rows without an id stay only where a whole group has none; rows that
     repeat an id with the same text are all marked as kept. An empty table gives no rows and leaves the index as it was.
+
+    With ``row_key``, a column that tells all rows apart, the result has it too, and of a group without ids only the row with
+    the smallest key is kept.
     """
-    rows = pinned(digests(documents, id_column, text_column))
-    groups = pinned(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+    rows = digests(documents, id_column, text_column)
+    if row_key:
+        keys = picked(documents, row_key=row_key, doc_id=id_column, text=text_column)
+        rows = keys.select("row_key", "doc_id", _digest("text").alias("digest"))
+    rows = pinned(rows)
+    first = [F.min("row_key").alias("first_key")] if row_key else []
+    groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"), *first)
+    groups = pinned(groups)
     known = pinned(index.add(groups))
+    kept = F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    if row_key:
+        kept &= F.col("keep_id").isNotNull() | (F.col("row_key") == F.col("first_key"))
     return rows.join(known, "digest").select(
+        *([F.col("row_key").alias(row_key)] if row_key else []),
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+        kept.alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )

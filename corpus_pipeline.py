@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.llm import exact_dedup, ngram_join, packing, quality
-from assayer.llm.common import narrow
+from assayer.llm.common import ROW_KEY, narrow, row_keyed
 from assayer.llm.lm_scoring import remainder
 from assayer.llm.queries import BYTE_BPE, SEQUENCE_TOKENS, table
 from assayer.session import pinned, scratch_path
@@ -28,15 +28,30 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts (A-Z in lower case): the one with the largest id. Rows without an id stay."""
-    found = exact_dedup.deduplicated(docs, exact_dedup.DigestIndex(spark))
-    return _without(docs, found.where("NOT kept").select("doc_id"))
+    """Of each group of equal texts (A-Z in lower case) the row with the largest id, or one row where none has an id.
+
+    Rows are dropped one by one: others that share their id stay. Rows that repeat both id and text stay together here, as
+    ``op6`` marks them; the next stage leaves one of them.
+    """
+    rows = row_keyed(docs)
+    found = exact_dedup.deduplicated(rows, exact_dedup.DigestIndex(spark), row_key=ROW_KEY)
+    return _without(docs, rows, found.where("NOT kept").select(ROW_KEY))
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Rows without an id stay."""
-    found = ngram_join.joined(docs, PERCENT, SHINGLE_WORDS)
-    return _without(docs, found.where("component_id != doc_id").select("doc_id"))
+    """One row of each group of near copies: one with the smallest id, or any where none has an id.
+
+    Rows are joined and dropped one by one, whatever ids they share. Texts without words are no copies of anything and stay.
+    """
+    rows = row_keyed(docs)
+    found = ngram_join.joined(rows, PERCENT, SHINGLE_WORDS, id_column=ROW_KEY).select(ROW_KEY, "component_id")
+    others = pinned(found.where(F.col("component_id") != F.col(ROW_KEY)))
+    groups = others.union(others.select(F.col("component_id").alias(ROW_KEY), "component_id").distinct())
+    groups = pinned(rows.select(ROW_KEY, "doc_id").join(narrow(pinned(groups)), ROW_KEY))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", ROW_KEY)
+    best = pinned(groups.groupBy("component_id").agg(F.min(place)[ROW_KEY].alias("best")))
+    dropped = groups.join(narrow(best), "component_id").where(F.col("best") != F.col(ROW_KEY))
+    return _without(docs, rows, dropped.select(ROW_KEY))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +67,8 @@ STAGES = [
 ]
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    return docs.join(narrow(pinned(dropped.distinct())), "doc_id", "left_anti").select(docs.columns)
+def _without(docs: DataFrame, rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    return rows.join(narrow(pinned(dropped)), ROW_KEY, "left_anti").select(docs.columns)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

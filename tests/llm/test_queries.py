@@ -82,3 +82,17 @@ def test_pipeline_stages_on_odd_rows(spark):
 
 def test_pipeline_runs(spark):
     assert set(COLUMNS["op4"].split()) <= set(corpus_pipeline.run(spark, FOLDER).columns)
+
+
+def test_pipeline_stages_drop_rows_not_ids(spark, tmp_path):
+    """An id with two texts loses only the copy; copies without an id are copies too. From memory and from files."""
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(i, t, "en", "s", 1) for i, t in [(7, a), (7, b), (9, a), (None, c), (None, c), (None, b)]]
+    docs = spark.createDataFrame(rows, schema)
+    docs.repartition(3).write.parquet(f"{tmp_path}/docs")
+    for given in (docs, spark.read.parquet(f"{tmp_path}/docs")):
+        exact = corpus_pipeline.exact_dedup_stage(spark, given, FOLDER).collect()
+        assert sorted((r["doc_id"] or 0, r["text"]) for r in exact) == [(0, c), (7, b), (9, a)]
+        near = corpus_pipeline.ngram_join_stage(spark, given, FOLDER).collect()
+        assert sorted((r["doc_id"] or 0, r["text"]) for r in near) == [(0, c), (7, a), (7, b)]
