@@ -20,6 +20,9 @@ COLUMNS = {
     "op8": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op9": "doc_id held_out score predicted",
     "op10": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op11": "query_id rank vec_id score",
+    "op12": "doc_id n_features weight score rank",
+    "op13": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 
