@@ -31,6 +31,6 @@ def query(name: str, check: str | None = None):
 
 
 def all_queries() -> dict[str, Query]:
-    from assayer.registry import cleaning, faults, integration, profiling, quality, relations, sources, stars  # noqa: F401
+    from assayer.registry import cleaning, faults, integration, matching, profiling, quality, relations, sources, stars  # noqa: F401
 
     return dict(_REGISTERED)
