@@ -13,7 +13,7 @@ from assayer.matching.score import WEIGHTS, match_scores
 from assayer.registry.catalog import query
 from assayer.registry.inputs import stored
 
-PERCENT = 30  # of a job's skills that a pair shares at least
+PERCENT = 3  # of a job's skills that a pair shares at least
 TOP = 10
 DIMENSIONS = 16
 
