@@ -50,13 +50,17 @@ def narrow(stored: DataFrame) -> DataFrame:
 def row_keyed(df: DataFrame) -> DataFrame:
     """The rows with a key of their own in the column ``ROW_KEY``, the same whenever and wherever they are read.
 
-    Rows of stored files are known by their file and their place in it; any others are stored first.
+    Rows of stored files are known by their file and their place in it; any others are stored first. Columns may have any
+    names but that of the key.
     """
     plan = df._jdf.queryExecution().analyzed().getClass().getSimpleName()
     if plan != "LogicalRelation" or not len(df._jdf.inputFiles()):
         return pinned(df.withColumn(ROW_KEY, F.monotonically_increasing_id()))
-    files = df.select(F.col("_metadata.file_path").alias("path")).distinct()
+    names = [f"c{i}" for i in range(len(df.columns))]
+    own = df.metadataColumn("_metadata")
+    rows = df.select("*", own["file_path"], own["row_index"]).toDF(*names, "path", "place")
+    files = rows.select("path").distinct()
     files = pinned(files.withColumn("file", F.row_number().over(Window.orderBy("path")).cast("bigint")))
-    rows = df.select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("place"))
     key = F.shiftleft("file", 40).bitwiseOR(F.col("place"))
-    return rows.join(narrow(files), "path").withColumn(ROW_KEY, key).drop("path", "place", "file")
+    keyed = rows.join(narrow(files), "path").select(*names, key.alias(ROW_KEY))
+    return keyed.toDF(*df.columns, ROW_KEY)

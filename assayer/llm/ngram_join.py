@@ -16,7 +16,7 @@ the candidate clusters. Then the sets of each cluster are compared, down to exac
 
 **Large groups**, of either kind, are dealt into blocks of ``BLOCK`` sets. First each block is compared in itself and with some
 pivots of the group, which connects the bulk of near copies in one pass. Then only the sets outside the group's largest
-component are compared with all blocks. Each task returns a spanning forest of its links, never all pairs.
+component are compared with all blocks of sizes near enough. Each task returns a spanning forest of its links, never all pairs.
 
 **Numbers of links** (``linked`` only) need every pair of a component, connected already or not. Its distinct sets are dealt
 into blocks of at most about ``LINK_BLOCK`` sets and ``LINK_BYTES`` of shingles; every two blocks meet once, overlaps are
@@ -26,13 +26,14 @@ with the square of a component's distinct sets, the rows by one ``LINK_BLOCK``-t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.common import ROW_KEY, narrow, picked, row_keyed
@@ -44,7 +45,10 @@ FAN = 4
 BLOCK = 128
 PIVOTS = 8
 LONGEST_BITMAP = 32  # words of 64 bits that travel with a key
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 200_000
+CACHED_BYTES = 64  # words of more bytes are hashed each time
+SLICE = 500  # rows signed at a time
+CLASS_CODES = 1 << 24  # blocks of a class of sizes are numbered below this
 LINK_BLOCK = 2048
 LINK_BYTES = 8_000_000
 LIGHT = 256  # pairs of sets with a shingle up to which they are listed; beyond that a shingle is a column of a matrix
@@ -72,11 +76,7 @@ class Shingler:
             return np.zeros(0, dtype=np.uint64)
         if len(self.known) > CACHE_ENTRIES:
             self.known = {}
-        known = self.known
-        for word in words:
-            if word not in known:
-                known[word] = xxhash.xxh3_64_intdigest(word)
-        hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        hashes = np.fromiter(map(self._hash, words), dtype=np.uint64, count=len(words))
         width = min(self.width, len(words))
         count = len(hashes) - width + 1
         found = np.full(count, width, dtype=np.uint64)
@@ -85,6 +85,15 @@ class Shingler:
         return np.unique(found)
 
 
+    def _hash(self, word: bytes) -> int:
+        found = self.known.get(word)
+        if found is None:
+            found = xxhash.xxh3_64_intdigest(word)
+            if len(word) <= CACHED_BYTES:
+                self.known[word] = found
+        return found
+
+
 class Levels:
     """Size classes and the keys of sets, for a threshold in hundredths."""
 
@@ -135,9 +144,17 @@ def bitmap_words(size: int) -> int:
     return 1 << max(0, (2 * size - 1).bit_length() - 6)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that a worker holds the results of few rows; at the end it gives back what it no longer uses."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            yield batch.slice(start, SLICE)
+    pa.default_memory_pool().release_unused()
+
+
 def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     shingler, levels = Shingler(width), Levels(percent)
-    for batch in batches:
+    for batch in _sliced(batches):
         out = []
         for text in batch.column("text"):
             shingles = shingler.set_of(text.as_py() or "")
@@ -154,7 +171,7 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
 
 def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     shingler = Shingler(width)
-    for batch in batches:
+    for batch in _sliced(batches):
         sets = [shingler.set_of(t.as_py() or "") for t in batch.column("text")]
         columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
         names = ["family", "doc_id", "size", "payload"]
@@ -286,18 +303,45 @@ def connected(members: DataFrame, percent: int, exact: bool) -> DataFrame:
     parts = split.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = F.max(F.struct("n", "component"))
     main = parts.groupBy("family").agg(largest["component"].alias("main"), (F.sum("n") - F.max("n")).alias("rest"))
-    main = pinned(main.where("rest > 0").withColumn("others", F.ceil(F.col("rest") / BLOCK).cast("int")))
+    main = pinned(main.where("rest > 0").select("family", "main"))
     if main.isEmpty():
         return named
-    split = split.join(narrow(main), "family").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("others")).cast("int"))
+    # Both sides are dealt by classes of sizes, so wide that linked sets are in one or in neighbouring ones.
+    split = split.join(narrow(main), "family").withColumn("class", _size_class("size", percent))
     outside = F.col("component") != F.col("main")
-    left = split.where(outside).withColumns({"x": F.col("own"), "side": F.lit(0)}).withColumn("y", everywhere)
-    right = split.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
-    right = right.where(~outside | (F.col("own") != F.col("x"))).withColumns({"y": F.col("block"), "side": F.lit(1)})
-    rest = pinned(_unit_links(left.union(right.select(left.columns)), percent, exact))
+    classes = split.groupBy("family", "class").agg(F.count(F.lit(1)).alias("n"), F.count_if(outside).alias("rest"))
+    classes = classes.select("family", "class", *[F.ceil(F.col(c) / BLOCK).cast("int").alias(c) for c in ("n", "rest")])
+    own, near = pinned(classes), _neighbours(classes)
+    split = split.join(narrow(own), ["family", "class"]).join(narrow(pinned(near)), ["family", "class"])
+    x, y = (F.col("class") * CLASS_CODES + F.pmod(F.xxhash64("doc_id"), F.col(c)) for c in ("rest", "n"))
+    left = split.where(outside).withColumns({"x": x, "side": F.lit(0)}).withColumn("y", F.explode("blocks_near"))
+    right = split.withColumns({"x": F.explode("parts_near"), "own": F.when(outside, x)})
+    right = right.where("own IS NULL OR own <> x").withColumns({"y": y, "side": F.lit(1)})
+    columns = ["family", "x", "y", "side", "component", "doc_id", "size", "payload"]
+    left, right = left.select(*columns), right.select(*columns)
+    rest = pinned(_unit_links(left.union(right), percent, exact))
     return components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
 
 
+def _size_class(size: str, percent: int) -> Column:
+    """A little wider than needed, so that rounding parts no linked sizes by more than one class."""
+    return F.floor(F.log(F.col(size)) / (1.0001 * math.log(100 / min(percent, 99)))).cast("bigint")
+
+
+def _neighbours(classes: DataFrame) -> DataFrame:
+    """For each class of a family, the numbers of the blocks (``n``) and of the parts outside (``rest``) in it and next to it."""
+
+    def numbers(count: str) -> Column:
+        base = F.col("class") * CLASS_CODES
+        some = F.transform(F.sequence(F.lit(0), F.col(count) - 1), lambda i: base + i)
+        return F.when(F.col(count) > 0, some).otherwise(F.array().cast("array<bigint>"))
+
+    found = classes.select("family", "class", numbers("n").alias("blocks_near"), numbers("rest").alias("parts_near"))
+    found = found.withColumn("class", F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)])))
+    lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("blocks_near", "parts_near")]
+    return found.groupBy("family", "class").agg(*lists)
+
+
 def candidates(signed: DataFrame, percent: int) -> DataFrame:
     """(node, component): documents that can link with another by size and bitmap, and their cluster."""
     usable = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
@@ -305,13 +349,16 @@ def candidates(signed: DataFrame, percent: int) -> DataFrame:
     copies = usable.select("digest", "doc_id").join(narrow(pinned(firsts)), "digest").where("doc_id != first").select("doc_id", "digest")
     own = usable.join(narrow(pinned(copies)), ["doc_id", "digest"], "left_anti")
     keyed = own.select("doc_id", F.explode("keys").alias("key"))
-    # What tells the documents of a key: ends, number, and two sums of hashes (a repeated id is no less than two).
+    # Most keys have one document. Only the ends of each travel first, then all of what the keys with two ends hold.
+    ends = keyed.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    several = pinned(keyed.join(narrow(pinned(ends.where("a < b").select("key"))), "key").distinct())
+    # What tells the documents of a key: ends, number, and two sums of hashes.
     hashed = F.xxhash64("doc_id")
     told = {"a": F.min("doc_id"), "b": F.max("doc_id"), "n": F.count(F.lit(1)), "odd": F.bit_xor(hashed)}
     told["all"] = F.sum(F.pmod(hashed, F.lit(1 << 31)))
-    groups = keyed.groupBy("key").agg(*[c.alias(n) for n, c in told.items()])
-    groups = pinned(groups.where("a < b").groupBy(*told).agg(F.min("key").alias("key")).select("key"))
-    shared = pinned(keyed.join(narrow(groups), "key").select(F.col("key").alias("family"), "doc_id").distinct())
+    groups = several.groupBy("key").agg(*[c.alias(n) for n, c in told.items()])
+    groups = pinned(groups.groupBy(*told).agg(F.min("key").alias("key")).select("key"))
+    shared = pinned(several.join(narrow(groups), "key").select(F.col("key").alias("family"), "doc_id"))
     members = pinned(own.select("doc_id", "size", "payload").join(narrow(shared), "doc_id"))
     return connected(members, percent, exact=False)
 

@@ -99,3 +99,19 @@ def test_pipeline_stages_drop_rows_not_ids(spark, tmp_path):
         assert sorted((r["doc_id"] or 0, r["text"]) for r in exact) == [(0, c), (7, b), (9, a)]
         near = corpus_pipeline.ngram_join_stage(spark, given, FOLDER).collect()
         assert sorted((r["doc_id"] or 0, r["text"]) for r in near) == [(0, c), (7, a), (7, b)]
+
+
+def test_pipeline_stages_with_clashing_names(spark, tmp_path):
+    """Extra columns that are named as what stages add or as what Spark keeps of files. From memory and from files."""
+    extra = ["path", "place", "file", "_metadata", "component_id", "digest", "family", "size", "keep_id", "row_key"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in extra)
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(i, t, "en", "s", 1, *extra) for i, t in [(1, a), (2, a), (3, b), (4, b + " more"), (None, a)]]
+    docs = spark.createDataFrame(rows, schema)
+    docs.write.parquet(f"{tmp_path}/docs")
+    for given in (docs, spark.read.parquet(f"{tmp_path}/docs")):
+        for name, stage in corpus_pipeline.STAGES[1:3]:
+            found = stage(spark, given, FOLDER)
+            assert found.columns == given.columns
+            assert sorted(r["doc_id"] for r in found.collect()) == ([2, 3, 4] if name == "exact_dedup" else [1, 3])
+            assert {tuple(r[c] for c in extra) for r in found.collect()} == {tuple(extra)}
