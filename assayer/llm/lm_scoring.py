@@ -9,8 +9,9 @@ and a failure arc to the state of h', weighted by log10(m / (c(h) + m)). The roo
 from left to right carries the state and adds up the weights; the texts of a block are traversed together, as arrays.
 
 **At scale.** Texts stay where they are. A task turns them into blocks of about ``BLOCK_BYTES`` (word numbers and 64-bit word
-hashes), which are stored. Each block asks for the counts of its distinct n-grams, dealt by ranges of their hashes; a range
-adds up the counts of all blocks and answers in the order it was asked. A block then builds the part of the automaton that
+hashes), which are stored. Each block asks for the counts of its distinct n-grams, level by level, dealt by ranges of their
+hashes; a range adds up the counts of all blocks and answers in the order it was asked. An n-gram whose context is in one
+block alone, as that of most long n-grams is, needs no asking. A block then builds the part of the automaton that
 its own texts can reach. No n-gram is dropped, and no task holds more than one block or one range.
 """
 
@@ -151,35 +152,78 @@ def _bounds(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, np.array(edges, dtype=np.uint64)), [len(hashes)]])
 
 
-def _requests(batches: Iterator[pa.RecordBatch], order: int, ranges: int) -> Iterator[pa.RecordBatch]:
-    """Rows (block, level, range, hashes, counts): what a block asks for and what it adds."""
+def _placed(answers: list[dict], level: int) -> np.ndarray:
+    """The totals a block was given for what it asked of a level, in the order of the hashes."""
+    own = [_array(r["totals"], "<i8") for r in sorted(answers, key=lambda r: r["range"]) if r["level"] == level]
+    return np.concatenate(own) if own else np.zeros(0, dtype=np.int64)
+
+
+def _totals(grams: Grams, learned: np.ndarray, answers: list[dict], levels: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Training counts over all blocks of the n-grams of a block, for the first ``levels``, and which of the next one to ask for.
+
+    An n-gram whose context is in no text outside this block has its count from this block, and one whose context is in no
+    training text has none. Only the others are asked for.
+    """
+    found, asked = [], np.ones(len(grams.hashes[0]), dtype=bool)
+    for level in range(1, levels + 1):
+        total, alone = grams.counts(learned, level).astype(np.int64), ~asked
+        places = np.flatnonzero(asked)
+        places = places[np.argsort(grams.hashes[level - 1][places])]
+        given = _placed(answers, level)
+        total[places], alone[places] = given >> 1, given & 1
+        found.append(total)
+        if level < len(grams.hashes):
+            asked = (~alone & (total > 0))[grams.context[level]]
+    return found, asked
+
+
+def _asked(row: dict, answers: list[dict], level: int, order: int, ranges: int) -> Iterator[tuple]:
+    """(block, level, range, hashes, counts): what a block asks for on a level and what it adds."""
+    grams, learned, _ = _read(row, order)
+    _, asked = _totals(grams, learned, answers, level - 1)
+    hashes, counts = grams.hashes[level - 1][asked], grams.counts(learned, level)[asked]
+    by_hash = np.argsort(hashes)
+    hashes, counts = hashes[by_hash], counts[by_hash].astype("<u4")
+    bounds = _bounds(hashes, ranges)
+    for r, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        if a < b:
+            yield row["block"], level, r, _steps(hashes[a:b]), _packed(counts[a:b])
+
+
+_REQUEST = pa.schema(
+    [("block", pa.int64()), ("level", pa.int32()), ("range", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())]
+)
+_REQUEST_SQL = "block bigint, level int, range int, hashes binary, counts binary"
+
+
+def _request_table(rows: Iterator[tuple]) -> pa.Table:
+    return pa.Table.from_pylist([dict(zip(_REQUEST.names, r, strict=True)) for r in rows], _REQUEST)
+
+
+def _first_requests(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            grams, learned, _ = _read(row, order)
-            out = defaultdict(list)
-            for level in range(1, order + 1):
-                hashes, counts = grams.hashes[level - 1], grams.counts(learned, level)
-                by_hash = np.argsort(hashes)
-                hashes, counts = hashes[by_hash], counts[by_hash].astype("<u4")
-                bounds = _bounds(hashes, ranges)
-                for r, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                    if a < b:
-                        out["block"].append(row["block"])
-                        out["level"].append(level)
-                        out["range"].append(r)
-                        out["hashes"].append(_steps(hashes[a:b]))
-                        out["counts"].append(_packed(counts[a:b]))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], list(out))
+            yield from _request_table(_asked(row, [], 1, 1, ranges)).to_batches()
+
+
+def _later_requests(level: int, ranges: int):
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        return _request_table(_asked(block.to_pylist()[0], answers.to_pylist(), level, level, ranges))
+
+    return run
 
 
 def _answers(rows: pa.Table) -> pa.Table:
-    """For one range of one level: the totals, in the order each block asked, and what they come to."""
+    """For one range of one level: the totals, in the order each block asked, and what they come to.
+
+    A total is doubled, and one more where no other block asked for the n-gram.
+    """
     asked = [np.cumsum(_array(h.as_py(), "<u8"), dtype=np.uint64) for h in rows["hashes"]]
     own = np.concatenate([_array(c.as_py(), "<u4") for c in rows["counts"]])
     distinct, inverse = np.unique(np.concatenate(asked), return_inverse=True)
     totals = np.bincount(inverse, weights=own, minlength=len(distinct)).astype("<i8")
-    answers = np.split(totals[inverse], np.cumsum([len(a) for a in asked])[:-1])
+    alone = np.bincount(inverse, minlength=len(distinct)) == 1
+    answers = np.split((2 * totals + alone)[inverse], np.cumsum([len(a) for a in asked])[:-1])
     first = np.arange(len(asked)) == 0
     return pa.table(
         {
@@ -240,13 +284,8 @@ class Automaton:
 
 def _scored(block: pa.Table, answers: pa.Table, order: int, tokens: int, types: int) -> pa.Table:
     row = block.to_pylist()[0]
-    grams, _, lengths = _read(row, order)
-    totals = [np.zeros(len(h), dtype=np.int64) for h in grams.hashes]
-    rows = answers.select(["level", "range", "totals"]).to_pylist()
-    for level in range(1, order + 1):
-        own = [_array(r["totals"], "<i8") for r in sorted(rows, key=lambda r: r["range"]) if r["level"] == level]
-        if own:
-            totals[level - 1][np.argsort(grams.hashes[level - 1])] = np.concatenate(own)
+    grams, learned, lengths = _read(row, order)
+    totals, _ = _totals(grams, learned, answers.to_pylist(), order)
     base = np.log10((totals[0] + 0.5) / (tokens + 0.5 * (types + 1)))
     begins = np.cumsum(lengths) - lengths
     return pa.table(
@@ -277,14 +316,19 @@ def scored(documents: DataFrame, learned: Column, order: int = 2, id_column="doc
     blocks = pinned(rows.mapInArrow(lambda batches: _blocks(batches, names), schema))
     size = blocks.agg(F.count(F.lit(1)).alias("n")).first()["n"] * BLOCK_BYTES
     ranges = max(-(-size // 6 // RANGE_ENTRIES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    asked = blocks.select("block", "learned", "lengths", "codes", "hashes").mapInArrow(
-        lambda batches: _requests(batches, order, ranges), "block bigint, level int, range int, hashes binary, counts binary"
-    )
-    answers = pinned(
-        asked.groupBy("level", "range").applyInArrow(
+    texts = blocks.select("block", "learned", "lengths", "codes", "hashes")
+    answers = None
+    for level in range(1, order + 1):
+        if level == 1:
+            asked = texts.mapInArrow(lambda batches: _first_requests(batches, ranges), _REQUEST_SQL)
+        else:
+            given = texts.groupBy("block").cogroup(answers.select("block", "level", "range", "totals").groupBy("block"))
+            asked = given.applyInArrow(_later_requests(level, ranges), _REQUEST_SQL)
+        found = asked.groupBy("level", "range").applyInArrow(
             _answers, "block bigint, level int, range int, totals binary, tokens bigint, types bigint"
         )
-    )
+        found = pinned(found)
+        answers = found if answers is None else answers.union(found)
     whole = answers.where("level = 1").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
     tokens, types = whole["tokens"] or 0, whole["types"] or 0
     found = blocks.groupBy("block").cogroup(answers.select("block", "level", "range", "totals").groupBy("block"))

@@ -168,7 +168,7 @@ def op7_sharding(spark, folder):
 def op8_lm_scoring(spark, folder):
     fold = remainder(F.col("doc_id"), 5)
     rows = lm_scoring.scored(table(spark, folder, "documents"), fold != 1, MODEL_ORDER)
-    return rows.withColumn("held_out", ~F.col("learned")).drop("learned")
+    return rows.withColumn("held_out", F.coalesce(fold == 1, F.lit(False))).drop("learned")
 
 
 @query("op9_quality_classifier")
