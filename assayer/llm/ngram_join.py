@@ -16,7 +16,7 @@ the candidate clusters. Then the sets of each cluster are compared, down to exac
 
 **Large groups**, of either kind, are dealt into blocks of ``BLOCK`` sets. First each block is compared in itself and with some
 pivots of the group, which connects the bulk of near copies in one pass. Then only the sets outside the group's largest
-component are compared with all blocks of sizes near enough. Each task returns a spanning forest of its links, never all pairs.
+component are compared with all blocks of sizes near enough, larger ones of ``SECOND_BLOCK`` sets. Each task returns a spanning forest of its links, never all pairs.
 
 **Numbers of links** (``linked`` only) need every pair of a component, connected already or not. Its distinct sets are dealt
 into blocks of at most about ``LINK_BLOCK`` sets and ``LINK_BYTES`` of shingles; every two blocks meet once, overlaps are
@@ -44,6 +44,8 @@ LEAF = 8
 FAN = 4
 BLOCK = 128
 PIVOTS = 8
+SECOND_BLOCK = 512  # sets of a block in the second pass over large groups,
+SECOND_BYTES = 16_000_000  # of at most so many bytes
 LONGEST_BITMAP = 32  # words of 64 bits that travel with a key
 CACHE_ENTRIES = 200_000
 CACHED_BYTES = 64  # words of more bytes are hashed each time
@@ -309,8 +311,11 @@ def connected(members: DataFrame, percent: int, exact: bool) -> DataFrame:
     # Both sides are dealt by classes of sizes, so wide that linked sets are in one or in neighbouring ones.
     split = split.join(narrow(main), "family").withColumn("class", _size_class("size", percent))
     outside = F.col("component") != F.col("main")
-    classes = split.groupBy("family", "class").agg(F.count(F.lit(1)).alias("n"), F.count_if(outside).alias("rest"))
-    classes = classes.select("family", "class", *[F.ceil(F.col(c) / BLOCK).cast("int").alias(c) for c in ("n", "rest")])
+    length = F.octet_length("payload").cast("bigint")
+    classes = split.groupBy("family", "class").agg(
+        _blocks_for(F.count(F.lit(1)), F.sum(length)).alias("n"),
+        _blocks_for(F.count_if(outside), F.coalesce(F.sum(F.when(outside, length)), F.lit(0))).alias("rest"),
+    )
     own, near = pinned(classes), _neighbours(classes)
     split = split.join(narrow(own), ["family", "class"]).join(narrow(pinned(near)), ["family", "class"])
     x, y = (F.col("class") * CLASS_CODES + F.pmod(F.xxhash64("doc_id"), F.col(c)) for c in ("rest", "n"))
@@ -323,6 +328,10 @@ def connected(members: DataFrame, percent: int, exact: bool) -> DataFrame:
     return components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
 
 
+def _blocks_for(count: Column, size: Column) -> Column:
+    return F.ceil(F.greatest(count / SECOND_BLOCK, size / SECOND_BYTES)).cast("int")
+
+
 def _size_class(size: str, percent: int) -> Column:
     """A little wider than needed, so that rounding parts no linked sizes by more than one class."""
     return F.floor(F.log(F.col(size)) / (1.0001 * math.log(100 / min(percent, 99)))).cast("bigint")
