@@ -50,10 +50,10 @@ class Node:
 
     key: str
     paths: list[str] = field(default_factory=list)
-    rules: list[tuple[int, str, str]] = field(default_factory=list)
+    rules: list[tuple] = field(default_factory=list)
     outer: list[int] = field(default_factory=list)
 
-    def add(self, path: str, rule: tuple[int, str, str]) -> None:
+    def add(self, path: str, rule: tuple) -> None:
         """Paths come in order; of equal paths the last one holds."""
         if self.paths and self.paths[-1] == path:
             self.rules[-1] = rule
@@ -65,7 +65,7 @@ class Node:
         self.rules.append(rule)
         self.outer.append(up)
 
-    def longest(self, path: str) -> tuple[int, str, str] | None:
+    def longest(self, path: str) -> tuple | None:
         at = bisect.bisect_right(self.paths, path) - 1
         while at >= 0 and not path.startswith(self.paths[at]):
             at = self.outer[at]
@@ -78,10 +78,15 @@ def nodes_of(rules: list[tuple[str, str, str, str]]) -> list[Node]:
     for key, path, rule, verdict in rules:
         if not nodes or nodes[-1].key != key:
             nodes.append(Node(key))
-        nodes[-1].add(path, (len(rule), rule, verdict))
+        nodes[-1].add(path, _merit(rule, len(rule) - len(path), verdict))
     return nodes
 
 
+def _merit(rule: str, host: int, verdict: str) -> tuple[int, int, bool, str, str]:
+    """What decides between rules that fit: length, length of the host, ``block`` over others; then the rule and its verdict."""
+    return len(rule), host, verdict == "block", rule, verdict
+
+
 def sweep(batches: Iterator[pa.RecordBatch], nodes: list[Node]) -> Iterator[pa.RecordBatch]:
     """One pass over batches sorted by ``key``; fills in rule and verdict where a longer rule fits."""
     at, stack, last = 0, [], ""
@@ -100,9 +105,9 @@ def sweep(batches: Iterator[pa.RecordBatch], nodes: list[Node]) -> Iterator[pa.R
                 last = key
             found = [r for node in stack if (r := node.longest(path))]
             if found:
-                size, rule, verdict = max(found, key=lambda r: r[0])
-                if rules[row] is None or size > len(rules[row]):
-                    rules[row], verdicts[row] = rule, verdict
+                best = max(found, key=lambda r: r[:3])
+                if rules[row] is None or best[:3] > _merit(rules[row], (rules[row] + "/").index("/"), verdicts[row])[:3]:
+                    rules[row], verdicts[row] = best[3:]
         yield batch.set_column(batch.schema.get_field_index("rule"), "rule", pa.array(rules, pa.string())).set_column(
             batch.schema.get_field_index("verdict"), "verdict", pa.array(verdicts, pa.string())
         )

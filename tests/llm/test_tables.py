@@ -184,3 +184,42 @@ def test_subword_features():
 def test_lower_az_and_picked(spark):
     df = spark.createDataFrame([("ÀB",), ("ÀÉ",), ("AZ",), (None,)], "t string")
     assert [r[0] for r in df.select(common.lower_az(F.col("t"))).collect()] == ["Àb", "ÀÉ", "az", None]
+
+
+@pytest.mark.parametrize("block", [500_000, 1])
+def test_url_rules_of_equal_length(spark, monkeypatch, block):
+    """The longer host wins, within a block of rules and across blocks; then block over allow."""
+    monkeypatch.setattr(url_rules, "BLOCK_RULES", block)
+    rules = [("example.com", "/abc/", "block"), ("www.example.com", "/", "allow"), ("a.b", "/", "allow"), ("a.b", "/", "block"), ("x", "", "block")]
+    known = spark.createDataFrame(rules, "host string, path string, verdict string")
+    urls = ["http://www.example.com/abc/", "http://q.example.com/abc/", "http://a.b/", "http://y.x"]
+    found = url_rules.judged(spark.createDataFrame(list(enumerate(urls)), "page_id int, url string"), known).collect()
+    want = [("www.example.com/", "allow"), ("example.com/abc/", "block"), ("a.b/", "block"), ("x", "block")]
+    assert [(r["rule"], r["verdict"]) for r in sorted(found, key=lambda r: r["page_id"])] == want
+
+
+def test_digest_index_stays(spark, tmp_path):
+    """A batch that comes again, an index that is opened by its path, and one in fewer files."""
+    from assayer.session import clear_scratch
+
+    path = f"{tmp_path}/index"
+
+    def run(index, rows, batch):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        return sorted((r["doc_id"], r["keep_id"], r["kept"]) for r in exact_dedup.deduplicated(df, index, batch=batch).collect())
+
+    first = [(1, "a"), (2, "A"), (3, "b")]
+    index = exact_dedup.DigestIndex(spark, path=path)
+    once = run(index, first, "one")
+    assert once == [(1, 2, False), (2, 2, True), (3, 3, True)]
+    assert run(index, first, "one") == once
+    assert index.rows().count() == 2
+    assert run(index, first, "two") == [(1, 2, False), (2, 2, False), (3, 3, False)]
+    clear_scratch(spark)
+    spark.sql(f"DROP TABLE {index.table}")
+    again = exact_dedup.DigestIndex(spark, path=path)
+    assert again.rows().count() == 2 and again.buckets == index.buckets
+    assert run(again, [(9, "B"), (10, "c")], "three") == [(9, 3, False), (10, 10, True)]
+    small = again.compacted(f"{tmp_path}/small")
+    assert sorted(map(tuple, small.rows().collect())) == sorted(map(tuple, again.rows().collect()))
+    assert run(small, first, "one") == once
