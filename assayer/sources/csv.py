@@ -11,11 +11,21 @@ from pyspark.sql import types as T
 from assayer.config import FALSE_TOKENS, MISSING_TOKENS, TRUE_TOKENS
 from assayer.functions.columns import ref
 from assayer.session import pinned
+from assayer.sources.quoted_csv import quoted_records
 
 # Fixed patterns of what counts as a number in text.
 INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 
+# How one record is parsed; line ends inside its quotes stay as they are.
+_RECORD_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def file_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, encoding, multi_line, header), one row per file.
@@ -74,7 +84,14 @@ def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
         while record in names:
             record += "_"
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, record]])
-        rows = reader.schema(schema).option("columnNameOfCorruptRecord", record).csv(files)
+        reader = reader.option("columnNameOfCorruptRecord", record)
+        records = quoted_records(spark, files, encoding) if multi_line else None
+        if records is None:
+            rows = reader.schema(schema).csv(files)
+        else:
+            fields = ", ".join("`" + c.replace("`", "``") + "` string" for c in schema.names)
+            kept = {**_RECORD_OPTIONS, "columnNameOfCorruptRecord": record}
+            rows = records.select(F.from_csv("record", fields, kept).alias("r")).select("r.*")
         shown = F.concat(F.lit("a record has more fields than the header: "), F.left(ref(record), F.lit(80)))
         fits = F.when(_fields(ref(record)) > len(names), F.raise_error(shown).cast("boolean")).otherwise(F.lit(True))
         parts.append(rows.where(fits).select([ref(c) for c in names]))
