@@ -21,13 +21,15 @@ def single_keys(stats: DataFrame) -> DataFrame:
     return stats.where(is_key).select("ordinal", "column")
 
 
-def possible_keys(
-    tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]] | None = None
-) -> dict[str, list[str]]:
-    """Columns that one scan without a shuffle cannot rule out as key.
+def possible_key_rows(
+    tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]] | None = None, least_share: float = 0.5
+) -> dict[str, dict[str, int]]:
+    """Columns that one scan without a shuffle of values cannot rule out as key, by table, and the rows of the table.
 
     A gap rules a column out, and so does a range of whole numbers smaller
-    than the number of rows. The driver sees a few numbers per column.
+    than the number of rows, or a sketch that sees fewer values than
+    ``least_share`` of the rows (its error is a few percent). The driver sees
+    a few numbers per column.
     """
     parts, names = [], []
     for dataset in sorted(tables):
@@ -37,8 +39,8 @@ def possible_keys(
         for f in df.schema.fields:
             if f.name in chosen:
                 ranged = key_class(f.dataType) == "bigint"
-                present = F.when(ref(f.name).isNotNull(), F.lit(0).cast("bigint"))
-                values[len(names)] = group_key(ref(f.name), f.dataType) if ranged else present
+                key = group_key(ref(f.name), f.dataType)
+                values[len(names)] = key if ranged else F.when(ref(f.name).isNotNull(), F.xxhash64(key))
                 names.append((dataset, f.name, ranged))
         if values:
             parts.append(melt(df, values))
@@ -53,16 +55,25 @@ def possible_keys(
             F.count("value").alias("n"),
             F.min("value").alias("lo"),
             F.max("value").alias("hi"),
+            F.approx_count_distinct("value", 0.02).alias("about"),
         )
     )
-    kept: dict[str, list[str]] = {}
+    kept: dict[str, dict[str, int]] = {}
     for row in sorted(found.collect(), key=lambda r: r["ordinal"]):
         dataset, column, ranged = names[row["ordinal"]]
-        if row["n"] == row["rows"] and not (ranged and row["hi"] - row["lo"] + 1 < row["rows"]):
-            kept.setdefault(dataset, []).append(column)
+        short = ranged and row["rows"] > 0 and row["hi"] - row["lo"] + 1 < row["rows"]
+        if row["n"] == row["rows"] and not short and row["about"] >= least_share * row["rows"]:
+            kept.setdefault(dataset, {})[column] = row["rows"]
     return kept
 
 
+def possible_keys(
+    tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]] | None = None
+) -> dict[str, list[str]]:
+    """The columns that a gap or their range does not rule out."""
+    return {dataset: list(found) for dataset, found in possible_key_rows(tables, columns, 0.0).items()}
+
+
 def all_single_keys(
     tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]] | None = None
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from assayer.functions.columns import compact, nan_to_null, normalize_name, ref,
 from assayer.functions.relations import melt, small_relation
 from assayer.functions.types import FLOATING, INTEGRAL, columns_of, dtype_family
 from assayer.operators.frequency import row_count, union_all
-from assayer.operators.keys import all_single_keys
+from assayer.operators.keys import all_single_keys, possible_key_rows
 
 Tables = Mapping[str, DataFrame]
 
@@ -126,20 +126,21 @@ def _common_value(entry: Entry, cls: str) -> Column:
     return ref(entry.column).cast(cls)
 
 
-def _overlaps(tables: Tables, pairs: list[tuple[Entry, Entry]]) -> DataFrame:
-    """(seq, child_values, shared_values) of distinct values, for all pairs in one job per value type.
+def _overlaps(tables: Tables, pairs: list[tuple[int, tuple[Entry, Entry]]]) -> DataFrame:
+    """(seq, child_values, parent_values, shared_values) of distinct values, for all pairs in one shuffle per value type.
 
     Each distinct value of a group is reduced to a bit mask of the columns
     that hold it, and masks are counted: no self-join, no pairs per value. A
     value that fills a third of a table is one row per map task in the
-    shuffle. Pairs of different families are not compared.
+    shuffle. Pairs of different families are not compared: only the values of
+    their parent are counted.
     """
     spark = next(iter(tables.values())).sparkSession
     groups: dict[tuple[str, str], list[Entry]] = {}
-    for child, parent in pairs:
-        if child.family == parent.family:
-            members = groups.setdefault((child.normalized, child.family), [])
-            members += [e for e in (child, parent) if e not in members]
+    for _, (child, parent) in pairs:
+        members = groups.setdefault((parent.normalized, parent.family), [])
+        compared = (child, parent) if child.family == parent.family else (parent,)
+        members += [e for e in compared if e not in members]
     place = {(e.dataset, e.column): (g, b) for g, m in enumerate(groups.values()) for b, e in enumerate(m)}
     parts: dict[str, dict[str, dict[int, Column]]] = {}
     width = 1 + max((len(m) for m in groups.values()), default=0)
@@ -173,13 +174,11 @@ def _overlaps(tables: Tables, pairs: list[tuple[Entry, Entry]]) -> DataFrame:
         spark,
         schema,
         [
-            (s, place[(c.dataset, c.column)][0], place[(c.dataset, c.column)][1], place[(p.dataset, p.column)][1])
-            for s, (c, p) in enumerate(pairs)
-            if c.family == p.family
+            (s, g, place[(c.dataset, c.column)][1] if c.family == p.family else None, b)
+            for s, (c, p) in pairs
+            for g, b in [place[(p.dataset, p.column)]]
         ],
     )
-    if not counted:
-        return wanted.select("seq", F.lit(0).cast("bigint").alias("child_values"), F.lit(0).cast("bigint").alias("shared_values"))
 
     def holds(bit: str) -> Column:
         word = F.get(F.array(*[f"m{w}" for w in words]), F.floor(F.col(bit) / _MASK_BITS).cast("int"))
@@ -191,29 +190,45 @@ def _overlaps(tables: Tables, pairs: list[tuple[Entry, Entry]]) -> DataFrame:
         .groupBy("seq")
         .agg(
             F.sum(F.when(holds("child_bit"), F.col("n")).otherwise(0)).alias("child_values"),
+            F.sum(F.when(holds("parent_bit"), F.col("n")).otherwise(0)).alias("parent_values"),
             F.sum(F.when(holds("child_bit") & holds("parent_bit"), F.col("n")).otherwise(0)).alias("shared_values"),
         )
     )
 
 
-def containments(tables: Tables, pairs: list[tuple[Entry, Entry]], rules: Thresholds = DEFAULTS) -> DataFrame:
-    """One row per (child, parent) pair with the share of distinct child values found in the parent."""
+def containments(
+    tables: Tables,
+    pairs: list[tuple[Entry, Entry]],
+    rules: Thresholds = DEFAULTS,
+    unsure: Mapping[tuple[str, str], int] | None = None,
+) -> DataFrame:
+    """One row per (child, parent) pair with the share of distinct child values found in the parent.
+
+    ``unsure``: parents without a gap, by (dataset, column), and the rows of their tables. The pairs of those that turn out
+    to have fewer distinct values than rows are left out.
+    """
+    unsure = unsure or {}
     spark = next(iter(tables.values())).sparkSession
     strings = ("normalized_name", "child_dataset", "child_column", "parent_dataset", "parent_column")
     listed = small_relation(
         spark,
-        {"seq": "int", **dict.fromkeys(strings, "string"), "dtype_compatible": "boolean"},
+        {"seq": "int", **dict.fromkeys(strings, "string"), "dtype_compatible": "boolean", "parent_rows": "bigint"},
         [
-            (s, c.normalized, c.dataset, c.column, p.dataset, p.column, c.family == p.family)
+            (s, c.normalized, c.dataset, c.column, p.dataset, p.column, c.family == p.family, unsure.get((p.dataset, p.column)))
             for s, (c, p) in enumerate(pairs)
         ],
     )
-    if not pairs:
+    compared = [
+        (s, (c, p)) for s, (c, p) in enumerate(pairs) if c.family == p.family or (p.dataset, p.column) in unsure
+    ]
+    if not compared:
         counted = listed.withColumns({n: F.lit(0).cast("bigint") for n in ("child_values", "shared_values")})
     else:
-        counted = listed.join(F.broadcast(_overlaps(tables, pairs)), "seq", "left").na.fill(
-            0, ["child_values", "shared_values"]
-        )
+        # one row per pair of columns
+        overlaps = _overlaps(tables, compared)
+        counted = listed.join(F.broadcast(overlaps), "seq", "left").na.fill(0, ["child_values", "parent_values", "shared_values"])
+        counted = counted.where("parent_rows IS NULL OR parent_values = parent_rows").drop("parent_values")
+    counted = counted.drop("parent_rows")
     share = F.coalesce(F.col("shared_values") / F.nullif(F.col("child_values"), F.lit(0)), F.lit(0.0))
     return counted.withColumn("containment", share).withColumn(
         "compatibility", classify(F.col("containment"), F.col("dtype_compatible"), rules)
@@ -235,6 +250,29 @@ def containment(
     )
 
 
+def _possible_parents(
+    tables: Tables, groups: dict[str, list[Entry]]
+) -> tuple[set[tuple[str, str]], dict[tuple[str, str], int]]:
+    """Matched columns that are keys, and those of which a scan cannot tell, with the rows of their tables.
+
+    Where the values of a group meet in another type, which may make two of
+    them equal, keys are counted in their own type beforehand.
+    """
+    matched: dict[str, list[str]] = {}
+    counted: dict[str, list[str]] = {}
+    for group in groups.values():
+        for e in group:
+            same = [m.dtype for m in group if m.family == e.family]
+            own = len(set(map(str, same))) == 1 or all(isinstance(d, INTEGRAL) for d in same)
+            (matched if own else counted).setdefault(e.dataset, []).append(e.column)
+    found = possible_key_rows({d: tables[d] for d in matched}, matched)
+    unsure = {(d, c): n for d, columns in found.items() for c, n in columns.items() if n > 0}
+    if not counted:
+        return set(), unsure
+    exact = all_single_keys({d: tables[d] for d in counted}, counted)
+    return {(row["dataset"], row["column"]) for row in exact.collect()}, unsure
+
+
 def foreign_keys(
     tables: Tables,
     rules: Thresholds = DEFAULTS,
@@ -245,19 +283,26 @@ def foreign_keys(
 
     (seq, normalized_name, child_dataset, child_column, parent_dataset,
     parent_column, containment, dtype_compatible, compatibility, ...)
+
+    ``keys``: the (dataset, column) of all single keys, if they are known.
+    Else the shuffle that compares the values also tells which parents are
+    keys: a column without a gap is one if it has as many values as rows.
     """
     groups = match_groups(column_entries(tables, name_map))
-    keys = all_keys(tables, groups) if keys is None else keys
-    is_key = {(row["dataset"], row["column"]) for row in keys.collect()}
+    unsure: dict[tuple[str, str], int] = {}
+    if keys is None:
+        is_key, unsure = _possible_parents(tables, groups)
+    else:
+        is_key = {(row["dataset"], row["column"]) for row in keys.collect()}
     pairs = [
         (child, parent)
         for members in groups.values()
         for parent in members
-        if (parent.dataset, parent.column) in is_key
+        if (parent.dataset, parent.column) in is_key or (parent.dataset, parent.column) in unsure
         for child in members
         if child.dataset != parent.dataset
     ]
-    return containments(tables, pairs, rules).orderBy(F.desc("containment"), "seq")
+    return containments(tables, pairs, rules, unsure).orderBy(F.desc("containment"), "seq")
 
 
 def linked(relationships: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from assayer.functions.columns import normalize_name
 from assayer.operators import keys, relations
 from assayer.operators.frequency import column_stats
 from assayer.plans import relationships as plan
+from assayer.session import pinned
 
 
 @pytest.mark.parametrize(
@@ -136,3 +137,21 @@ def test_thresholds_are_parameters(spark):
     assert keys.composite_keys(df, column_stats(df)).count() == 0
     loose = replace(DEFAULTS, composite_ratio=0.0)
     assert keys.composite_keys(df, column_stats(df), loose).count() == 1
+
+
+def test_foreign_keys_tell_their_parents_themselves(spark, rows):
+    """The shuffle that compares values finds the keys that a count of each column finds."""
+    tables = {
+        "a": spark.createDataFrame([(1, "x", 1, 1.5, None), (2, "y", 1, 2.5, 1), (3, "z", 2, 2.5, 2)], "id int, t string, u int, f double, g int"),
+        "b": spark.createDataFrame([(1, "x", 1, 1, 1), (2, "x", 2, 2, 2), (5, None, 3, 3, 3)], "id bigint, t string, u string, f int, g int"),
+        "c": spark.createDataFrame([], "id int, t string, u int, f double, g int"),
+        "d": spark.createDataFrame([(2**53,), (2**53 + 1,)], "f bigint"),
+        "e": spark.createDataFrame([(float(i % 7), i) for i in range(70)], "f double, id int"),
+    }
+    columns = ["normalized_name", "child_dataset", "child_column", "parent_dataset", "parent_column", "containment", "compatibility"]
+    found = relations.foreign_keys(tables)
+    known = relations.foreign_keys(tables, keys=pinned(keys.all_single_keys(tables)))
+    assert rows(found, *columns) == rows(known, *columns)
+    assert [tuple(r) for r in found.select(*columns[:5]).collect()] == [tuple(r) for r in known.select(*columns[:5]).collect()]
+    parents = {(r["parent_dataset"], r["parent_column"]) for r in found.collect()}
+    assert parents == {("a", "id"), ("a", "t"), ("b", "id"), ("b", "u"), ("b", "f"), ("b", "g"), ("d", "f"), ("e", "id")}
