@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from assayer.config import DEFAULTS
 from assayer.functions.relations import small_relation
 from assayer.functions.columns import normalize_name
 from assayer.operators import keys, relations
-from assayer.operators.frequency import column_stats
+from assayer.operators.frequency import column_stats, missing_counts
 from assayer.operators.keys import table_keys
 from assayer.plans import relationships as plan
 from assayer.registry.catalog import query
@@ -113,44 +114,77 @@ def key_candidates(spark, folder):
     return found.select("ordinal", "column", F.round("score", 6).alias("score"))
 
 
-@query(
-    "f3_composite_keys",
-    f"""SELECT 'conv_id' AS column_a, 'turn' AS column_b FROM {check_sql('turns')}
-        HAVING count(*) = count(DISTINCT (conv_id, turn))
-        UNION ALL SELECT 'l_orderkey', 'l_linenumber' FROM lineitem
-        HAVING count(*) = count(DISTINCT (l_orderkey, l_linenumber))""",
-)
+# The columns of the stored tables.
+STORED = {
+    name: columns.split()
+    for name, columns in {
+        "benchmark": "item_id text",
+        "conversations": "conv_id turn role text",
+        "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+        "documents": "doc_id text lang source n_chars",
+        "embeddings": "vec_id embedding label",
+        "events": "event_id ts user_id event_type value props",
+        "labels": "doc_id quality toxic",
+        "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag"
+        " l_linestatus l_shipdate",
+        "nation": "n_nationkey n_name n_regionkey",
+        "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+        "pages": "page_id url html",
+        "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+        "region": "r_regionkey r_name",
+        "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    }.items()
+}
+
+
+def _pairs_sql(table: str) -> str:
+    """Pairs of the six columns with the most values that are unique together, if no column is on its own."""
+    columns = STORED[table]
+    shares = " UNION ALL ".join(
+        f"SELECT {i} AS ordinal, '{c}' AS c, count(DISTINCT {c}) / count(*) + {0.05 if 'id' in c else 0.0} AS score, "
+        f"count(DISTINCT {c}) = count(*) AS alone FROM {table}"
+        for i, c in enumerate(columns)
+    )
+    pairs = " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b FROM {table} HAVING count(*) = count(DISTINCT ({a}, {b}))"
+        for a, b in combinations(columns, 2)
+    )
+    return f"""SELECT '{table}' AS dataset, x.c AS column_a, y.c AS column_b FROM ({pairs}) p
+        JOIN (SELECT *, row_number() OVER (ORDER BY score DESC, ordinal) AS place FROM ({shares})) x ON x.c IN (p.a, p.b)
+        JOIN (SELECT *, row_number() OVER (ORDER BY score DESC, ordinal) AS place FROM ({shares})) y ON y.c IN (p.a, p.b)
+        WHERE x.place < y.place AND y.place <= 6 AND NOT (SELECT bool_or(alone) FROM ({shares}))"""
+
+
+@query("f3_composite_keys", " UNION ALL ".join(_pairs_sql(t) for t in ("conversations", "lineitem")))
 def composite_keys(spark, folder):
     rules = replace(DEFAULTS, composite_ratio=0.0)
-    turns = source(spark, folder, "turns")
-    lines = source(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
-    found = [keys.composite_keys(df, pinned(column_stats(df)), rules) for df in (turns, lines)]
-    return found[0].unionByName(found[1])
+    parts = []
+    for name in ("conversations", "lineitem"):
+        df = source(spark, folder, name)
+        found = keys.composite_keys(df, pinned(column_stats(df)), rules)
+        parts.append(found.select(F.lit(name).alias("dataset"), "column_a", "column_b"))
+    return relations.union_all(parts)
 
 
 @query(
     "f4_normalized_names",
-    " UNION ALL ".join(
-        f"SELECT '{t}' AS dataset, '{c}' AS \"column\", '{n}' AS normalized_name, count({c}) AS n_nonnull FROM {t}"
-        for t, c, n in [
-            ("documents", "doc_id", "doc"),
-            ("events", "event_id", "event"),
-            ("events", "user_id", "user"),
-            ("embeddings", "vec_id", "vec"),
-            ("orders", "o_orderkey", "o_orderkey"),
-            ("benchmark", "item_id", "item"),
-        ]
-    ),
+    """SELECT dataset, "column", n_nonnull, coalesce(nullif(trim(CASE WHEN regexp_matches(joined, '^.+(_id|id)$')
+        THEN regexp_extract(joined, '^(.+?)(_id|id)$', 1) ELSE joined END, '_'), ''), lower("column")) AS normalized_name
+        FROM (SELECT *, trim(regexp_replace(lower("column"), '[^0-9a-z]+', '_', 'g'), '_') AS joined FROM ("""
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, '{c}' AS \"column\", count({c}) AS n_nonnull FROM {t}" for t in STORED for c in STORED[t]
+    )
+    + "))",
 )
 def normalized_names(spark, folder):
-    chosen = [("documents", "doc_id"), ("events", "event_id"), ("events", "user_id"), ("embeddings", "vec_id")]
-    chosen += [("orders", "o_orderkey"), ("benchmark", "item_id")]
-    parts = [
-        source(spark, folder, t)
-        .agg(F.count(c).alias("n_nonnull"))
-        .select(F.lit(t).alias("dataset"), F.lit(c).alias("column"), F.lit(normalize_name(c)).alias("normalized_name"), "n_nonnull")
-        for t, c in chosen
-    ]
+    parts = []
+    for name in STORED:
+        df = source(spark, folder, name)
+        named = small_relation(
+            spark, {"column": "string", "normalized_name": "string"}, [(c, normalize_name(c)) for c in df.columns]
+        )
+        counts = missing_counts(df).select("column", (F.col("rows") - F.col("missing")).alias("n_nonnull"))
+        parts.append(counts.join(F.broadcast(named), "column").withColumn("dataset", F.lit(name)))
     return relations.union_all(parts)
 
 
@@ -219,7 +253,7 @@ def containment(spark, folder):
     return found.withColumn("containment", F.round("containment", 6))
 
 
-def _link(group: str, child: tuple, parent: tuple) -> str:
+def _link(group: str, child: tuple, parent: tuple, digits: int = 6) -> str:
     same = child[2] == parent[2]
     if same:
         shared, total = _containment_sql(child[0], child[1], parent[0], parent[1])
@@ -228,7 +262,7 @@ def _link(group: str, child: tuple, parent: tuple) -> str:
         share = "0"
     return (
         f"SELECT '{group}' AS normalized_name, '{child[0]}' AS child_dataset, '{child[1]}' AS child_column, "
-        f"'{parent[0]}' AS parent_dataset, '{parent[1]}' AS parent_column, round({share}, 6)::DOUBLE AS containment, "
+        f"'{parent[0]}' AS parent_dataset, '{parent[1]}' AS parent_column, round({share}, {digits})::DOUBLE AS containment, "
         f"{str(same).lower()} AS dtype_compatible WHERE {_is_key(parent[0], parent[1])}"
     )
 
@@ -265,18 +299,26 @@ def foreign_keys(spark, folder):
 _GOOD = f"SELECT * FROM ({_LINKS}) WHERE compatibility IN ('Strong', 'Moderate')"
 
 
-@query(
-    "f10_merge_guidance",
-    f"""SELECT least(child_dataset, parent_dataset) AS first, greatest(child_dataset, parent_dataset) AS second,
-        max(containment) AS containment FROM ({_GOOD}) GROUP BY ALL""",
-)
-def merge_guidance(spark, folder):
-    found = relations.merge_guidance(_links(spark, folder)[1])
-    return found.select(
-        F.least("child_dataset", "parent_dataset").alias("first"),
-        F.greatest("child_dataset", "parent_dataset").alias("second"),
-        F.round("containment", 6).alias("containment"),
+def _guidance_sql(names) -> str:
+    """The best link of each pair of tables; of equal ones the first by shared name, parent and child."""
+    numbered = " UNION ALL ".join(
+        f"SELECT {seq} AS seq, * FROM ({_link(g, child, parent, 15)})"
+        for seq, (g, child, parent) in enumerate(
+            (g, child, parent) for g, m in GROUPS.items() for parent in m for child in m if child[0] != parent[0]
+        )
+        if child[0] in names and parent[0] in names
     )
+    return f"""SELECT * EXCLUDE (seq, place, containment), round(containment, 6) AS containment,
+        CASE WHEN containment >= 0.9 THEN 'Strong' ELSE 'Moderate' END AS compatibility FROM (
+        SELECT *, row_number() OVER (PARTITION BY least(child_dataset, parent_dataset), greatest(child_dataset, parent_dataset)
+            ORDER BY containment DESC, seq) AS place FROM ({numbered}) WHERE dtype_compatible AND containment >= 0.6)
+        WHERE place = 1"""
+
+
+@query("f10_merge_guidance", _guidance_sql(LINKED))
+def merge_guidance(spark, folder):
+    found = relations.merge_guidance(_links(spark, folder)[1]).withColumn("containment", F.round("containment", 6))
+    return found.select(*_LINK_COLUMNS, "dtype_compatible", "compatibility")
 
 
 @query(
@@ -375,9 +417,91 @@ _SMALL_LINKS = " UNION ALL ".join(
 )
 
 
-@query("f17_analysis", f"SELECT * FROM ({_SMALL_LINKS})")
+_MIX = {
+    "customer": "numeric=3, text=2",
+    "nation": "numeric=2, text=1",
+    "orders": "datetime=1, numeric=3, text=2",
+    "regulars": "numeric=1, text=1",
+    "wealthy": "numeric=1, text=1",
+}
+_SMALL_COLUMNS = {n: STORED.get(n, ["c_custkey", "c_mktsegment"]) for n in _SMALL}
+_SMALL_GROUPS = {g: [m for m in members if m[0] in _SMALL] for g, members in GROUPS.items()}
+_SMALL_KEYS = " UNION ALL ".join(
+    f"SELECT '{n}' AS dataset, '{c}' AS c WHERE {_is_key(n, c)}" for n, columns in _SMALL_COLUMNS.items() for c in columns
+)
+_SMALL_GOOD = "SELECT * FROM links WHERE compatibility IN ('Strong', 'Moderate')"
+_ENDS = "child_dataset || '.' || child_column || ' > ' || parent_dataset || '.' || parent_column"
+
+
+def _mix_sql(name: str) -> str:
+    counts = dict(part.split("=") for part in _MIX[name].split(", "))
+    return " ".join(counts.get(k, "0") for k in ("numeric", "text", "datetime"))
+
+
+_ANALYSIS = f"""WITH links AS (SELECT *, CASE WHEN NOT dtype_compatible THEN 'Incompatible' WHEN containment >= 0.9 THEN 'Strong'
+        WHEN containment >= 0.6 THEN 'Moderate' ELSE 'Weak' END AS compatibility FROM ({_SMALL_LINKS})),
+    single AS ({_SMALL_KEYS}),
+    sizes AS ({" UNION ALL ".join(f"SELECT '{n}' AS dataset, count(*) AS n FROM {check_sql(n)}" for n in _SMALL)}),
+    fixed AS ({" UNION ALL ".join(f"SELECT '{n}' AS dataset, '{_MIX[n]}' AS mix, '{_mix_sql(n)}' AS counts" for n in _SMALL)})
+    SELECT 'overview' AS section, dataset, mix || ' | ' || coalesce((SELECT string_agg(c, ', ' ORDER BY c) FROM single s
+        WHERE s.dataset = sizes.dataset), '') AS detail, n::DOUBLE AS value FROM sizes JOIN fixed USING (dataset)
+    UNION ALL SELECT 'keys', dataset, 'single ' || c, NULL FROM single
+    UNION ALL {" UNION ALL ".join(
+        f"SELECT 'matching_columns', '{t}', '{g} {c} {_FAMILY[k]} ' || {_is_key(t, c)} || ' {str(len({x[2] for x in m}) > 1).lower()}', NULL"
+        for g, m in _SMALL_GROUPS.items() if len(m) > 1 for t, c, k in m
+    )}
+    UNION ALL SELECT 'relationships', NULL, normalized_name || ' ' || {_ENDS} || ' ' || compatibility, containment FROM links
+    UNION ALL SELECT 'merge_guidance', NULL, normalized_name || ' ' || {_ENDS} || ' ' || compatibility, containment
+        FROM ({_guidance_sql(_SMALL)})
+    UNION ALL SELECT 'standalone', dataset, '', NULL FROM sizes WHERE (SELECT count(*) FROM ({_SMALL_GOOD})) > 0
+        AND dataset NOT IN (SELECT child_dataset FROM ({_SMALL_GOOD}) UNION SELECT parent_dataset FROM ({_SMALL_GOOD}))
+    UNION ALL SELECT 'contributions', dataset, counts || ' | ', n FROM sizes JOIN fixed USING (dataset)
+    UNION ALL SELECT 'summary', NULL, concat_ws(' ', {_COUNTS.replace(' AS strong', '').replace(' AS moderate', '').replace(' AS weak', '')},
+        (SELECT count(*) FROM sizes), 1), count(*) FROM links
+    UNION ALL SELECT 'failures', 'absent', 'not found', NULL"""
+
+
+@query("f17_analysis", _ANALYSIS)
 def analysis(spark, folder):
+    """All nine sections as rows (section, dataset, detail, value)."""
     tables = {n: source(spark, folder, n) for n in _SMALL}
     names = {c: c.removeprefix(LINKED[n]) for n, df in tables.items() for c in df.columns}
-    found = plan.analyze(tables, name_map=names)["relationships"]
-    return found.select(*_LINK_COLUMNS[:-1], F.round("containment", 6).alias("containment"), "dtype_compatible")
+    sections = plan.analyze(tables, {"absent": "not found"}, name_map=names)
+    none = F.lit(None)
+    link = F.concat_ws(
+        " ",
+        "normalized_name",
+        F.concat_ws(".", "child_dataset", "child_column"),
+        F.lit(">"),
+        F.concat_ws(".", "parent_dataset", "parent_column"),
+        "compatibility",
+    )
+    joined = F.concat_ws(" | ", "type_mix", F.array_join("keys", ", "))
+    families = F.concat_ws(" ", *[f"{k}_columns" for k in ("numeric", "text", "datetime")])
+    shown = {
+        "overview": ("dataset", joined, "rows"),
+        "keys": ("dataset", F.concat_ws(" ", "kind", F.array_join("columns", " + ")), none),
+        "matching_columns": (
+            "dataset",
+            F.concat_ws(" ", "normalized_name", "column", "dtype_family", *[F.col(c).cast("string") for c in ("is_key", "mixed_families")]),
+            none,
+        ),
+        "relationships": (none, link, F.round("containment", 6)),
+        "merge_guidance": (none, link, F.round("containment", 6)),
+        "standalone": ("dataset", F.lit(""), none),
+        "contributions": ("dataset", F.concat_ws(" | ", families, F.array_join("likely_targets", ", ")), "rows"),
+        "summary": (none, F.concat_ws(" ", "strong", "moderate", "weak", "datasets", "failed"), "candidates"),
+        "failures": ("dataset", "error", none),
+    }
+    parts = []
+    for section, (dataset, detail, value) in shown.items():
+        as_column = [F.col(c) if isinstance(c, str) else c for c in (dataset, detail, value)]
+        parts.append(
+            sections[section].select(
+                F.lit(section).alias("section"),
+                as_column[0].cast("string").alias("dataset"),
+                as_column[1].alias("detail"),
+                as_column[2].cast("double").alias("value"),
+            )
+        )
+    return relations.union_all(parts)
