@@ -20,7 +20,6 @@ from assayer.registry.profiling import LINE_NUMBERS, ORDERS, _outliers, _PROFILE
 from assayer.registry.sources import _TYPED
 from assayer.session import scratch_path
 from assayer.sources.csv import read_csv
-from assayer.sources.discovery import discover_csv
 from assayer.sources.loading import load_tables
 from assayer.sources.sinks import write_csv
 
@@ -129,8 +128,8 @@ def analyze_corrupt(spark, folder):
 )
 def clean_all(spark, folder):
     target = scratch_path(spark, "csv")
-    write_csv(source(spark, folder, "orders").coalesce(1), f"{target}/raw")
-    name = discover_csv(spark, target).first()["name"]
+    write_csv(source(spark, folder, "orders"), f"{target}/raw/orders.csv")
+    name = "orders.csv"
     found = cleaning.clean_all(spark, target, [name], f"{target}/cleaned").withColumn("dataset", F.lit("orders"))
     written = spark.read.parquet(found.first()["saved_path"]).count()
     onto = cleaning.clean_all(spark, target, [name], f"{target}/raw", "csv").withColumn("dataset", F.lit("onto itself"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from assayer.functions.relations import small_relation
 from assayer.operators.frequency import missing_counts
 from assayer.plans.cleaning import clean_all
 from assayer.registry.catalog import query
@@ -24,30 +25,69 @@ def _written(spark, folder, *names: str, nested: bool = True) -> str:
     return target
 
 
+# Bytes of the lines that hold a row, for tables whose values are whole numbers and short texts.
+_BODIES = {
+    "labels": "CAST(sum(strlen(CAST(doc_id AS VARCHAR)) + strlen(CAST(quality AS VARCHAR)) + strlen(CAST(toxic AS VARCHAR)) + 3)"
+    " AS BIGINT)",
+    "nation": "CAST(sum(strlen(CAST(n_nationkey AS VARCHAR)) + strlen(n_name) + strlen(CAST(n_regionkey AS VARCHAR)) + 3) AS BIGINT)",
+}
+
+
+def _listing(spark, folder, found):
+    """(table_name, has_files, named, body_bytes) of a listing."""
+    headers = small_relation(
+        spark,
+        {"table_name": "string", "header": "bigint"},
+        [(t, len(",".join(source(spark, folder, t).columns)) + 1) for t in _BODIES],
+    )
+    table = F.element_at(F.split("path", "/"), -2)
+    named = F.bool_and((F.element_at(F.split("path", "/"), -1) == F.col("name")) & F.endswith("name", F.lit(".csv")))
+    tables = found.groupBy(table.alias("table_name")).agg(
+        (F.count_if(F.col("bytes") > 0) > 0).alias("has_files"),
+        named.alias("named"),
+        F.sum("bytes").alias("bytes"),
+        F.count(F.lit(1)).alias("files"),
+    )
+    body = F.col("bytes") - F.col("files") * F.col("header")
+    return tables.join(F.broadcast(headers), "table_name", "left").select(
+        "table_name", "has_files", "named", body.alias("body_bytes")
+    )
+
+
 @query(
     "a1_discover_files",
-    "SELECT 'nation' AS table_name, count(*) > 0 AS has_files FROM nation UNION ALL SELECT 'orders', count(*) > 0 FROM orders",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) > 0 AS has_files, true AS named, {size} AS body_bytes FROM {t}"
+        for t, size in {**_BODIES, "orders": "NULL"}.items()
+    ),
 )
 def discover_files(spark, folder):
-    found = discover_csv(spark, _written(spark, folder, "nation", "orders"))
-    table = F.element_at(F.split("path", "/"), -2)
-    return found.where("bytes > 0").groupBy(table.alias("table_name")).agg((F.count("path") > 0).alias("has_files"))
+    """The listing by table; ``body_bytes``: the bytes of its files without their headers, where a text shows each value."""
+    found = discover_csv(spark, _written(spark, folder, *_BODIES, "orders"))
+    return _listing(spark, folder, found)
 
 
-@query("a2_discover_flat", "SELECT count(*) > 0 AS below_table, false AS above_table FROM orders")
+@query(
+    "a2_discover_flat",
+    "SELECT 'above' AS place, 0 AS tables, 0::BIGINT AS body_bytes UNION ALL "
+    f"SELECT 'below', 1, {_BODIES['labels']} FROM labels",
+)
 def discover_flat(spark, folder):
-    target = _written(spark, folder, "orders")
-    below = discover_csv(spark, f"{target}/raw/orders", recursive=False).agg((F.count("path") > 0).alias("below_table"))
-    above = discover_csv(spark, target, recursive=False).agg((F.count("path") > 0).alias("above_table"))
-    return below.withColumn("above_table", F.lit(above.first()["above_table"]))
+    """Files directly in a folder: those of its own table, none of the folders below it."""
+    target = _written(spark, folder, "labels", "nation")
+    parts = []
+    for place, path in (("above", target), ("below", f"{target}/raw/labels")):
+        listed = _listing(spark, folder, discover_csv(spark, path, recursive=False))
+        sums = F.count(F.lit(1)).cast("int").alias("tables"), F.coalesce(F.sum("body_bytes"), F.lit(0)).alias("body_bytes")
+        parts.append(listed.agg(*sums).select(F.lit(place).alias("place"), "tables", "body_bytes"))
+    return parts[0].unionByName(parts[1])
 
 
 @query("a3_find_file", with_input("nation", "SELECT n_nationkey::BIGINT AS n_nationkey, n_name, n_regionkey::BIGINT AS n_regionkey FROM t"))
 def find_named(spark, folder):
     target = scratch_path(spark, "csv")
-    write_csv(source(spark, folder, "nation").coalesce(1), f"{target}/raw/nation")
-    name = discover_csv(spark, target).first()["name"]
-    return read_csv(spark, find_file(spark, target, name))
+    write_csv(source(spark, folder, "nation"), f"{target}/raw/nation.csv")
+    return read_csv(spark, find_file(spark, target, "nation.csv"))
 
 
 _FILLED_TEXTS = "SELECT doc_id, CASE WHEN text = '' THEN NULL ELSE text END AS text, lang FROM t"
@@ -115,9 +155,8 @@ def load_many(spark, folder):
 )
 def missing_file(spark, folder):
     target = scratch_path(spark, "csv")
-    write_csv(source(spark, folder, "orders").coalesce(1), f"{target}/raw/orders")
-    name = discover_csv(spark, target).first()["name"]
-    found = clean_all(spark, target, [name, "absent.csv"], f"{target}/cleaned")
+    write_csv(source(spark, folder, "orders"), f"{target}/raw/orders.csv")
+    found = clean_all(spark, target, ["orders.csv", "absent.csv"], f"{target}/cleaned")
     return found.select(
         F.when(F.col("success"), "orders").otherwise(F.col("dataset")).alias("dataset"),
         "success",

@@ -28,8 +28,16 @@ def discover_csv(spark: SparkSession, folder: str, recursive: bool = True, patte
 
 
 def find_file(spark: SparkSession, folder: str, name: str) -> str:
-    """The file of that name with the smallest path anywhere below the folder."""
+    """The file of that name with the smallest path anywhere below the folder.
+
+    A table that was written by many tasks is a folder of files; where no file has the name, the folder of that name with the
+    smallest path is found, if it holds a file.
+    """
     found = discover_csv(spark, folder, pattern=name).agg(F.min("path").alias("path")).first()["path"]
+    if found is None:
+        parts = discover_csv(spark, folder, pattern="*").where(F.element_at(F.split("path", "/"), -2) == name)
+        part = parts.agg(F.min("path").alias("path")).first()["path"]
+        found = part and part.rsplit("/", 1)[0]
     if found is None:
         raise FileNotFoundError(f"{name} not found below {folder}")
     return found

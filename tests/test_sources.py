@@ -28,6 +28,12 @@ def test_find_file(spark, folder):
         discovery.find_file(spark, str(folder), "zz.csv")
 
 
+def test_find_table_of_many_files(spark, folder):
+    sinks.write_csv(spark.range(20).repartition(3), str(folder / "sub" / "many.csv"))
+    found = discovery.find_file(spark, str(folder), "many.csv")
+    assert found.endswith("/sub/many.csv") and csv.read_csv(spark, found).count() == 20
+
+
 def test_latin1_file_as_a_whole(spark, tmp_path):
     path = tmp_path / "l.csv"
     path.write_bytes(b"id,v\n1,caf\xe9\n2,plain\n")
