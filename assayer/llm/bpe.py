@@ -5,8 +5,8 @@ all positions where it occurs in the batch. Active ranks are applied in ascendin
 only the two pairs beside it enter the index anew. A merge never makes a pair of a lower rank (checked when the file is
 read), so the global order gives each word the merges it would get alone.
 
-A worker keeps the ids of the pieces it has seen, up to ``CACHE_ENTRIES``; beyond that it starts an empty cache. Texts are
-encoded whole, whatever their length. A null text counts as empty; an empty text has no ids.
+A worker keeps the ids of the pieces it has seen, up to ``CACHE_ENTRIES`` and, as a piece may be a whole text, up to
+``CACHE_BYTES``; beyond either it starts an empty cache with the next batch. Texts are encoded whole, whatever their length. A null text counts as empty; an empty text has no ids.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from assayer.llm.common import picked
 
 CACHE_ENTRIES = 800_000
+CACHE_BYTES = 128_000_000  # of pieces and their ids
 BATCH_CHARS = 4_000_000  # texts merged in one index
 SHIFT = 20  # bits of an id in a pair key
 GAP, GONE = -1, -2  # between two words; merged into the symbol to its left
@@ -139,10 +140,15 @@ class ByteBpe:
         self.pieces |= {i: text.encode() for text, i in added.items()}
         self.words: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
+        self.held = 0  # bytes in both, a character counted as four
+
+    def _keep(self, cache: dict[str, bytes], new: list[str], ids: list[bytes]) -> None:
+        cache.update(zip(new, ids, strict=True))
+        self.held += 4 * sum(map(len, new)) + sum(map(len, ids))
 
     def _learn(self, words: Iterable[str]) -> None:
         new = list(set(words).difference(self.words))
-        self.words.update(zip(new, self.index.merge([w.encode() for w in new]), strict=True))
+        self._keep(self.words, new, self.index.merge([w.encode() for w in new]))
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         """Ids of texts without added tokens.
@@ -150,14 +156,14 @@ class ByteBpe:
         A piece between two single blanks stands alone: no pre-token reaches beyond it, unless white space lies at its edge.
         Texts with such edges are split as a whole.
         """
-        if len(self.words) + len(self.spaced) > CACHE_ENTRIES:
-            self.words, self.spaced = {}, {}
+        if len(self.words) + len(self.spaced) > CACHE_ENTRIES or self.held > CACHE_BYTES:
+            self.words, self.spaced, self.held = {}, {}, 0
         parts = [text.split(" ") for text in texts]
         new = {p for part in parts for p in part[1:] if p not in self.spaced}
         split = {p: _SPLIT.findall(" " + p) for p in new if p and not _EDGE.search(p)}
         self._learn(w for ws in split.values() for w in ws)
         word, join = self.words.__getitem__, b"".join
-        self.spaced.update((p, join(map(word, ws))) for p, ws in split.items())
+        self._keep(self.spaced, list(split), [join(map(word, ws)) for ws in split.values()])
         piece, found, whole = self.spaced.__getitem__, [], {}
         for i, (head, *rest) in enumerate(parts):
             try:

@@ -1,8 +1,10 @@
 """Exact de-duplication, sharding, URL rules and the quality classifier against brute force."""
 
+import bisect
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +93,58 @@ def test_sharding_moves_few_rows(spark):
     assert shard_rows(spark, [], 24) == []
 
 
+def walked(positions, shards, slack=0.0):
+    """Every key on its own: (arc, shard) counts, by walking clockwise in rounds until a shard has room."""
+    points = sharding.ring(shards)
+    ends = [p for p, _ in points]
+    room = sharding.bounds(len(positions), shards, slack)
+    waiting = sorted(bisect.bisect_left(ends, p) % len(ends) for p in positions)
+    found, step = Counter(), 0
+    while waiting:
+        left = []
+        for arc in waiting:
+            shard = points[(arc + step) % len(points)][1]
+            if room[shard]:
+                room[shard] -= 1
+                found[arc, shard] += 1
+            else:
+                left.append(arc)
+        waiting, step = left, step + 1
+    return found
+
+
+def positions_of(spark, ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id bigint").select("doc_id", F.xxhash64("doc_id").alias("h"))
+    return {r["doc_id"]: r["h"] + sharding.RING // 2 for r in rows.collect()}
+
+
+@pytest.mark.parametrize(("shards", "slack"), [(24, 0.0), (24, 0.1), (5, 0.0), (1, 0.0)])
+def test_every_arc_overflows_as_a_plain_walk_says(spark, shards, slack):
+    at = positions_of(spark, range(3000))
+    ends = [p for p, _ in sharding.ring(shards)]
+    rows = shard_rows(spark, [(i, "t") for i in at], shards, slack)
+    found = Counter((bisect.bisect_left(ends, at[r["doc_id"]]) % len(ends), r["shard"]) for r in rows)
+    assert found == walked(at.values(), shards, slack)
+
+
+@pytest.mark.parametrize("slack", [0.0, 0.1, 0.25])
+def test_only_taken_and_overflowing_rows_move(spark, slack):
+    """A row that is in the shard of its own arc before and after a shard is added moves only if the new shard owns that arc.
+    So no more rows move than those the new shard owns and those that overflow before or after."""
+    at = positions_of(spark, range(3000))
+
+    def homes(shards):
+        points = sharding.ring(shards)
+        ends = [p for p, _ in points]
+        return {i: points[bisect.bisect_left(ends, p) % len(ends)][1] for i, p in at.items()}
+
+    before, after = homes(24), homes(25)
+    old = {r["doc_id"]: r["shard"] for r in shard_rows(spark, [(i, "t") for i in at], 24, slack)}
+    new = {r["doc_id"]: r["shard"] for r in shard_rows(spark, [(i, "t") for i in at], 25, slack)}
+    over = {i for i in at if old[i] != before[i] or new[i] != after[i]}
+    assert {i for i in at if old[i] != new[i]} <= over | {i for i in at if after[i] == 24}
+
+
 def test_overflow_goes_on_clockwise():
     points = sorted((p, s) for s, p in enumerate([100, 200, 300]))
     assert sharding.flow({0: 5}, points, [2, 2, 1]) == [(0, 0, 2, 0, 0), (0, 2, 4, 1, 0), (0, 4, 5, 2, 0)]

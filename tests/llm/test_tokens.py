@@ -194,3 +194,16 @@ def test_long_pieces_stay_out_of_tables(spark):
     assert token_counts._counts(texts, WORD, {}, cache) == want
     assert sorted(cache) == ["short", "words"]
     assert [r["n_tokens"] for r in token_counts.counted(df, WORD).orderBy("doc_id").collect()] == want
+
+
+def test_caches_of_pieces_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 20_000)
+    texts = ["é" * 9000, "a b c", "x" * 7000 + " y", "a b c"]
+    fast, plain = ByteBpe(BYTE), Tokenizer.from_file(BYTE)
+    for text in texts * 2:
+        ids = np.frombuffer(fast.encode([text])[0], dtype="<u4").tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids
+        assert fast.held == sum(4 * len(p) + len(i) for cache in (fast.words, fast.spaced) for p, i in cache.items())
+    fast.encode(["é" * 9000])
+    fast.encode(["z"])
+    assert list(fast.words) == ["z"] and fast.held == 8
