@@ -79,7 +79,7 @@ def test_header_only_and_a_single_record(spark, rows, tmp_path):
         (b'end",x', False, False),
         (b'end","', True, True),
         (b'x"",y', False, True),
-        (b'",5" pipe,"open', False, True),
+        (b'",5" pipe,"open', True, True),
     ],
 )
 def test_states_at_line_ends(line, outside, inside):
