@@ -9,16 +9,20 @@ and a failure arc to the state of h', weighted by log10(m / (c(h) + m)). The roo
 from left to right carries the state and adds up the weights; the texts of a block are traversed together, as arrays.
 
 **At scale.** Texts stay where they are. A task turns them into blocks of about ``BLOCK_BYTES`` (word numbers and 64-bit word
-hashes), which are stored. Each block asks for the counts of its distinct n-grams, dealt by ranges of their hashes; a range
-adds up the counts of all blocks and answers in the order it was asked. A block then builds the part of the automaton that
-its own texts can reach. No n-gram is dropped, and no task holds more than one block or one range.
+hashes), which are stored in buckets, so that later steps read them where they lie and only requests and answers are
+shuffled. Each block asks for the counts of its distinct n-grams, dealt by ranges of their hashes; a range adds up the counts
+of all blocks and answers in the order it was asked. Words and pairs are asked for first. A longer n-gram is asked for only
+if another block has its context too and a training text has it: otherwise its count is that in its own block, or zero. A
+block then builds the part of the automaton that its own texts can reach. No n-gram is dropped, and no task holds more than
+one block or one range.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -29,11 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.common import picked
-from assayer.session import pinned
+from assayer.session import pinned, scratch_path
 
 PRIOR = 8.0
 BLOCK_BYTES = 5_000_000
 RANGE_ENTRIES = 2_000_000
+FIRST_LEVELS = 2  # asked for in the first round
 END = 0  # number of the end token, which is also the begin symbol of the next text
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -49,11 +54,13 @@ def words_of(text: str) -> list[bytes]:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zlib.compress(values.tobytes(), 1)
+    """All first bytes, then all second ones and so on: high bytes are mostly alike."""
+    return zlib.compress(values.view("u1").reshape(-1, values.itemsize).T.tobytes(), 1)
 
 
 def _array(packed: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), dtype=kind)
+    planes = np.frombuffer(zlib.decompress(packed), dtype="u1").reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
 def _steps(hashes: np.ndarray) -> bytes:
@@ -151,35 +158,89 @@ def _bounds(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, np.array(edges, dtype=np.uint64)), [len(hashes)]])
 
 
-def _requests(batches: Iterator[pa.RecordBatch], order: int, ranges: int) -> Iterator[pa.RecordBatch]:
-    """Rows (block, level, range, hashes, counts): what a block asks for and what it adds."""
+def _placed(answers: list[dict], level: int) -> np.ndarray:
+    """What a block was given for what it asked of a level, in the order of the hashes."""
+    own = [_array(r["totals"], "<i8") for r in sorted(answers, key=lambda r: r["range"]) if r["level"] == level]
+    return np.concatenate(own) if own else np.zeros(0, dtype=np.int64)
+
+
+class Totals:
+    """Training counts over all blocks of the n-grams of one block, level by level."""
+
+    def __init__(self, grams: Grams, learned: np.ndarray, answers: list[dict], levels: int):
+        self.grams, self.learned = grams, learned
+        self.found: list[np.ndarray] = []
+        self.shared: list[np.ndarray] = []  # what another block has too and a training text has
+        for level in range(1, levels + 1):
+            asked = np.flatnonzero(self.asked(level))
+            places = asked[np.argsort(grams.hashes[level - 1][asked])]
+            total, shared = grams.counts(learned, level).astype(np.int64), np.zeros(len(grams.hashes[level - 1]), dtype=bool)
+            given = _placed(answers, level)
+            total[places] = given >> 1
+            shared[places] = (given > 1) & (given & 1 == 0)
+            self.found.append(total)
+            self.shared.append(shared)
+
+    def asked(self, level: int) -> np.ndarray:
+        """Which n-grams of a level the block asks for. The count of any other is that of the block itself: all texts with
+        its context are in this block, or no training text has the context."""
+        if level <= FIRST_LEVELS:
+            return np.ones(len(self.grams.hashes[level - 1]), dtype=bool)
+        return self.shared[level - 2][self.grams.context[level - 1]]
+
+    def requests(self, block: int, level: int, ranges: int) -> Iterator[tuple]:
+        """(block, level, range, hashes, counts): what a block asks for on a level and what it adds."""
+        asked = self.asked(level)
+        hashes, counts = self.grams.hashes[level - 1][asked], self.grams.counts(self.learned, level)[asked]
+        by_hash = np.argsort(hashes)
+        hashes, counts = hashes[by_hash], counts[by_hash].astype("<u4")
+        bounds = _bounds(hashes, ranges)
+        for r, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            if a < b:
+                yield block, level, r, _steps(hashes[a:b]), _packed(counts[a:b])
+
+
+_REQUEST = pa.schema(
+    [("block", pa.int64()), ("level", pa.int32()), ("range", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())]
+)
+_REQUEST_SQL = "block bigint, level int, range int, hashes binary, counts binary"
+
+
+def _request_table(rows: Iterator[tuple]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [()] * len(_REQUEST)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _REQUEST, strict=True)], schema=_REQUEST)
+
+
+def _first_requests(batches: Iterator[pa.RecordBatch], order: int, ranges: int) -> Iterator[pa.RecordBatch]:
+    levels = min(order, FIRST_LEVELS)
     for batch in batches:
         for row in batch.to_pylist():
-            grams, learned, _ = _read(row, order)
-            out = defaultdict(list)
-            for level in range(1, order + 1):
-                hashes, counts = grams.hashes[level - 1], grams.counts(learned, level)
-                by_hash = np.argsort(hashes)
-                hashes, counts = hashes[by_hash], counts[by_hash].astype("<u4")
-                bounds = _bounds(hashes, ranges)
-                for r, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                    if a < b:
-                        out["block"].append(row["block"])
-                        out["level"].append(level)
-                        out["range"].append(r)
-                        out["hashes"].append(_steps(hashes[a:b]))
-                        out["counts"].append(_packed(counts[a:b]))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], list(out))
+            grams, learned, _ = _read(row, levels)
+            totals = Totals(grams, learned, [], 0)
+            rows = chain.from_iterable(totals.requests(row["block"], level, ranges) for level in range(1, levels + 1))
+            yield from _request_table(rows).to_batches()
+
+
+def _later_requests(level: int, ranges: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        grams, learned, _ = _read(row, level)
+        return _request_table(Totals(grams, learned, answers.to_pylist(), level - 1).requests(row["block"], level, ranges))
+
+    return run
 
 
 def _answers(rows: pa.Table) -> pa.Table:
-    """For one range of one level: the totals, in the order each block asked, and what they come to."""
+    """For one range of one level: the totals, in the order each block asked, and what they come to.
+
+    A total is doubled, and one more where no other block asked for the n-gram.
+    """
     asked = [np.cumsum(_array(h.as_py(), "<u8"), dtype=np.uint64) for h in rows["hashes"]]
     own = np.concatenate([_array(c.as_py(), "<u4") for c in rows["counts"]])
     distinct, inverse = np.unique(np.concatenate(asked), return_inverse=True)
     totals = np.bincount(inverse, weights=own, minlength=len(distinct)).astype("<i8")
-    answers = np.split(totals[inverse], np.cumsum([len(a) for a in asked])[:-1])
+    alone = np.bincount(inverse, minlength=len(distinct)) == 1
+    answers = np.split((2 * totals + alone)[inverse], np.cumsum([len(a) for a in asked])[:-1])
     first = np.arange(len(asked)) == 0
     return pa.table(
         {
@@ -240,13 +301,8 @@ class Automaton:
 
 def _scored(block: pa.Table, answers: pa.Table, order: int, tokens: int, types: int) -> pa.Table:
     row = block.to_pylist()[0]
-    grams, _, lengths = _read(row, order)
-    totals = [np.zeros(len(h), dtype=np.int64) for h in grams.hashes]
-    rows = answers.select(["level", "range", "totals"]).to_pylist()
-    for level in range(1, order + 1):
-        own = [_array(r["totals"], "<i8") for r in sorted(rows, key=lambda r: r["range"]) if r["level"] == level]
-        if own:
-            totals[level - 1][np.argsort(grams.hashes[level - 1])] = np.concatenate(own)
+    grams, learned, lengths = _read(row, order)
+    totals = Totals(grams, learned, answers.to_pylist(), order).found
     base = np.log10((totals[0] + 0.5) / (tokens + 0.5 * (types + 1)))
     begins = np.cumsum(lengths) - lengths
     return pa.table(
@@ -260,6 +316,18 @@ def _scored(block: pa.Table, answers: pa.Table, order: int, tokens: int, types:
     )
 
 
+def _stored(blocks: DataFrame, buckets: int) -> DataFrame:
+    """The blocks as a table in buckets: groups of a block's rows are formed without a shuffle."""
+    name = f"blocks_{uuid.uuid4().hex}"
+    blocks.write.bucketBy(buckets, "block").option("path", scratch_path(blocks.sparkSession, name)).saveAsTable(name)
+    return blocks.sparkSession.table(name)
+
+
+def _answered(asked: DataFrame) -> DataFrame:
+    kinds = "block bigint, level int, range int, totals binary, tokens bigint, types bigint"
+    return pinned(asked.groupBy("level", "range").applyInArrow(_answers, kinds))
+
+
 def scored(documents: DataFrame, learned: Column, order: int = 2, id_column="doc_id", text_column="text") -> DataFrame:
     """One row per document: doc_id, learned, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -274,17 +342,17 @@ def scored(documents: DataFrame, learned: Column, order: int = 2, id_column="doc
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["block", "ids", "learned", "lengths", "codes", "hashes"]
     schema = f"block bigint, ids array<{kind}>, learned binary, lengths binary, codes binary, hashes binary"
-    blocks = pinned(rows.mapInArrow(lambda batches: _blocks(batches, names), schema))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = _stored(rows.mapInArrow(lambda batches: _blocks(batches, names), schema), parts)
     size = blocks.agg(F.count(F.lit(1)).alias("n")).first()["n"] * BLOCK_BYTES
-    ranges = max(-(-size // 6 // RANGE_ENTRIES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    asked = blocks.select("block", "learned", "lengths", "codes", "hashes").mapInArrow(
-        lambda batches: _requests(batches, order, ranges), "block bigint, level int, range int, hashes binary, counts binary"
-    )
-    answers = pinned(
-        asked.groupBy("level", "range").applyInArrow(
-            _answers, "block bigint, level int, range int, totals binary, tokens bigint, types bigint"
-        )
-    )
+    ranges = max(-(-size // 6 // RANGE_ENTRIES), parts)
+    texts = blocks.select("block", "learned", "lengths", "codes", "hashes")
+    asked = texts.mapInArrow(lambda batches: _first_requests(batches, order, ranges), _REQUEST_SQL)
+    answers = _answered(asked)
+    for level in range(FIRST_LEVELS + 1, order + 1):
+        given = texts.groupBy("block").cogroup(answers.select("block", "level", "range", "totals").groupBy("block"))
+        asked = given.applyInArrow(_later_requests(level, ranges), _REQUEST_SQL)
+        answers = answers.union(_answered(asked))
     whole = answers.where("level = 1").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
     tokens, types = whole["tokens"] or 0, whole["types"] or 0
     found = blocks.groupBy("block").cogroup(answers.select("block", "level", "range", "totals").groupBy("block"))

@@ -4,6 +4,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,3 +92,30 @@ def test_registered_query_scores_trigrams(spark, tmp_path):
     found = {r["doc_id"]: r["score"] for r in QUERIES["op8_lm_scoring"](spark, str(tmp_path)).collect()}
     assert found == pytest.approx({r[0]: r[5] for r in expected(rows, 3)})
     assert found[0] != pytest.approx(expected(rows, 2)[0][5])
+
+
+def test_only_shared_contexts_are_asked_for():
+    """A trigram is asked for if another block has its context and a training text has it; others are known without."""
+    lengths = np.array([4], dtype=np.int64)
+    hashes = np.arange(1, 5, dtype=np.uint64)
+    grams = lm_scoring.Grams(np.array([1, 2, 3, 0]), lengths, hashes, 3)  # "a b c", then the end
+    pairs = len(grams.hashes[1])
+
+    def answer(level, doubled):
+        places = np.argsort(grams.hashes[level - 1])
+        return {"level": level, "range": 0, "totals": lm_scoring._packed(np.array(doubled, dtype="<i8")[places])}
+
+    nowhere_else = [answer(1, [2 * 1 + 1] * 4), answer(2, [2 * 1 + 1] * pairs)]
+    assert not lm_scoring.Totals(grams, np.array([True]), nowhere_else, 2).asked(3).any()
+    not_learned = [answer(1, [2] * 4), answer(2, [0] * pairs)]
+    assert not lm_scoring.Totals(grams, np.array([False]), not_learned, 2).asked(3).any()
+    shared = [answer(1, [2 * 5] * 4), answer(2, [2 * 5] * pairs)]
+    totals = lm_scoring.Totals(grams, np.array([True]), shared, 2)
+    assert totals.asked(3).all() and totals.found[1].tolist() == [5] * pairs
+
+
+def test_packed_arrays_come_back():
+    for kind in ("u1", "<u4", "<i4", "<i8", "<u8"):
+        for values in ([], [0], [1, 255, 7], range(200)):
+            values = np.array(values, dtype=kind)
+            assert lm_scoring._array(lm_scoring._packed(values), kind).tolist() == values.tolist()
