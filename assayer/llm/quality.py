@@ -1,9 +1,11 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the average of learned vectors: one for every word, hashed, one for each of its character n-grams, one for
-every word that repeats the word before it, and one for the end. A softmax over two classes stands on top. Vectors and
-output weights are trained together by stochastic gradient descent in numpy, on a bounded sample of the labelled rows
-(``SAMPLE_ROWS``, those whose hashed id is smallest); the sample is all that reaches the driver, as feature counts.
+A document is the average of learned vectors, all hashed into one table: one for every word, one for each of its character
+n-grams, one for every pair of neighbouring words, and one for the end. A softmax over two classes stands on top. Vectors and
+output weights are trained together by stochastic gradient descent in numpy, on a bounded sample of the labelled documents
+(``SAMPLE_ROWS``): half of it of each label, those whose hashed id is smallest, filled up from the other label where one has
+fewer. The sample is all that reaches the driver, as feature counts. The logit is moved by the shares that the labels have
+among all labelled documents, so a balanced sample doesn't make the rare label likelier than it is.
 
 The output is linear in the average, so a feature's part in the score is one number. Workers keep the sum of these numbers
 for the words they have met.
@@ -11,7 +13,7 @@ for the words they have met.
 
 from __future__ import annotations
 
-import operator
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,7 +27,7 @@ from assayer.llm.common import picked
 SAMPLE_ROWS = 2_500
 BUCKETS_LOG2 = 16
 BUCKETS = 1 << BUCKETS_LOG2
-REPEAT, END, FEATURES = BUCKETS, BUCKETS + 1, BUCKETS + 2
+END, FEATURES = BUCKETS, BUCKETS + 1
 DIMENSIONS = 16
 EPOCHS = 4
 RATE = 0.5
@@ -34,16 +36,17 @@ CACHE_ENTRIES = 600_000
 LONGEST_WORD = 64  # a longer run of characters is taken in stretches of this length
 _PRIME = np.uint64(0x100000001B3)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
     return ((hashes * _SPREAD) >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64)
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(word number, feature) for the word and the character n-grams of each of the words, in < and >."""
+def hashed(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word number, feature) for the word and the character n-grams of each of the words, in < and >, and word hashes."""
     if not words:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
     word = np.repeat(np.arange(len(words)), sizes)
@@ -59,7 +62,16 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             if n >= SHORTEST:
                 at = np.flatnonzero(rest >= n)
                 found.append((word[at], _bucket(hashes[at])))
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), whole
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    return hashed(words)[:2]
+
+
+def pair_features(hashes: np.ndarray) -> np.ndarray:
+    """The feature of every two neighbouring words, from the hashes of the words of a text in their order."""
+    return _bucket((hashes[:-1] * _PAIR) ^ (hashes[1:] + _PRIME))
 
 
 def words_of(text: str) -> list[str]:
@@ -69,17 +81,16 @@ def words_of(text: str) -> list[str]:
     return words
 
 
-def repeats(words: list[str]) -> int:
-    return sum(map(operator.eq, words, words[1:]))
-
-
 def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The distinct features of a text and how often each occurs."""
     words = words_of(text)
     counts = Counter(words)
-    word, feature = features(list(counts))
+    number = {w: i for i, w in enumerate(counts)}
+    word, feature, hashes = hashed(list(counts))
     often = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))[word]
-    totals = np.bincount(np.append(feature, [REPEAT, END]), weights=np.append(often, [repeats(words), 1]))
+    pairs = pair_features(hashes[np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))])
+    weights = np.concatenate([often, np.ones(len(pairs) + 1)])
+    totals = np.bincount(np.concatenate([feature, pairs, [END]]), weights=weights)
     distinct = np.flatnonzero(totals)
     return distinct, totals[distinct]
 
@@ -111,20 +122,26 @@ def trained(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], seed:
 
 
 class Scorer:
-    """Scores of texts; keeps the sum of parts and the number of features of each word it has met."""
+    """Scores of texts; keeps the sum of parts, the number of features and the hash of each word it has met."""
 
-    def __init__(self, parts: np.ndarray):
-        self.parts = parts
-        self.known: dict[str, complex] = {}
+    def __init__(self, parts: np.ndarray, prior: float = 0.0):
+        self.parts, self.prior = parts, prior
+        self.known: dict[str, int] = {}
+        self.sums, self.sizes, self.hashes = np.zeros(0), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) > CACHE_ENTRIES:
             self.known = {}
         new = [w for w in words if w not in self.known]
-        word, feature = features(new)
-        parts = np.bincount(word, weights=self.parts[feature], minlength=len(new))
-        often = np.bincount(word, minlength=len(new))
-        self.known.update(zip(new, map(complex, parts.tolist(), often.tolist()), strict=True))
+        if not new:
+            return
+        begin, end = len(self.known), len(self.known) + len(new)
+        if end > len(self.sums):
+            self.sums, self.sizes, self.hashes = (np.resize(a, 2 * end) for a in (self.sums, self.sizes, self.hashes))
+        word, feature, self.hashes[begin:end] = hashed(new)
+        self.sums[begin:end] = np.bincount(word, weights=self.parts[feature], minlength=len(new))
+        self.sizes[begin:end] = np.bincount(word, minlength=len(new))
+        self.known.update(zip(new, range(begin, end), strict=True))
 
     def scores(self, texts: pa.Array) -> list[float]:
         found = []
@@ -135,13 +152,18 @@ class Scorer:
         return found
 
     def score(self, words: list[str]) -> float:
-        again = repeats(words)
-        total = sum(map(self.known.__getitem__, words), complex(again * self.parts[REPEAT] + self.parts[END], again + 1))
-        return float(1 / (1 + np.exp(-total.real / total.imag)))
+        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        pairs = pair_features(self.hashes[at])
+        total = self.sums[at].sum() + self.parts[pairs].sum() + self.parts[END]
+        return float(1 / (1 + np.exp(-(total / (self.sizes[at].sum() + len(pairs) + 1) + self.prior))))
 
 
-def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list, list[int]]:
-    """Feature counts and labels of at most ``rows`` labelled documents, in the order of their hashed ids."""
+def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list, list[int], float]:
+    """Feature counts and labels of at most ``rows`` labelled documents, and what the logit is moved by.
+
+    Half of the rows have each label, in the order of their hashed ids; a label with fewer leaves its places to the other.
+    An id that repeats in ``documents`` counts once for each of its labels, by one of its texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,13 +173,23 @@ def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("place"), ids, counts], names)
 
     names = ["label", "place", "ids", "counts"]
-    chosen = labels.where("label IN (0, 1)").withColumn("place", F.xxhash64("doc_id"))
-    chosen = chosen.orderBy("place", "doc_id", "label").limit(rows)
-    found = documents.join(F.broadcast(chosen), "doc_id").select("label", "place", "text")
+    known = labels.where("label IN (0, 1) AND doc_id IS NOT NULL").distinct().withColumn("place", F.xxhash64("doc_id"))
+    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}  # two rows
+    if len(sizes) < 2:
+        return [], [], 0.0
+    first = min(sizes[0], max(rows // 2, rows - sizes[1]))
+    take = {0: first, 1: min(sizes[1], rows - first)}
+    chosen = [known.where(F.col("label") == k).orderBy("place", "doc_id").limit(n) for k, n in take.items()]
+    found = documents.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("label", "place", "text")
     found = found.mapInArrow(run, "label int, place bigint, ids binary, counts binary")
-    table = sorted(found.collect(), key=lambda r: (r["place"], r["label"], r["ids"]))
-    bags = [(np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["counts"], "<f4")) for r in table]
-    return bags, [r["label"] for r in table]
+    table = found.groupBy("label", "place").agg(F.min(F.struct("ids", "counts")).alias("bag")).collect()
+    table.sort(key=lambda r: (r["place"], r["label"]))
+    bags = [(np.frombuffer(r["bag"]["ids"], "<i4"), np.frombuffer(r["bag"]["counts"], "<f4")) for r in table]
+    taught = Counter(r["label"] for r in table)
+    if len(taught) < 2:
+        return [], [], 0.0
+    prior = math.log(sizes[1] / sizes[0]) - math.log(taught[1] / taught[0])
+    return bags, [r["label"] for r in table], prior
 
 
 def scored(
@@ -166,14 +198,14 @@ def scored(
     """One row per document: doc_id, score (0 to 1, higher: label 1 likelier), predicted (1 from a score of 0.5).
 
     Learns from the labelled rows it is given and scores every whole text. Labels other than 0 and 1, also null ones, teach
-    nothing; a document with several label rows teaches by each. A null or empty text is scored by the end alone. Without
+    nothing; a document with both labels teaches by each, once. A null or empty text is scored by the end alone. Without
     labelled rows of both kinds every score is 0.5. Repeated rows and rows without an id are scored like any others.
     """
     rows = picked(documents, doc_id=id_column, text=text_column)
     shared = _fitted(rows, labels, label_id, label_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(*shared.value)
         for batch in batches:
             scores = pa.array(scorer.scores(batch.column("text")), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
@@ -191,7 +223,7 @@ def filtered(
     at = documents.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(*shared.value)
         for batch in batches:
             yield batch.filter(pa.array([s >= 0.5 for s in scorer.scores(batch.column(at))], pa.bool_()))
 
@@ -201,4 +233,5 @@ def filtered(
 
 def _fitted(rows: DataFrame, labels: DataFrame, label_id: str, label_column: str):
     known = picked(labels, doc_id=label_id, label=label_column).withColumn("label", F.col("label").cast("int"))
-    return rows.sparkSession.sparkContext.broadcast(trained(*sample(rows, known)))
+    bags, taught, prior = sample(rows, known)
+    return rows.sparkSession.sparkContext.broadcast((trained(bags, taught), prior))

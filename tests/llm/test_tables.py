@@ -2,10 +2,13 @@
 
 import bisect
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,7 +235,30 @@ def test_subword_features():
     word, feature = quality.features(["ab", "abc"])
     assert sorted(word.tolist()).count(0) == 1 + 2 + 1  # <ab>: itself, 3-grams <ab ab>, 4-gram
     assert set(feature[word == 0]) & set(feature[word == 1])  # <ab is in both
-    assert quality.repeats(["a", "a", "b", "b", "b"]) == 3
+    assert len(set(quality.pair_features(quality.hashed(["a", "b", "a", "b", "b"])[2]).tolist())) == 3  # ab, ba, bb
+
+
+def test_quality_scores_are_averages_of_parts():
+    """The worker's sums against a plain average over all features of a text."""
+    draw = random.Random(5)
+    parts = np.random.default_rng(3).normal(size=quality.FEATURES)
+    scorer = quality.Scorer(parts, 0.25)
+    for n in (0, 1, 2, 3, 50, 400):
+        words = [draw.choice(["a", "bc", "déf", "x" * 150, "%%", "word"]) for _ in range(n)]
+        distinct, counts = quality.bag(" ".join(words))
+        logit = float(parts[distinct] @ counts / counts.sum()) + 0.25
+        assert scorer.scores(pa.array([" ".join(words)]))[0] == pytest.approx(1 / (1 + math.exp(-logit)))
+
+
+def test_quality_sample_has_both_labels_and_one_row_per_document(spark):
+    docs = spark.createDataFrame([(i % 500, f"t{i % 7} x") for i in range(1000)] + [(7, "x")] * 50, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i >= 5)) for i in range(500)] * 2, "doc_id bigint, label int")
+    bags, taught, prior = quality.sample(docs, labels, 40)
+    assert Counter(taught) == {0: 5, 1: 35}
+    assert prior == pytest.approx(math.log(495 / 5) - math.log(35 / 5))
+    bags, taught, prior = quality.sample(docs, labels.withColumn("label", F.col("doc_id").cast("int") % 2), 40)
+    assert Counter(taught) == {0: 20, 1: 20} and prior == 0
+    assert quality.sample(docs, labels.where("label = 1"), 40)[0] == []
 
 
 def test_lower_az_and_picked(spark):
