@@ -218,7 +218,10 @@ def _list_rule(place: int, rule: str, names: str, advice: str) -> Column:
 def observations(
     facts: DataFrame, duplicates: DataFrame, pairs: DataFrame, outliers: DataFrame, rules: Thresholds = DEFAULTS
 ) -> DataFrame:
-    """(seq, rule, columns, value, text): what stands out in a table, in fixed order."""
+    """(seq, rule, columns, value, text): what stands out in a table, in fixed order.
+
+    Correlations that agree in nine decimals are equally strong; their pairs follow in the order of the columns.
+    """
     summary = facts.agg(
         F.max(F.when(F.col("missing") > 0, F.struct("missing_pct", (-F.col("ordinal")).alias("o"), "column"))).alias("worst"),
         _names(F.col("is_high_missing")).alias("high_missing"),
@@ -263,7 +266,7 @@ def observations(
     top = strong.agg(
         F.slice(
             F.array_sort(
-                F.collect_list(F.struct((-F.abs("r")).alias("k"), "ordinal_a", "ordinal_b", "col_a", "col_b", "r"))
+                F.collect_list(F.struct((-F.round(F.abs("r"), 9)).alias("k"), "ordinal_a", "ordinal_b", "col_a", "col_b", "r"))
             ),
             1,
             rules.observed_pairs,

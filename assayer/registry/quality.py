@@ -141,10 +141,27 @@ def _listed(flag: str, order: str = "ordinal") -> str:
 def _list_row(place: int, rule: str, flag: str, order: str = "ordinal") -> str:
     return (
         f"SELECT {place} AS place, '{rule}' AS rule, {_listed(flag, order)} AS \"columns\", "
-        f"(SELECT count(*) FROM roles WHERE {flag})::DOUBLE AS value"
+        f"(SELECT count(*) FROM roles WHERE {flag})::DOUBLE AS value, NULL AS said"
     )
 
 
+_ADVISED = " ".join(
+    f"WHEN '{rule}' THEN '{said}'"
+    for rule, said in (
+        ("high_missing", "more than 70% missing"),
+        ("constant", "one value only, no signal"),
+        ("empty", "no value at all"),
+        ("duplicate_columns", "keep one of each"),
+        ("targets", "may be targets, keep them out of the features"),
+        ("identifiers", "identify rows, keep them out of the features"),
+        ("high_cardinality", "too many values for one-hot encoding"),
+        ("features", "usable as features"),
+    )
+)
+_WORST = 'arg_max("column", missing * 1000 - ordinal)'
+_MOST = 'arg_max("column", outliers * 1000 - ordinal)'
+
+
 _NUMERIC = [(i, c) for i, (c, k) in enumerate(WIDE) if k in ("int", "float")]
 
 
@@ -168,25 +185,31 @@ _CORRELATED = " UNION ALL ".join(
     _sql(
         f""", outliers AS ({" UNION ALL ".join(_outlier_count(i, c) for i, c in _NUMERIC)}),
         strong AS (SELECT * FROM ({_CORRELATED}) WHERE NOT isnan(r) AND abs(r) >= 0.8),
+        shown AS (SELECT * FROM strong ORDER BY -round(abs(r), 9), a, b LIMIT 5),
         all_rules AS (
         SELECT 1 AS place, CASE WHEN max(missing) = 0 THEN 'no_missing' ELSE 'most_missing' END AS rule,
-            CASE WHEN max(missing) = 0 THEN '' ELSE arg_max("column", missing * 1000 - ordinal) END AS "columns",
-            round(100.0 * max(missing) / max(n), 4)::DOUBLE AS value FROM roles
+            CASE WHEN max(missing) = 0 THEN '' ELSE {_WORST} END AS "columns",
+            round(100.0 * max(missing) / max(n), 4)::DOUBLE AS value,
+            CASE WHEN max(missing) = 0 THEN 'no column has a missing value' ELSE
+                {_WORST} || ' misses most values: ' || printf('%.1f%%', 100.0 * max(missing) / max(n)) END AS said FROM roles
         UNION ALL {_list_row(2, 'high_missing', 'high_missing')}
-        UNION ALL SELECT 3, 'high_correlation', NULL, least(count(*), 5)::DOUBLE FROM strong HAVING count(*) > 0
-        UNION ALL SELECT 4, 'most_outliers', arg_max("column", outliers * 1000 - ordinal), max(outliers)::DOUBLE
-            FROM outliers HAVING max(outliers) > 0
+        UNION ALL SELECT 3, 'high_correlation', string_agg(pair, ', ' ORDER BY -round(abs(r), 9), a, b), count(*)::DOUBLE,
+            string_agg(pair || printf(' (r=%.2f)', r), '; ' ORDER BY -round(abs(r), 9), a, b)
+                || ': redundant, or one leaks the other' FROM shown HAVING count(*) > 0
+        UNION ALL SELECT 4, 'most_outliers', {_MOST}, max(outliers)::DOUBLE,
+            {_MOST} || ' has most values outside the fence: ' || max(outliers) FROM outliers HAVING max(outliers) > 0
         UNION ALL {_list_row(5, 'constant', 'constant')}
         UNION ALL {_list_row(6, 'empty', 'empty')}
         UNION ALL SELECT 7, 'duplicate_columns',
-            string_agg(other_column || ' = ' || "column", ', ' ORDER BY ordinal_a, ordinal_b), count(*)::DOUBLE
+            string_agg(other_column || ' = ' || "column", ', ' ORDER BY ordinal_a, ordinal_b), count(*)::DOUBLE, NULL
             FROM copies HAVING count(*) > 0
         UNION ALL {_list_row(8, 'targets', 'target')}
         UNION ALL {_list_row(9, 'identifiers', 'identifier', '"column"')}
         UNION ALL {_list_row(10, 'high_cardinality', 'high_cardinality')}
         UNION ALL {_list_row(11, 'features', _BUCKETS['features'])})
-        SELECT CAST(row_number() OVER (ORDER BY place) AS INTEGER) AS seq, rule, "columns", value FROM all_rules
-        WHERE "columns" IS NOT NULL OR rule = 'high_correlation'"""
+        SELECT CAST(row_number() OVER (ORDER BY place) AS INTEGER) AS seq, rule, "columns", value,
+            coalesce(said, "columns" || ': ' || CASE rule {_ADVISED} END) AS text FROM all_rules
+        WHERE "columns" IS NOT NULL"""
     ),
 )
 def observations(spark, folder):
@@ -194,9 +217,7 @@ def observations(spark, folder):
     copies = quality.duplicate_columns(df)
     facts = pinned(quality.column_facts(df, duplicates=copies))
     found = quality.observations(facts, copies, correlations(df), iqr_outliers(df))
-    # the order of pairs that are equal up to rounding differs between engines
-    names = F.when(F.col("rule") != "high_correlation", F.array_join("columns", ", "))
-    return found.select("seq", "rule", names.alias("columns"), F.round("value", 4).alias("value"))
+    return found.select("seq", "rule", F.array_join("columns", ", ").alias("columns"), F.round("value", 4).alias("value"), "text")
 
 
 def _advice(section: str, action: str, where: str) -> str:
