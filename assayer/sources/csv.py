@@ -56,20 +56,24 @@ def _fields(record: Column) -> Column:
 def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All columns as text. Files of one layout and header are read together, and their columns meet by name.
 
+    Where all files share both, as those of one writer do, they are read by their common path and none is listed here.
+
     A shorter record ends in missing values. A record with more fields than
     the header has no place for them: the table fails when it is read.
     Headers that name different columns are an error that shows both.
     """
-    layouts: dict[tuple, list[str]] = {}
-    # few rows even for many files: those of one layout are gathered as an array
-    grouped = file_layouts(spark, path).groupBy("encoding", "multi_line", "header")
-    for row in grouped.agg(F.sort_array(F.collect_list("file")).alias("files")).collect():
-        layouts[row["encoding"], row["multi_line"], row["header"]] = row["files"]
+    shape = ["encoding", "multi_line", "header"]
+    found = pinned(file_layouts(spark, path))
+    examples = found.groupBy(shape).agg(F.min("file").alias("first")).collect()
+    layouts = {tuple(r[c] for c in shape): (r["first"], path) for r in examples}
+    if len(layouts) > 1:  # only then the files have to be told apart
+        for r in found.groupBy(shape).agg(F.sort_array(F.collect_list("file")).alias("files")).collect():
+            layouts[tuple(r[c] for c in shape)] = (r["files"][0], r["files"])
     if not layouts:
         return spark.read.option("header", True).csv(path)
     parts = []
     for encoding, multi_line, header in sorted(layouts, key=str):
-        files = layouts[encoding, multi_line, header]
+        first, files = layouts[encoding, multi_line, header]
         reader = (
             spark.read.option("header", True)
             .option("quote", '"')
@@ -79,7 +83,7 @@ def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
         )
-        names = reader.csv(files[0]).columns
+        names = reader.csv(first).columns
         record = "record"
         while record in names:
             record += "_"

@@ -42,7 +42,7 @@ def ends_inside(line: bytes, inside: bool) -> bool:
     return _OPEN.match(line, start) is not None
 
 
-def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
+def _lines(spark: SparkSession, files: str | list[str]) -> DataFrame:
     """(file, block, length, number, line): every line with the split that it begins in; ``number`` follows their order."""
     at = F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.col("_metadata.file_block_length")
     read = spark.read.option("lineSep", "\n").text(files)
@@ -124,7 +124,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def quoted_records(spark: SparkSession, files: list[str], encoding: str) -> DataFrame | None:
+def quoted_records(spark: SparkSession, files: str | list[str], encoding: str) -> DataFrame | None:
     """(record): the text of every record after the header, with its quotes and inner line ends.
 
     None where a file has carriage returns inside its lines: what ends a line there is for the whole file to tell. Records
