@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.functions.relations import small_relation
+from assayer.matching.text_vectors import term_rows
 from assayer.session import pinned
 
 MAX_COLUMNS = 2_000  # of a regression; its Gram matrix reaches the driver
@@ -20,8 +21,8 @@ TOLERANCE = 1e-9
 def classified(counts: DataFrame, texts: DataFrame, label: str, learned: Column, smoothing: float = 1.0) -> DataFrame:
     """(id, learned, label, predicted, score, margin) by multinomial naive Bayes.
 
-    ``counts`` holds (id, term, tf), ``texts`` (id, ``label``) with one row per text; ``learned`` is a condition on ``id`` that
-    chooses the texts to learn from, of which those with a label count. With V different terms in training, a class of n_c
+    ``counts`` are those of ``text_vectors.term_counts``, ``texts`` (id, ``label``) with one row per text; ``learned`` is a
+    condition on ``id`` that chooses the texts to learn from, of which those with a label count. With V different terms in training, a class of n_c
     texts and t_c words gives ln(n_c / n) + sum of tf ln((t_cw + s) / (t_c + s (V + 1))); a term never seen is the one beyond V.
     ``score`` is that of the predicted class, ``margin`` what it has above the next one (null with one class only). Equal scores
     go to the first label. Without any text to learn from, predictions are null.
@@ -31,7 +32,8 @@ def classified(counts: DataFrame, texts: DataFrame, label: str, learned: Column,
     """
     texts = pinned(texts.select("id", F.col(label).alias("label"), F.coalesce(learned, F.lit(False)).alias("learned")))
     given = texts.where("learned AND label IS NOT NULL").select("id", "label")
-    counted = counts.join(given, "id").groupBy("label", "term").agg(F.sum("tf").alias("n"))
+    rows = term_rows(counts)
+    counted = term_rows(counts.join(given, "id"), "label").groupBy("label", "term").agg(F.sum("tf").alias("n"))
     counted = pinned(counted)
     vocabulary = counted.select("term").distinct().count()
     classes = given.groupBy("label").agg(F.count(F.lit(1)).alias("texts"))
@@ -43,8 +45,8 @@ def classified(counts: DataFrame, texts: DataFrame, label: str, learned: Column,
     weights = counted.join(classes, "label").select(
         "term", "label", (F.log((F.col("n") + smoothing) / F.col("base")) - F.col("unseen")).alias("gain")
     )
-    totals = counts.groupBy("id").agg(F.sum("tf").alias("words"))
-    seen = counts.join(weights, "term").groupBy("id", "label").agg(F.sum(F.col("tf") * F.col("gain")).alias("gain"))
+    totals = counts.select("id", F.aggregate("tfs", F.lit(0).cast("bigint"), lambda total, n: total + n).alias("words"))
+    seen = rows.join(weights, "term").groupBy("id", "label").agg(F.sum(F.col("tf") * F.col("gain")).alias("gain"))
     scores = texts.select("id").join(totals, "id", "left").join(F.broadcast(_bounded(classes)))
     scores = scores.join(seen, ["id", "label"], "left")
     score = F.col("prior") + F.coalesce("words", F.lit(0)) * F.col("unseen") + F.coalesce("gain", F.lit(0.0))

@@ -153,7 +153,7 @@ def text_model(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame,
     documents = stored(spark, folder, "documents")
     counts = text_vectors.term_counts(documents, "doc_id")
     model = text_vectors.fitted(counts, documents.count())
-    return counts, text_vectors.vectors(counts, model), model
+    return counts, text_vectors.packed_vectors(counts, model), model
 
 
 @query(
@@ -161,7 +161,7 @@ def text_model(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame,
     f"WITH {_TERMS}, {_vectors('v', 'doc_terms')} SELECT id AS doc_id, term_id, tf, df, round(weight, 6) AS weight FROM v",
 )
 def tfidf(spark, folder):
-    return _rounded(text_model(spark, folder)[1].withColumnRenamed("id", "doc_id"), "weight")
+    return _rounded(text_vectors.unpacked(text_model(spark, folder)[1]).withColumnRenamed("id", "doc_id"), "weight")
 
 
 _COSINES = f"""{_TERMS}, {_vectors('v', 'doc_terms')}, {_vectors('q', 'job_terms')}"""
@@ -176,7 +176,7 @@ _COSINES = f"""{_TERMS}, {_vectors('v', 'doc_terms')}, {_vectors('q', 'job_terms
 )
 def cosine_top(spark, folder):
     _, right, model = text_model(spark, folder)
-    left = text_vectors.vectors(text_vectors.term_counts(stored(spark, folder, "benchmark"), "item_id"), model)
+    left = text_vectors.packed_vectors(text_vectors.term_counts(stored(spark, folder, "benchmark"), "item_id"), model)
     found = text_vectors.cosine_top(left, right, TOP)
     return _rounded(found.toDF("item_id", "rank", "doc_id", "score"), "score")
 
@@ -184,7 +184,7 @@ def cosine_top(spark, folder):
 @query("j5_embeddings")
 def embeddings(spark, folder):
     """No SQL: the tests hold the singular values and the space against a full decomposition."""
-    found, values = text_vectors.embedded(text_model(spark, folder)[1], DIMENSIONS)
+    found, values = text_vectors.embedded(text_vectors.unpacked(text_model(spark, folder)[1]), DIMENSIONS)
     strengths = F.array(*[F.lit(v) for v in values])
     return found.select(F.col("id").alias("doc_id"), "embedding", strengths.alias("singular_values"))
 
@@ -259,7 +259,7 @@ _PLACES = ", ".join(f"cume_dist() OVER (ORDER BY {c}) AS {c}_share" for c in WEI
 def match_score(spark, folder):
     sets = sets_of(spark, folder)
     _, right, model = text_model(spark, folder)
-    jobs = text_vectors.vectors(text_vectors.term_counts(stored(spark, folder, "benchmark"), "item_id"), model)
+    jobs = text_vectors.packed_vectors(text_vectors.term_counts(stored(spark, folder, "benchmark"), "item_id"), model)
     found = features(spark, folder, sets)
     cosines = text_vectors.cosines(found.select("left_id", "right_id"), right, jobs)
     found = found.join(cosines.withColumnRenamed("score", "cosine"), ["left_id", "right_id"], "left")

@@ -311,3 +311,55 @@ def test_regression(spark):
     nothing = models.regression(df.limit(0), "y", ["a"], ["c"])
     assert [r["coefficient"] for r in nothing.coefficients.collect()] == [None, None]
     assert nothing.diagnostics.first()["n"] == 0
+
+
+# What is stored and shuffled
+
+
+def recorded(monkeypatch, module):
+    """The plans and row counts of what a module stores."""
+    kept, store = [], module.pinned
+
+    def spy(df):
+        found = store(df)
+        kept.append((df._jdf.queryExecution().executedPlan().toString(), found.count()))
+        return found
+
+    monkeypatch.setattr(module, "pinned", spy)
+    return kept
+
+
+def test_cosines_store_no_pairs(spark, monkeypatch):
+    rows = [(i, f"common words a{i % 40} b{i % 7}") for i in range(600)]
+    right, model = built(spark, rows)
+    left, _ = built(spark, [(i, f"common words a{i}") for i in range(40)], model)
+    kept = recorded(monkeypatch, text_vectors)
+    found = text_vectors.cosine_top(left, right, 2).collect()
+    assert len(found) == 80 and {r["right_id"] for r in found if r["left_id"] == 3} == {3, 43}
+    tasks = right.rdd.getNumPartitions()
+    assert sum(n for _, n in kept) <= 600 + 40 + 2 * 40 * max(tasks, 8)
+
+
+def test_words_are_counted_without_a_shuffle(spark, monkeypatch):
+    kept = recorded(monkeypatch, text_vectors)
+    rows = [(1, "a b a"), (2, None), (3, "b"), (4, "...")]
+    found = text_vectors.term_counts(texts(spark, rows), "id")
+    assert {r["id"]: dict(zip(r["terms"], r["tfs"], strict=True)) for r in found.collect()} == {1: {"a": 2, "b": 1}, 3: {"b": 1}}
+    assert "Exchange" not in kept[-1][0]
+    again = text_vectors.term_counts(texts(spark, [*rows, (3, "c b"), (None, "a"), (None, "a d")]), "id")
+    merged = {r["id"]: dict(zip(r["terms"], r["tfs"], strict=True)) for r in again.collect()}
+    assert merged == {1: {"a": 2, "b": 1}, 3: {"b": 2, "c": 1}, None: {"a": 2, "d": 1}}
+
+
+@pytest.mark.parametrize("common", [1, 5, 50_000])
+def test_rare_terms_by_joins(spark, monkeypatch, common):
+    want, _ = plain_vectors(corpus(), corpus())
+    monkeypatch.setattr(text_vectors, "COMMON_TERMS", common)
+    kept = recorded(monkeypatch, text_vectors)
+    right, model = built(spark, corpus())
+    assert kept[-1][0].count("Exchange hashpartitioning") <= (1 if common == 50_000 else 3)
+    names = {r["term_id"]: r["term"] for r in model.terms.collect()}
+    found = defaultdict(dict)
+    for r in right.collect():
+        found[r["id"]][names[r["term_id"]]] = r["weight"]
+    assert found.keys() == want.keys() and all(found[i] == pytest.approx(v) for i, v in want.items())
