@@ -16,6 +16,7 @@ from assayer.session import pinned
 
 MAX_COLUMNS = 2_000  # of a regression; its Gram matrix reaches the driver
 TOLERANCE = 1e-9
+COMMON_WEIGHTS = 200_000  # of the most frequent terms, one a class, that every task gets
 
 
 def classified(counts: DataFrame, texts: DataFrame, label: str, learned: Column, smoothing: float = 1.0) -> DataFrame:
@@ -46,7 +47,13 @@ def classified(counts: DataFrame, texts: DataFrame, label: str, learned: Column,
         "term", "label", (F.log((F.col("n") + smoothing) / F.col("base")) - F.col("unseen")).alias("gain")
     )
     totals = counts.select("id", F.aggregate("tfs", F.lit(0).cast("bigint"), lambda total, n: total + n).alias("words"))
-    seen = rows.join(weights, "term").groupBy("id", "label").agg(F.sum(F.col("tf") * F.col("gain")).alias("gain"))
+    # the most frequent terms are looked up where their texts are, the others by a join
+    frequent = counted.groupBy("term").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "term")
+    frequent = F.broadcast(pinned(frequent.limit(max(1, COMMON_WEIGHTS // max(1, classes.count()))).select("term")))
+    common = rows.join(F.broadcast(pinned(weights.join(frequent, "term"))), "term")
+    rare = rows.join(frequent, "term", "left_anti").join(weights.join(frequent, "term", "left_anti"), "term")
+    gains = common.select("id", "label", (F.col("tf") * F.col("gain")).alias("gain")).groupBy("id", "label").agg(F.sum("gain").alias("gain"))
+    seen = gains.union(rare.select("id", "label", F.col("tf") * F.col("gain"))).groupBy("id", "label").agg(F.sum("gain").alias("gain"))
     scores = texts.select("id").join(totals, "id", "left").join(F.broadcast(_bounded(classes)))
     scores = scores.join(seen, ["id", "label"], "left")
     score = F.col("prior") + F.coalesce("words", F.lit(0)) * F.col("unseen") + F.coalesce("gain", F.lit(0.0))
