@@ -97,9 +97,13 @@ class PhraseAutomaton:
         return found[::-1]
 
 
-def _matched(batches: Iterator[pa.RecordBatch], shared, places: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (row, phrase, n), or (row, start, end, phrase) with ``places``."""
+EMITTED = 200_000  # matches that a task holds at once, about
+
+
+def _matched(batches: Iterator[pa.RecordBatch], shared, form: str) -> Iterator[pa.RecordBatch]:
+    """Rows (id, phrase, n); (row, id, start, end, phrase) as ``places``; or (id, phrases) as ``packed``, one row a text."""
     automaton = shared.value
+    names = pa.array(automaton.phrases, pa.string())
     for batch in batches:
         lists = batch.column("words")
         flat = lists.flatten().dictionary_encode()
@@ -107,21 +111,34 @@ def _matched(batches: Iterator[pa.RecordBatch], shared, places: bool) -> Iterato
         codes = known[flat.indices.to_numpy(zero_copy_only=False)] if len(known) else np.zeros(0, dtype=np.int64)
         cuts = np.cumsum([0, *(n or 0 for n in lists.value_lengths().to_pylist())])
         out: list[tuple] = []
-        for row, a, b in zip(batch.column("row").to_pylist(), cuts, cuts[1:], strict=False):
+        for place, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
             found = automaton.longest_matches(codes[a:b].tolist())
-            if places:
-                out += [(row, start, end, k) for start, end, k in found]
+            if form == "places":
+                out += [(place, k, start, end) for start, end, k in found]
             else:
                 which, times = np.unique([k for *_, k in found], return_counts=True)
-                out += [(row, k, n) for k, n in zip(which.tolist(), times.tolist(), strict=True)]
-        names = ["row", "start", "end", "phrase"] if places else ["row", "phrase", "n"]
-        columns = [pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))]
-        at = names.index("phrase")
-        columns[at] = pa.array([automaton.phrases[r[at]] for r in out], pa.string())
-        yield pa.RecordBatch.from_arrays(columns, names)
-
-
-def extracted(texts: DataFrame, vocabulary: DataFrame, id_column: str, text_column: str = "text", phrase_column: str = "phrase") -> DataFrame:
+                out += [(place, k, n) for k, n in zip(which.tolist(), times.tolist(), strict=True)]
+            if len(out) >= EMITTED:
+                yield _rows(batch, out, names, form)
+                out = []
+        if out:
+            yield _rows(batch, out, names, form)
+
+
+def _rows(batch: pa.RecordBatch, out: list[tuple], names: pa.Array, form: str) -> pa.RecordBatch:
+    places, phrases, *more = (np.array(column, dtype=np.int64) for column in zip(*out, strict=True))
+    if form == "packed":  # the matches of a text are never parted
+        texts, begin = np.unique(places, return_index=True)
+        found = pa.ListArray.from_arrays(pa.array(np.append(begin, len(places)), pa.int32()), names.take(pa.array(phrases)))
+        return pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(texts)), found], ["id", "phrases"])
+    columns = {"id": batch.column("id").take(pa.array(places)), "phrase": names.take(pa.array(phrases))}
+    if form == "places":
+        columns = {"row": batch.column("row").take(pa.array(places)), **columns}
+    labels = ("start", "end") if form == "places" else ("n",)
+    return pa.RecordBatch.from_pydict(columns | {label: pa.array(values) for label, values in zip(labels, more, strict=True)})
+
+
+def extracted(texts: DataFrame, vocabulary: DataFrame, id_column: str, text_column: str = "text", phrase_column: str = "phrase", packed: bool = False) -> DataFrame:
     """(id, phrase, n): how often each vocabulary phrase occurs in each text, longest match first.
 
     A phrase is a run of whole words. A match that lies inside a longer one does not count; matches that only overlap count
@@ -130,7 +147,8 @@ def extracted(texts: DataFrame, vocabulary: DataFrame, id_column: str, text_colu
 
     The vocabulary is measured. Up to ``BLOCK_BYTES`` it is one automaton, which every task gets; a larger one is dealt into
     blocks of that size, one sweep over the texts each, and what matches inside a longer match of another block is taken out
-    afterwards.
+    afterwards. With one automaton nothing but the vocabulary is stored or shuffled. ``packed`` gives (id, phrases), the different
+    phrases of a text in one row.
     """
     spark = texts.sparkSession
     plain = F.array_join(words(F.col(phrase_column)), " ")
@@ -138,24 +156,27 @@ def extracted(texts: DataFrame, vocabulary: DataFrame, id_column: str, text_colu
     size = vocabulary.agg(F.sum(F.octet_length("phrase") + 64)).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     rows = texts.select(F.col(id_column).alias("id"), words(F.col(text_column)).alias("words"))
-    rows = pinned(rows.withColumn("row", F.monotonically_increasing_id()))
-    places = blocks > 1
-    schema = 'row bigint, start bigint, "end" bigint, phrase string' if places else "row bigint, phrase string, n bigint"
+    kind, form = rows.schema["id"].dataType.simpleString(), "packed" if packed else "counts"
+    schema = f"id {kind}, phrases array<string>" if packed else f"id {kind}, phrase string, n bigint"
+    if blocks > 1:
+        rows, form = pinned(rows.withColumn("row", F.monotonically_increasing_id())), "places"
+        schema = f"row bigint, id {kind}, phrase string, start bigint, `end` bigint"
     found = None
     for block in range(blocks):
         own = vocabulary.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == block)
         shared = spark.sparkContext.broadcast(PhraseAutomaton(sorted(r["phrase"] for r in own.collect())))
-        part = rows.select("row", "words").mapInArrow(
-            lambda batches, shared=shared: _matched(batches, shared, places), schema.replace('"', "`")
-        )
-        part = pinned(part)
+        part = rows.mapInArrow(lambda batches, shared=shared: _matched(batches, shared, form), schema)
+        part = pinned(part) if blocks > 1 else part
         found = part if found is None else found.union(part)
-    if places:
+    if blocks > 1:
         # of all blocks: longest first from each start, and nothing that ends by a longer one's end
         later = Window.partitionBy("row").orderBy(F.desc("end"), "start").rowsBetween(Window.unboundedPreceding, -1)
         found = found.withColumn("least", F.min("start").over(later)).where("least IS NULL OR start < least")
-        found = found.groupBy("row", "phrase").agg(F.count(F.lit(1)).alias("n"))
-    return rows.select("row", "id").join(found, "row").select(F.col("id").alias(id_column), "phrase", "n")
+        if packed:
+            found = found.groupBy("row", "id").agg(F.collect_set("phrase").alias("phrases")).drop("row")
+        else:
+            found = found.groupBy("row", "id", "phrase").agg(F.count(F.lit(1)).alias("n")).drop("row")
+    return found.withColumnRenamed("id", id_column)
 
 
 def _deletions(text: str) -> str:

@@ -363,3 +363,14 @@ def test_rare_terms_by_joins(spark, monkeypatch, common):
     for r in right.collect():
         found[r["id"]][names[r["term_id"]]] = r["weight"]
     assert found.keys() == want.keys() and all(found[i] == pytest.approx(v) for i, v in want.items())
+
+
+def test_one_automaton_needs_no_shuffle(spark):
+    rows = texts(spark, [(1, "big data and c++"), (None, "data"), (1, "data data"), (2, None)])
+    vocabulary = spark.createDataFrame([(p,) for p in PHRASES], "phrase string")
+    found = skills.extracted(rows, vocabulary, "id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted([(1, "big data", 1), (1, "c++", 1), (None, "data", 1), (1, "data", 2)], key=repr)
+    packed = skills.extracted(rows, vocabulary, "id", packed=True).collect()
+    assert sorted(((r["id"], sorted(r["phrases"])) for r in packed), key=repr) == sorted([(1, ["big data", "c++"]), (None, ["data"]), (1, ["data"])], key=repr)
