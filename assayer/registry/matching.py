@@ -44,8 +44,8 @@ def vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     return skills.phrases(stored(spark, folder, "benchmark"))
 
 
-def found_skills(spark: SparkSession, folder: str, table: str, id_column: str) -> DataFrame:
-    return skills.extracted(stored(spark, folder, table), vocabulary(spark, folder), id_column)
+def found_skills(spark: SparkSession, folder: str, table: str, id_column: str, packed: bool = False) -> DataFrame:
+    return skills.extracted(stored(spark, folder, table), vocabulary(spark, folder), id_column, packed=packed)
 
 
 @query("j3_skill_extraction", f"WITH {_VOCABULARY}, {_matches(_DOCUMENTS, 'found')} SELECT id AS doc_id, phrase, n FROM found")
@@ -74,8 +74,8 @@ def skill_normalisation(spark, folder):
 
 
 def sets_of(spark: SparkSession, folder: str) -> pairs.SkillSets:
-    resumes = found_skills(spark, folder, "documents", "doc_id").withColumnRenamed("phrase", "skill")
-    jobs = found_skills(spark, folder, "benchmark", "item_id").withColumnRenamed("phrase", "skill")
+    resumes = found_skills(spark, folder, "documents", "doc_id", True).withColumnRenamed("phrases", "skill")
+    jobs = found_skills(spark, folder, "benchmark", "item_id", True).withColumnRenamed("phrases", "skill")
     return pairs.skill_sets(resumes, jobs, ("doc_id", "item_id"))
 
 

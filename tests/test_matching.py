@@ -374,3 +374,19 @@ def test_one_automaton_needs_no_shuffle(spark):
     assert sorted(map(tuple, found.collect()), key=repr) == sorted([(1, "big data", 1), (1, "c++", 1), (None, "data", 1), (1, "data", 2)], key=repr)
     packed = skills.extracted(rows, vocabulary, "id", packed=True).collect()
     assert sorted(((r["id"], sorted(r["phrases"])) for r in packed), key=repr) == sorted([(1, ["big data", "c++"]), (None, ["data"]), (1, ["data"])], key=repr)
+
+
+@pytest.mark.parametrize("table_bytes", [0, 1 << 24])
+def test_pairs_of_packed_sets_without_a_shuffle(spark, monkeypatch, table_bytes):
+    monkeypatch.setattr(pairs, "TABLE_BYTES", table_bytes)
+    left = spark.createDataFrame([(1, ["a", "b", None]), (2, ["c"]), (1, ["b", "d"]), (None, ["a"]), (3, [])], "id bigint, skill array<string>")
+    right = spark.createDataFrame([("x", ["a", "d"]), ("y", ["c", "e"])], "id string, skill array<string>")
+    sets = pairs.skill_sets(left, right, ("id", "id"))
+    found, candidates = pairs.matched_pairs(sets, 50)
+    assert sorted(map(tuple, found.collect())) == [(1, "x", 2, 3, 2), (2, "y", 1, 1, 2)]
+    for df in (found, candidates):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+    rows = {r["left_id"]: r.asDict() for r in pairs.pair_features(found, sets).collect()}
+    assert (rows[1]["missing"], rows[2]["missing"], rows[2]["coverage_right"]) == ("", "e", 0.5)
+    assert "missing" not in pairs.pair_features(found, sets, missing=False).columns
