@@ -12,6 +12,7 @@ from assayer.matching import models, pairs, skills, text_vectors
 from assayer.matching.score import WEIGHTS, match_scores
 from assayer.registry.catalog import query
 from assayer.registry.inputs import stored
+from assayer.session import pinned
 
 PERCENT = 3  # of a job's skills that a pair shares at least
 TOP = 10
@@ -258,11 +259,20 @@ _PLACES = ", ".join(f"cume_dist() OVER (ORDER BY {c}) AS {c}_share" for c in WEI
 )
 def match_score(spark, folder):
     sets = sets_of(spark, folder)
-    _, right, model = text_model(spark, folder)
+    found = pinned(pairs.matched_pairs(sets, PERCENT)[0])
+    documents = stored(spark, folder, "documents")
+    counts = text_vectors.term_counts(documents, "doc_id")
+    model = text_vectors.fitted(counts, documents.count())
+    # the model is that of all documents; vectors are needed of those in a pair
+    paired = pinned(found.select(F.col("left_id").alias("id")).distinct())
+    right = text_vectors.packed_vectors(counts.join(paired, "id", "left_semi"), model)
     jobs = text_vectors.packed_vectors(text_vectors.term_counts(stored(spark, folder, "benchmark"), "item_id"), model)
-    found = features(spark, folder, sets)
     cosines = text_vectors.cosines(found.select("left_id", "right_id"), right, jobs)
-    found = found.join(cosines.withColumnRenamed("score", "cosine"), ["left_id", "right_id"], "left")
-    scores = match_scores(found.fillna(0.0, ["cosine"]), TOP)
-    kept = scores.select("left_id", "right_id", "missing", "cosine", "weighted_coverage", "score", "rank")
+    # the missing skills are looked up for the best pairs only
+    found = pairs.pair_features(found, sets, missing=False).join(cosines.withColumnRenamed("score", "cosine"), ["left_id", "right_id"], "left")
+    found = found.select("left_id", "right_id", "cosine", "weighted_coverage", "coverage_left", "coverage_right")
+    scores = pinned(match_scores(found.fillna(0.0, ["cosine"]), TOP))
+    missing = pairs.pair_features(scores, sets).select("left_id", "right_id", "missing")
+    kept = scores.join(missing, ["left_id", "right_id"])
+    kept = kept.select("left_id", "right_id", "missing", "cosine", "weighted_coverage", "score", "rank")
     return _rounded(kept, "cosine", "weighted_coverage", "score")

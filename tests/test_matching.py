@@ -390,3 +390,17 @@ def test_pairs_of_packed_sets_without_a_shuffle(spark, monkeypatch, table_bytes)
     rows = {r["left_id"]: r.asDict() for r in pairs.pair_features(found, sets).collect()}
     assert (rows[1]["missing"], rows[2]["missing"], rows[2]["coverage_right"]) == ("", "e", 0.5)
     assert "missing" not in pairs.pair_features(found, sets, missing=False).columns
+
+
+def test_cosines_of_listed_pairs(spark, monkeypatch):
+    monkeypatch.setattr(text_vectors, "SPLIT_ROWS", 10)
+    left, model = built(spark, corpus())
+    right, _ = built(spark, corpus()[:20], model)
+    vectors, _ = plain_vectors(corpus(), corpus())
+    asked = [(i, j) for i in vectors for j in range(20) if (i + j) % 3 == 0]
+    pairs_of = spark.createDataFrame(asked, "left_id bigint, right_id bigint")
+    kept = recorded(monkeypatch, text_vectors)
+    found = {(r["left_id"], r["right_id"]): r["score"] for r in text_vectors.cosines(pairs_of, left, right).collect()}
+    scores = {(i, j): sum(x * vectors[j].get(t, 0) for t, x in vectors[i].items()) for i, j in asked}
+    assert found == {p: pytest.approx(s, abs=1e-8) for p, s in scores.items() if s > 0}
+    assert sum(n for _, n in kept) <= 3 * len(vectors)  # texts with their lists, no terms of pairs
