@@ -1,6 +1,7 @@
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from assayer.config import DEFAULTS
 from assayer.functions.columns import normalize_name
@@ -155,3 +156,21 @@ def test_foreign_keys_tell_their_parents_themselves(spark, rows):
     assert [tuple(r) for r in found.select(*columns[:5]).collect()] == [tuple(r) for r in known.select(*columns[:5]).collect()]
     parents = {(r["parent_dataset"], r["parent_column"]) for r in found.collect()}
     assert parents == {("a", "id"), ("a", "t"), ("b", "id"), ("b", "u"), ("b", "f"), ("b", "g"), ("d", "f"), ("e", "id")}
+
+
+def test_pairs_are_compared_by_hashes(spark, monkeypatch):
+    rows = [(i // 10, i % 10, float(i % 10), f"n{i % 7}") for i in range(500)] + [(49, 9, -0.0, "n0"), (60, 1, 0.0, "x"), (60, 2, -0.0, "x")]
+    df = spark.createDataFrame(rows, "a bigint, b bigint, c double, d string")
+    plans, melted = [], keys.melt
+    monkeypatch.setattr(keys, "melt", lambda df, values: plans.append(melted(df, values)) or plans[-1])
+    stats = keys.column_stats(df)
+    found = {tuple(r) for r in keys.composite_keys(df, stats, replace(DEFAULTS, composite_ratio=0.0)).collect()}
+    assert found == set()  # (49, 9) and (60, 0.0) occur twice
+    assert [p.schema["value"].dataType.simpleString() for p in plans] == ["bigint"]
+    whole = df.where("NOT (a = 49 AND c = 0)")
+    stats = keys.column_stats(whole)
+    found = {tuple(r) for r in keys.composite_keys(whole, stats, replace(DEFAULTS, composite_ratio=0.0)).collect()}
+    assert found == {("a", "b")}
+    # a hash that occurs again without a repeated pair is a collision
+    assert not keys._repeated(whole, F.lit(1).cast("bigint"), F.col("a"), F.col("b"), 1)
+    assert keys._repeated(whole, F.lit(1).cast("bigint"), F.col("a"), F.col("c"), 1)
