@@ -418,3 +418,9 @@ def test_embeddings_with_rare_terms(spark, monkeypatch):
     assert mine.keys() == best.keys()
     assert max(abs(mine[i] @ mine[j] - best[i] @ best[j]) for i in mine for j in mine) < 1e-5
     assert kept
+
+
+@pytest.mark.parametrize("common", [0, 12])
+def test_naive_bayes_with_rare_terms(spark, monkeypatch, common):
+    monkeypatch.setattr(models, "COMMON_WEIGHTS", common)
+    test_naive_bayes(spark)
