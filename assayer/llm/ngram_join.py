@@ -7,12 +7,14 @@ complete up to collisions of 64-bit hashes; shingles are compared by those.
 into classes so wide that linked sets are in one class or in neighbouring ones. For each such level a set is cut by hash into
 one segment more than linked sets there can differ in (and some spare ones, as segments can be empty), so linked sets have a
 whole segment in common. The hashes of the segments are the keys. Equal sets are one set with copies, and most documents share
-no key and go no further. Keys with the same documents count once.
+no key and go no further. Keys with the same documents count once. The keys travel once, packed by ranges of their values: a
+row holds what one task found in a range, and whoever gets a range sees which of its keys have several documents.
 
-**Signature trees** are used twice. A leaf holds up to ``LEAF`` sets; nodes hold the OR of their bitmaps and the range of their
+**Signature trees** are used three times. A leaf holds up to ``LEAF`` sets; nodes hold the OR of their bitmaps and the range of their
 sizes. A traversal of two nodes at a time goes down only where the sizes and the largest possible overlap allow a link and the
-sets are not all connected yet. First the documents of each key are compared by their bitmaps alone; what can still link makes
-the candidate clusters. Then the sets of each cluster are compared, down to exact counts.
+sets are not all connected yet. First the documents of each key are compared by short bitmaps alone, which tell long sets
+hardly apart; what can still link makes clusters. Then the documents of each cluster are compared by bitmaps of two bits a
+shingle, which leaves smaller clusters. Then the sets of each of these are compared, down to exact counts.
 
 **Large groups**, of either kind, are dealt into blocks of ``BLOCK`` sets. First each block is compared in itself and with some
 pivots of the group, which connects the bulk of near copies in one pass. Then only the sets outside the group's largest
@@ -47,6 +49,7 @@ PIVOTS = 8
 SECOND_BLOCK = 512  # sets of a block in the second pass over large groups,
 SECOND_BYTES = 16_000_000  # of at most so many bytes
 LONGEST_BITMAP = 32  # words of 64 bits that travel with a key
+RANGE_KEYS = 1_000_000  # keys of a range, and of a part of a batch that is dealt over the ranges at once
 CACHE_ENTRIES = 200_000
 CACHED_BYTES = 64  # words of more bytes are hashed each time
 SLICE = 500  # rows signed at a time
@@ -161,14 +164,80 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
         for text in batch.column("text"):
             shingles = shingler.set_of(text.as_py() or "")
             if not len(shingles):
-                out.append((0, None, None, None))
+                out.append((0, None, None, None, None))
                 continue
-            bits = bitmap(shingles, min(LONGEST_BITMAP, bitmap_words(len(shingles))))
+            words = bitmap_words(len(shingles))
+            short = bitmap(shingles, min(LONGEST_BITMAP, words)).tobytes()
+            longer = bitmap(shingles, words).tobytes() if words > LONGEST_BITMAP else None
             digest = xxhash.xxh3_128_digest(shingles.tobytes())
-            out.append((len(shingles), digest, levels.keys(shingles).view(np.int64), bits.tobytes()))
-        kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
+            out.append((len(shingles), digest, levels.keys(shingles).view(np.int64), short, longer))
+        kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
         columns = [pa.array([row[k] for row in out], kind) for k, kind in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "size", "digest", "keys", "payload"])
+        names = ["doc_id", "size", "digest", "keys", "payload", "longer"]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers, all their first bytes, then all their second bytes, …: bytes that change little compress well."""
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def _dealt_keys(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.RecordBatch]:
+    """(range, keys, docs): the keys of a part of a batch that fall into a range, by their steps, and whose they are."""
+    for batch in batches:
+        ids, column = batch.column("doc_id").to_numpy(), batch.column("keys")
+        offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+        start = 0
+        while start < len(ids):
+            stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + RANGE_KEYS, side="right")) - 1)
+            keys = values[offsets[start] : offsets[stop]].view(np.uint64)
+            order = np.argsort(keys)
+            docs = np.repeat(ids[start:stop], np.diff(offsets[start : stop + 1]))[order]
+            keys = keys[order]
+            number = (keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+            begins = np.flatnonzero(np.diff(number, prepend=np.uint64(ranges)))
+            parts = list(zip(begins, [*begins[1:], len(keys)], strict=True))
+            arrays = [pa.array(number[begins].astype(np.int64), pa.int64())]
+            arrays.append(pa.array([_planes(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in parts], pa.binary()))
+            arrays.append(pa.array([_planes(docs[a:b]) for a, b in parts], pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, ["range", "keys", "docs"])
+            start = stop
+
+
+def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, doc_id), each once, of the keys of each range that have several documents."""
+    for rows in runs(batches, ["range"]):
+        keys = np.concatenate([np.cumsum(_from_planes(k.as_py()), dtype=np.uint64) for k in rows["keys"]]).view(np.int64)
+        docs = np.concatenate([_from_planes(d.as_py()) for d in rows["docs"]]).view(np.int64)
+        order = np.argsort(keys, kind="stable")
+        keys, docs = keys[order], docs[order]
+        same = keys[1:] == keys[:-1]
+        several = np.append(same, False) | np.append(False, same)
+        keys, docs = keys[several], docs[several]
+        order = np.lexsort((docs, keys))
+        keys, docs = keys[order], docs[order]
+        once = np.append(True, (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1]))[: len(keys)]
+        keys, docs = keys[once], docs[once]
+        same = keys[1:] == keys[:-1]
+        several = (np.append(same, False) | np.append(False, same))[: len(keys)]
+        arrays = [pa.array(keys[several], pa.int64()), pa.array(docs[several], pa.int64())]
+        yield pa.RecordBatch.from_arrays(arrays, ["key", "doc_id"])
+
+
+def shared_keys(signed: DataFrame) -> DataFrame:
+    """(key, doc_id), each once, of the keys that several documents of (doc_id, keys) have. One shuffle, of packed rows.
+
+    A range holds about ``RANGE_KEYS`` keys, each by its document, and with those all documents of a frequent key: 16 bytes each.
+    """
+    signed = signed.select("doc_id", "keys")
+    ranges = -(-(signed.agg(F.sum(F.size("keys").cast("bigint"))).first()[0] or 0) // RANGE_KEYS) or 1
+    dealt = signed.mapInArrow(lambda batches: _dealt_keys(batches, ranges), "range bigint, keys binary, docs binary")
+    dealt = dealt.repartition("range").sortWithinPartitions("range")
+    return dealt.mapInArrow(_shared_keys, "key bigint, doc_id bigint")
 
 
 def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -181,12 +250,14 @@ def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
 
 
 class Node:
-    """A node of a signature tree, or one set: OR of bitmaps, range of sizes, most shingles beyond one a bit, what is below."""
+    """A node of a signature tree, or one set: OR of bitmaps, range of sizes, most shingles beyond one a bit, what is below.
+
+    ``times`` is how often the bits repeat what the longest bitmap in them tells."""
 
-    __slots__ = ("bits", "low", "high", "extra", "below", "members", "shingles")
+    __slots__ = ("bits", "low", "high", "extra", "times", "below", "members", "shingles")
 
-    def __init__(self, bits, low, high, extra, below=(), members=(), shingles=None):
-        self.bits, self.low, self.high, self.extra = bits, low, high, extra
+    def __init__(self, bits, low, high, extra, times=1, below=(), members=(), shingles=None):
+        self.bits, self.low, self.high, self.extra, self.times = bits, low, high, extra, times
         self.below, self.members, self.shingles = below, members, shingles
 
 
@@ -195,8 +266,9 @@ def single(number: int, size: int, payload: bytes, exact: bool, words: int) -> N
     values = np.frombuffer(payload, dtype="<u8")
     bits = bitmap(values, words) if exact else values
     extra = size - int(np.bitwise_count(bits).sum())
-    bits = np.tile(bits, words // len(bits)) if len(bits) < words else bits
-    return Node(bits, size, size, extra, members=[number], shingles=values if exact else None)
+    times = max(1, words // len(bits))
+    bits = np.tile(bits, times) if times > 1 else bits
+    return Node(bits, size, size, extra, times, members=[number], shingles=values if exact else None)
 
 
 def tree(sets: list[Node]) -> Node:
@@ -214,6 +286,7 @@ def _over(nodes: list[Node]) -> Node:
         min(n.low for n in nodes),
         max(n.high for n in nodes),
         max(n.extra for n in nodes),
+        min(n.times for n in nodes),
         nodes,
         [i for n in nodes for i in n.members],
     )
@@ -223,7 +296,9 @@ def may_link(a: Node, b: Node, percent: int) -> bool:
     """Whether sizes and the largest possible overlap allow a link between a set of each."""
     if 100 * a.high < percent * b.low or 100 * b.high < percent * a.low:
         return False
-    overlap = min(int(np.bitwise_count(a.bits & b.bits).sum()) + min(a.extra, b.extra), a.high, b.high)
+    # what two repeated bitmaps have in common repeats as often as the longer of them
+    common = int(np.bitwise_count(a.bits & b.bits).sum()) // min(a.times, b.times)
+    overlap = min(common + min(a.extra, b.extra), a.high, b.high)
     return (100 + percent) * overlap >= percent * (a.low + b.low)
 
 
@@ -357,10 +432,7 @@ def candidates(signed: DataFrame, percent: int) -> DataFrame:
     firsts = usable.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = usable.select("digest", "doc_id").join(narrow(pinned(firsts)), "digest").where("doc_id != first").select("doc_id", "digest")
     own = usable.join(narrow(pinned(copies)), ["doc_id", "digest"], "left_anti")
-    keyed = own.select("doc_id", F.explode("keys").alias("key"))
-    # Most keys have one document. Only the ends of each travel first, then all of what the keys with two ends hold.
-    ends = keyed.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-    several = pinned(keyed.join(narrow(pinned(ends.where("a < b").select("key"))), "key").distinct())
+    several = pinned(shared_keys(own))  # most keys have one document and go no further
     # What tells the documents of a key: ends, number, and two sums of hashes.
     hashed = F.xxhash64("doc_id")
     told = {"a": F.min("doc_id"), "b": F.max("doc_id"), "n": F.count(F.lit(1)), "odd": F.bit_xor(hashed)}
@@ -395,9 +467,15 @@ def joined(documents: DataFrame, percent: int = 90, width: int = 3, id_column="d
 
 def _classed(rows: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """For rows (doc_id, text): their signatures, the sets that were compared, and (node, component) of those that link."""
-    schema = "doc_id bigint, size bigint, digest binary, keys array<bigint>, payload binary"
+    schema = "doc_id bigint, size bigint, digest binary, keys array<bigint>, payload binary, longer binary"
     signed = pinned(rows.mapInArrow(lambda batches: _signed(batches, width, percent), schema))
-    clusters = pinned(candidates(signed, percent).select(F.col("node").alias("doc_id"), F.col("component").alias("family")))
+    named = candidates(signed, percent)
+    clusters = pinned(named.select(F.col("node").alias("doc_id"), F.col("component").alias("family")))
+    # Long sets once more, by bitmaps as long as they need, before any set itself travels.
+    longer = signed.where("size > 0").select("doc_id", "size", F.coalesce("longer", "payload").alias("payload"))
+    longer = pinned(longer.join(narrow(clusters), "doc_id").select("family", "doc_id", "size", "payload"))
+    named = connected(longer, percent, exact=False)
+    clusters = pinned(named.select(F.col("node").alias("doc_id"), F.col("component").alias("family")))
     texts = rows.join(narrow(clusters), "doc_id").select("family", "doc_id", "text")
     schema = "family bigint, doc_id bigint, size bigint, payload binary"
     members = pinned(texts.mapInArrow(lambda batches: _members(batches, width), schema))

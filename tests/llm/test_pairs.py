@@ -177,6 +177,51 @@ def test_linked_sets_share_a_key():
                     assert set(levels.keys(first)) & set(levels.keys(second))
 
 
+def test_shared_keys_take_one_shuffle(spark, monkeypatch):
+    """All documents of each key that several have, also where one document repeats it, in many ranges and parts of batches."""
+    monkeypatch.setattr(ngram_join, "RANGE_KEYS", 50)
+    draw = random.Random(3)
+    rows = [(k, [draw.randrange(-(2**63), 2**63) for _ in range(9)] + [draw.randrange(200) << 50, 7]) for k in range(300)]
+    rows += [(300, [5, 5]), (301, []), (302, [rows[0][1][0], rows[1][1][1]]), (0, [5 << 40])]
+    holders = defaultdict(set)
+    for doc, keys in rows:
+        for key in keys:
+            holders[key].add(doc)
+    want = sorted((key, doc) for key, docs in holders.items() if len(docs) > 1 for doc in docs)
+    signed = spark.createDataFrame(rows, "doc_id bigint, keys array<bigint>")
+    found = ngram_join.shared_keys(signed.repartition(5))
+    assert sorted(map(tuple, found.collect())) == want
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Repartition") == 2  # by range, then sorted there
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_repeated_bitmaps_count_once():
+    """Two sets without a common shingle stay apart beside a much longer one; links of all sizes still show."""
+    draw = np.random.default_rng(6)
+    sets = [np.unique(draw.integers(0, 2**63, n).astype(np.uint64)) for n in (200, 200, 210, 5000)]
+    sets.append(sets[0][5:])
+    bits = [ngram_join.bitmap(s, ngram_join.bitmap_words(len(s))) for s in sets]
+    words = max(len(b) for b in bits)
+    nodes = [ngram_join.single(i, len(s), b.tobytes(), False, words) for i, (s, b) in enumerate(zip(sets, bits, strict=True))]
+    able = {(i, j) for i in range(5) for j in range(i) if ngram_join.may_link(nodes[i], nodes[j], 80)}
+    assert able == {(4, 0)}
+    top = ngram_join.tree(nodes)
+    assert list(ngram_join.traverse(top, top, ngram_join.Sets(5), 80)) in ([(4, 0)], [(0, 4)])
+
+
+def test_ngram_join_brings_only_likely_sets_together(spark, monkeypatch):
+    """Long documents with one passage in common share keys, but their sets do not travel."""
+    given = []
+    compared = ngram_join.connected
+    monkeypatch.setattr(ngram_join, "connected", lambda m, p, exact: given.append((exact, m.count())) or compared(m, p, exact))
+    draw = random.Random(12)
+    shared = " ".join(f"p{k}" for k in range(200))
+    texts = [shared + " " + " ".join(f"x{draw.randrange(10**9)}" for _ in range(5000)) for _ in range(12)]
+    rows = list(enumerate([*texts, texts[0] + " more", "a short one", "a short one too"]))
+    check_documents(spark, rows, 80, 5)
+    assert [n for exact, n in given if exact] == [2]
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.joined(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
 
