@@ -17,6 +17,9 @@ from assayer.sources.quoted_csv import quoted_records
 INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 
+# What a text can be read as, one bit each.
+WHOLE, LONG_WHOLE, NUMBER, TOKEN, OTHER = 1, 2, 4, 8, 16
+
 # How one record is parsed; line ends inside its quotes stay as they are.
 _RECORD_OPTIONS = {
     "quote": '"',
@@ -116,22 +119,25 @@ def _plain(value: Column) -> Column:
     return F.btrim(value, F.lit(" \t\n\r\f\v"))
 
 
+def _shape(value: Column) -> Column:
+    """The bit of a text; null for none. What one pattern has told is not looked at again."""
+    whole = F.when(_plain(value).try_cast("bigint").isNotNull(), WHOLE).otherwise(LONG_WHOLE)
+    return (
+        F.when(value.isNull(), F.lit(None).cast("int"))
+        .when(value.rlike(INTEGER_PATTERN), whole)
+        .when(value.rlike(NUMBER_PATTERN), NUMBER)
+        .when(value.isin(list(TRUE_TOKENS + FALSE_TOKENS)), TOKEN)
+        .otherwise(OTHER)
+    )
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Cast text columns to the narrowest of bigint, double, boolean that fits every value.
 
     Dates stay text; a column without any value is double. One aggregate
     decides for all columns; the driver sees a few flags per column.
     """
-    flags = []
-    for i, c in enumerate(df.columns):
-        v = ref(c)
-        flags += [
-            F.count(v).alias(f"n{i}"),
-            F.bool_and(v.rlike(INTEGER_PATTERN)).alias(f"w{i}"),
-            F.bool_and(_plain(v).try_cast("bigint").isNotNull() | v.isNull()).alias(f"i{i}"),
-            F.bool_and(v.rlike(NUMBER_PATTERN)).alias(f"d{i}"),
-            F.bool_and(v.isin(list(TRUE_TOKENS + FALSE_TOKENS))).alias(f"b{i}"),
-        ]
+    flags = [f for i, c in enumerate(df.columns) for f in (F.count(ref(c)).alias(f"n{i}"), F.bit_or(_shape(ref(c))).alias(f"k{i}"))]
     if not flags:
         return df
     seen = df.agg(*flags).first()
@@ -140,12 +146,12 @@ def infer_types(df: DataFrame) -> DataFrame:
         v = ref(c)
         if seen[f"n{i}"] == 0:
             typed.append(F.lit(None).cast("double").alias(c))
-        elif seen[f"w{i}"]:
+        elif not seen[f"k{i}"] & ~(WHOLE | LONG_WHOLE):
             # whole numbers beyond 64 bits keep every digit as text
-            typed.append((_plain(v).try_cast("bigint") if seen[f"i{i}"] else v).alias(c))
-        elif seen[f"d{i}"]:
+            typed.append((v if seen[f"k{i}"] & LONG_WHOLE else _plain(v).try_cast("bigint")).alias(c))
+        elif not seen[f"k{i}"] & ~(WHOLE | LONG_WHOLE | NUMBER):
             typed.append(_plain(v).try_cast("double").alias(c))
-        elif seen[f"b{i}"]:
+        elif not seen[f"k{i}"] & ~TOKEN:
             typed.append(F.when(v.isNotNull(), v.isin(list(TRUE_TOKENS))).alias(c))
         else:
             typed.append(v.alias(c))

@@ -172,3 +172,28 @@ def test_scratch_tables_can_be_cleared(spark):
     found = pinned(spark.range(3))
     assert found.count() == 3
     assert clear_scratch(spark) == 1
+
+
+def test_types_need_two_aggregates_a_column(spark, monkeypatch):
+    """Every mix of what a text can be read as; what one pattern has told is not looked at again."""
+    big = "9223372036854775808"
+    columns = {
+        "whole": (["1", " -2 ", "+3", None], "bigint"),
+        "long": (["1", big, None], "string"),
+        "mixed": (["1", "2.5", big], "double"),
+        "inf": (["1e3", "-inf", ".5"], "double"),
+        "token": (["True", "false", None], "boolean"),
+        "tokens_and_numbers": (["True", "1", None], "string"),
+        "text": (["1", "x", "2.5"], "string"),
+        "blank": ([" ", "1", None], "string"),
+        "none": ([None, None, None], "double"),
+    }
+    rows = [tuple((v + [None] * 4)[k] for v, _ in columns.values()) for k in range(4)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    asked, agg = [], type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *e: asked.append(len(e)) or agg(self, *e))
+    found = csv.infer_types(df)
+    assert dict(found.dtypes) == {c: kind for c, (_, kind) in columns.items()}
+    assert asked == [2 * len(columns)]
+    assert [r["whole"] for r in found.collect()] == [1, -2, 3, None]
+    assert [r["token"] for r in found.collect()] == [True, False, None, None]
