@@ -2,10 +2,12 @@
 
 Spark's own ``percentile`` ends in one task with every distinct value of the
 column. Here a table of up to ``exact_rank_rows`` rows is ranked through its
-counted distinct values. In a longer one an approximate sketch proposes a
-bracket around each quantile, exact counts confirm it, and only the rows
-strictly inside the bracket are ranked. Brackets cost scans, not shuffles: a
-round divides the rows that are left by some thousands.
+counted distinct values. In a longer one a histogram, whose bins widen with
+the distance from the minimum, tells a bracket around each quantile, and only
+the rows strictly inside the bracket are ranked. Where a bin holds too many
+rows, an approximate sketch proposes a smaller bracket and exact counts confirm
+it. Brackets cost scans, not shuffles: a round divides the rows that are left
+by some thousands.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ from assayer.functions.relations import melt, small_relation
 
 QUARTILES = (0.25, 0.50, 0.75)
 
+# Bins of the histogram for each doubling of the distance, and a distance (as power of 2) no double reaches.
+_BINS, _FARTHEST = 1024, 1100.0
+
 
 def _interpolate(lo: Column, hi: Column, weight: Column) -> Column:
     return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * weight)
@@ -95,6 +100,46 @@ class _Bracket:
         return any(self.settle(rank)[0] is None for rank in self.ranks)
 
 
+def _outline(df: DataFrame, values: dict[int, Column], brackets: list[_Bracket], lows: dict[int, float]) -> None:
+    """First brackets, from the bin that holds the lower rank. They need no confirmation: the bins are counted exactly.
+
+    A bin follows from the logarithm of the distance from the minimum (``lows``, finite), so bins are in the order of the
+    values. The driver sees one bin per bracket.
+    """
+    places = [(k, b.ordinal, b.ranks[0]) for k, b in enumerate(brackets) if b.ordinal in lows]
+    if not places:
+        return
+    low = F.get(F.array(*[F.lit(lows.get(i)).cast("double") for i in range(max(lows) + 1)]), F.col("ordinal"))
+    bin_of = F.floor(F.least(F.log2(F.col("value") - low + 1.0), F.lit(_FARTHEST)) * _BINS)
+    bins = (
+        melt(df, {i: values[i] for i in lows})
+        .where(F.col("value").isNotNull())
+        .groupBy("ordinal", bin_of.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("first"), F.max("value").alias("last"))
+    )
+    in_order = Window.partitionBy("ordinal").orderBy("bin")
+    ranked = bins.withColumns(
+        {
+            "seen": F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
+            "before": F.lag("last").over(in_order),
+            "after": F.lead("first").over(in_order),
+        }
+    )
+    wanted = small_relation(df.sparkSession, {"bracket": "int", "ordinal": "int", "rank": "bigint"}, places)
+    holding = ranked.join(F.broadcast(wanted), "ordinal").where(
+        (F.col("rank") < F.col("seen")) & (F.col("rank") >= F.col("seen") - F.col("n"))
+    )
+    for found in holding.collect():  # one row per quantile of a column
+        b = brackets[found["bracket"]]
+        after = math.inf if found["after"] is None else found["after"]
+        b.below = found["seen"] - found["n"]
+        if found["first"] == found["last"]:
+            b.edges, b.at_lower, b.interior = (found["first"], after), found["n"], 0
+        else:
+            # the bin before counts as below, its last value included
+            b.edges, b.interior = (-math.inf if found["before"] is None else found["before"], after), found["n"]
+
+
 def _propose(df: DataFrame, values: dict[int, Column], pending: list[_Bracket], limits: Limits) -> list[tuple]:
     """Approximate edges for every bracket; one sketch serves all brackets of one range."""
     step = 3.0 / limits.sketch_accuracy
@@ -208,20 +253,24 @@ def exact_quantiles(
     values = {i: numeric_value(c) for i, c in enumerate(df.columns) if c in chosen}
     if not values:
         return _read_off(df, values, [], len(probs))
-    if df.count() <= limits.exact_rank_rows:
-        return _ranked_whole(df, values, probs)
     found = []
     ordinals = list(values)
     # a task holds one sketch per column, so wide tables go in several passes over few columns each
     for start in range(0, len(ordinals), limits.sketched_columns):
         chunk = {i: values[i] for i in ordinals[start : start + limits.sketched_columns]}
-        rows = df.agg(*[F.count(v).alias(str(i)) for i, v in chunk.items()]).first()
+        ends = [e for i, v in chunk.items() for e in (F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"))]
+        known = df.agg(F.count(F.lit(1)).alias("rows"), *ends).first()
+        if known["rows"] <= limits.exact_rank_rows:
+            return _ranked_whole(df, values, probs)
         brackets = [
-            _Bracket(i, j, p * (rows[str(i)] - 1), rows[str(i)])
+            _Bracket(i, j, p * (known[f"n{i}"] - 1), known[f"n{i}"])
             for i in chunk
             for j, p in enumerate(probs)
-            if rows[str(i)]
+            if known[f"n{i}"]
         ]
+        lows = {b.ordinal: known[f"lo{b.ordinal}"] for b in brackets}
+        finite = {i: lo for i, lo in lows.items() if math.isfinite(lo) and math.isfinite(known[f"hi{i}"])}
+        _outline(df, chunk, brackets, finite)
         _narrow(df, chunk, brackets, limits)
         found.append(_read_off(df, chunk, brackets, len(probs)))
     return reduce(DataFrame.unionByName, found)

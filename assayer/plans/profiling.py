@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +23,12 @@ from assayer.operators.quality import (
     recommendations,
 )
 from assayer.operators.quantiles import exact_quantiles
-from assayer.session import pinned
+from assayer.session import pinned, together
 from assayer.sources.loading import TABLE_ERRORS, reason
 
+# How many tables are explored at the same time; a bound on threads and on jobs in the driver.
+_TABLES_AT_ONCE = 4
+
 
 def column_profile(df: DataFrame, rules: Thresholds = DEFAULTS, limits: Limits = LIMITS) -> DataFrame:
     """One row per column: type, missing, distinct, then numbers or the most frequent values.
@@ -81,23 +84,36 @@ def explore(
     """All findings about one table, by section.
 
     The findings that several sections read are computed once and pinned;
-    they are a few rows per column.
+    they are a few rows per column. Those that do not need each other are
+    computed at the same time.
     """
     df = nan_to_null(df)
-    duplicates = duplicate_columns(df)
-    facts = pinned(column_facts(df, rules, duplicates))
-    quantiles = pinned(exact_quantiles(df, limits=limits))
-    outliers = pinned(iqr_outliers(df, rules=rules, limits=limits, quantiles=quantiles))
-    pairs = pinned(correlations(df, limits=limits))
+
+    def of_columns() -> tuple[DataFrame, DataFrame]:
+        duplicates = duplicate_columns(df)
+        return duplicates, pinned(column_facts(df, rules, duplicates))
+
+    def of_numbers() -> tuple[DataFrame, DataFrame]:
+        quantiles = pinned(exact_quantiles(df, limits=limits))
+        return quantiles, pinned(iqr_outliers(df, rules=rules, limits=limits, quantiles=quantiles))
+
+    (duplicates, facts), (quantiles, outliers), pairs, top, whole = together(
+        df.sparkSession,
+        of_columns,
+        of_numbers,
+        lambda: pinned(correlations(df, limits=limits)),
+        lambda: top_values(df, rules.explore_top, limits=limits),
+        lambda: pinned(overview(df)),
+    )
     base = facts.select("ordinal", "column", "label", "rows", "missing", "missing_pct", "n_unique")
     numbers = numeric_section(df, rules, limits, quantiles, outliers)
     return {
-        "overview": overview(df),
+        "overview": whole,
         "columns": base,
         "numeric": numbers,
         "correlation": pairs,
         "high_correlation": strongest(pairs, rules),
-        "top_values": top_values(df, rules.explore_top, limits=limits),
+        "top_values": top,
         "quality": quality_findings(facts, duplicates),
         "roles": column_roles(facts),
         "observations": observations(facts, duplicates, pairs, outliers, rules),
@@ -134,12 +150,20 @@ def explore_all(
     """(sections over all tables with a dataset column, failures by table)."""
     gathered: dict[str, list[DataFrame]] = {}
     failures: dict[str, str] = {}
-    for name in sorted(tables):
+
+    def explored(name: str) -> dict[str, DataFrame] | str:
         try:
             # computed here, so that a table that cannot be read fails on its own
-            found = {section: pinned(findings) for section, findings in explore(tables[name], rules, limits).items()}
+            found = explore(tables[name], rules, limits)
+            return dict(zip(found, together(tables[name].sparkSession, *[partial(pinned, part) for part in found.values()])))
         except TABLE_ERRORS as error:
-            failures[name] = reason(error)
+            return reason(error)
+
+    names = sorted(tables)
+    steps = [partial(explored, name) for name in names]
+    for name, found in zip(names, together(tables[names[0]].sparkSession, *steps, at_once=_TABLES_AT_ONCE) if names else []):
+        if isinstance(found, str):
+            failures[name] = found
             continue
         for section, findings in found.items():
             gathered.setdefault(section, []).append(findings.select(F.lit(name).alias("dataset"), "*"))

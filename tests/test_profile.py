@@ -1,4 +1,5 @@
 import math
+import threading
 from collections import Counter
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from assayer.config import Limits, Thresholds
 from assayer.operators import correlation, frequency, numeric, quantiles
 from assayer.plans import profiling
+from assayer.session import together
 
 
 @pytest.fixture(scope="module")
@@ -52,6 +54,37 @@ def test_quantiles_are_exact_on_every_path(df, frame, limits):
             assert found[i] == pytest.approx(frame[c].quantile(list(probs)).tolist(), rel=1e-12), c
 
 
+def test_a_long_table_needs_no_sketch(df, frame, monkeypatch):
+    """The bins of one pass bracket every quantile closely enough; a sketch is for bins with too many rows."""
+
+    def refused(*_):
+        raise AssertionError("sketched")
+
+    monkeypatch.setattr(quantiles, "_propose", refused)
+    names = ["skewed", "flat", "few"]
+    found = quantiles.exact_quantiles(df, names, limits=Limits(exact_rank_rows=100)).orderBy("ordinal").collect()
+    for c, r in zip(names, found, strict=True):
+        assert r["quantiles"] == pytest.approx(frame[c].quantile([0.25, 0.5, 0.75]).tolist(), rel=1e-12), c
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1e300, -1e300, 0.0, 5.0, -0.0, 1e-300],
+        [1.7e9 + i * 1e-6 for i in range(50)],
+        [-math.inf, 1.0, 2.0, 2.0, 3.0],
+        [1.0, 2.0, 2.0, 3.0, math.inf, math.inf],
+        [float(2**62), float(2**62) + 1024.0, -float(2**62)],
+        [-1e9] + [i / 64 for i in range(64)],
+    ],
+)
+def test_quantiles_of_odd_ranges(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    probs = tuple(k / (len(values) - 1) for k in range(len(values)))
+    found = quantiles.exact_quantiles(df, probs=probs, limits=Limits(exact_rank_rows=2)).first()["quantiles"]
+    assert found == sorted(values)
+
+
 def test_quartiles_interpolate(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (4,)], "v int")
     assert quantiles.exact_quantiles(df).first()["quantiles"] == [1.75, 2.5, 3.25]
@@ -139,6 +172,19 @@ def test_statistics_of_all_types(spark):
     assert tuple(total) == (6, 3, 3)
 
 
+def test_whole_numbers_are_counted_by_words(spark):
+    ends = [-(2**63), -(2**63) + 1, -65, -64, -63, -1, 0, 1, 63, 64, 65, 2**63 - 1]
+    df = spark.createDataFrame([(v,) for v in ends * 3 + [None] * 2], "v bigint").repartition(4)
+    found = frequency.column_stats(df).first()
+    assert (found["rows"], found["missing"], found["n_unique"]) == (38, 2, len(ends))
+    nothing = frequency.column_stats(spark.createDataFrame([(None,)], "v int")).first()
+    assert (nothing["rows"], nothing["missing"], nothing["n_unique"]) == (1, 1, 0)
+    dense = spark.range(6400)
+    shuffled = frequency._key_counts([(dense, {0: dense.schema["id"]})])
+    assert shuffled.first()["n_unique"] == 6400
+    assert "bit_or" in shuffled._jdf.queryExecution().executedPlan().toString()
+
+
 def test_statistics_of_an_empty_table(spark):
     found = frequency.column_stats(spark.createDataFrame([], "a int, b string")).collect()
     assert [(r["rows"], r["missing_pct"], r["n_unique"]) for r in found] == [(0, 0.0, 0)] * 2
@@ -199,3 +245,17 @@ def test_explore_all(spark):
     assert {r["dataset"]: r["rows"] for r in sections["overview"].collect()} == {"numbers": 3, "words": 2, "nothing": 0}
     assert {r["dataset"] for r in sections["observations"].collect()} == set(tables)
     assert {r["column"] for r in sections["quality"].where("dataset = 'nothing' and check = 'empty'").collect()} == {"q", "r"}
+
+
+def test_steps_run_together(spark):
+    met = threading.Barrier(2, timeout=30)
+    spark.sparkContext.setLocalProperty("assayer.test", "given")
+
+    def step(name):
+        met.wait()
+        return name, spark.sparkContext.getLocalProperty("assayer.test")
+
+    assert together(spark, lambda: step("a"), lambda: step("b")) == [("a", "given"), ("b", "given")]
+    with pytest.raises(ZeroDivisionError):
+        together(spark, lambda: 1 / 0, lambda: 1)
+    assert together(spark) == []
