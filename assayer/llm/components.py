@@ -9,20 +9,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.common import narrow
+from assayer.llm.common import BROADCAST_ROWS, narrow
 from assayer.session import pinned
 
 
 EDGES_PER_TASK = 20_000
+EDGES_AT_ONCE = BROADCAST_ROWS  # up to so many edges, 16 bytes each, one task names all components
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a, b); a component is named by its smallest node.
 
-    Alternates the large-star and the small-star operation until the edges are stars. All minima are aggregates that combine
-    in the map tasks, and they are stored before the edges are joined to them, so that Spark can split a hot node.
+    Up to ``EDGES_AT_ONCE`` edges are counted and then go to one task: every operation below takes several queries, whose
+    plans, stages and broadcasts all stay with the driver for a time, however small they are.
+
+    More edges alternate the large-star and the small-star operation until they are stars. All minima are aggregates that
+    combine in the map tasks, and they are stored before the edges are joined to them, so that Spark can split a hot node.
     """
-    edges = _stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v"))
+    edges = pinned(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v"))
+    if edges.count() <= EDGES_AT_ONCE:
+        return pinned(edges.coalesce(1).mapInArrow(_named, "node bigint, component bigint"))
+    edges = _stored(edges)
     seen = _fingerprint(edges)
     while seen[0]:
         # as many tasks as the edges need, whatever the number of shuffle partitions
@@ -42,6 +49,30 @@ def components(edges: DataFrame) -> DataFrame:
     return pinned(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots))
 
 
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component) for all nodes of the edges (u, v), which one task holds."""
+    held = [np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("u", "v")]) for b in batches if b.num_rows]
+    if not held:
+        return
+    nodes, at = np.unique(np.concatenate(held, axis=1), return_inverse=True)
+    u, v = at.reshape(2, -1)
+    names = smallest(len(nodes), u, v)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[names])], ["node", "component"])
+
+
+def smallest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """For each of 0 to n - 1 the smallest number connected with it by the edges (u, v)."""
+    names = np.arange(n)
+    while len(u):
+        a, b = names[u], names[v]
+        apart = a != b
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(names, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(names, shorter := names[names]):
+            names = shorter
+    return names
+
+
 def _stored(edges: DataFrame, tasks: int | None = None) -> DataFrame:
     found = edges.distinct()
     return pinned(found.coalesce(tasks) if tasks else found)

@@ -4,8 +4,9 @@ A document is the average of learned vectors, all hashed into one table: one for
 n-grams, one for every pair of neighbouring words, and one for the end. A softmax over two classes stands on top. Vectors and
 output weights are trained together by stochastic gradient descent in numpy, on a bounded sample of the labelled documents
 (``SAMPLE_ROWS``): half of it of each label, those whose hashed id is smallest, filled up from the other label where one has
-fewer. The sample is all that reaches the driver, as feature counts. The logit is moved by the shares that the labels have
-among all labelled documents, so a balanced sample doesn't make the rare label likelier than it is.
+fewer. One task gets the sample, as feature counts, and learns from it; only what it has learned, one number a feature, reaches
+the driver. The logit is moved by the shares that the labels have among all labelled documents, so a balanced sample doesn't
+make the rare label likelier than it is.
 
 The output is linear in the average, so a feature's part in the score is one number. Workers keep the sum of these numbers
 for the words they have met.
@@ -103,12 +104,12 @@ def trained(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], seed:
     vectors = draw.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (FEATURES, DIMENSIONS))
     output = np.zeros((DIMENSIONS, 2))
     steps, step = EPOCHS * len(bags), 0
-    shares = [(ids, counts / counts.sum()) for ids, counts in bags]
     for _ in range(EPOCHS):
         for i in draw.permutation(len(bags)):
             rate = RATE * (1 - step / steps)
             step += 1
-            ids, share = shares[i]
+            ids, counts = bags[i]
+            share = counts / counts.sum()
             hidden = share @ vectors[ids]
             logits = hidden @ output
             p = np.exp(logits - logits.max())
@@ -158,11 +159,11 @@ class Scorer:
         return float(1 / (1 + np.exp(-(total / (self.sizes[at].sum() + len(pairs) + 1) + self.prior))))
 
 
-def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list, list[int], float]:
-    """Feature counts and labels of at most ``rows`` labelled documents, and what the logit is moved by.
+def sampled(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[DataFrame | None, float]:
+    """(label, place, ids, counts) of at most ``rows`` labelled documents, and the logarithm of the ratio of all labels 1 to 0.
 
     Half of the rows have each label, in the order of their hashed ids; a label with fewer leaves its places to the other.
-    An id that repeats in ``documents`` counts once for each of its labels, by one of its texts.
+    An id that repeats in ``documents`` counts once for each of its labels, by one of its texts. None where a label is missing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,20 +177,41 @@ def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
     known = labels.where("label IN (0, 1) AND doc_id IS NOT NULL").distinct().withColumn("place", F.xxhash64("doc_id"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}  # two rows
     if len(sizes) < 2:
-        return [], [], 0.0
+        return None, 0.0
     first = min(sizes[0], max(rows // 2, rows - sizes[1]))
     take = {0: first, 1: min(sizes[1], rows - first)}
     chosen = [known.where(F.col("label") == k).orderBy("place", "doc_id").limit(n) for k, n in take.items()]
     found = documents.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("label", "place", "text")
     found = found.mapInArrow(run, "label int, place bigint, ids binary, counts binary")
-    table = found.groupBy("label", "place").agg(F.min(F.struct("ids", "counts")).alias("bag")).collect()
-    table.sort(key=lambda r: (r["place"], r["label"]))
-    bags = [(np.frombuffer(r["bag"]["ids"], "<i4"), np.frombuffer(r["bag"]["counts"], "<f4")) for r in table]
-    taught = Counter(r["label"] for r in table)
-    if len(taught) < 2:
+    found = found.groupBy("label", "place").agg(F.min(F.struct("ids", "counts")).alias("bag"))
+    return found.select("label", "place", "bag.ids", "bag.counts"), math.log(sizes[1] / sizes[0])
+
+
+def _bags(table: pa.Table) -> tuple[list, list[int], float]:
+    """Feature counts and labels of the rows of ``sampled``, in its order, and the logarithm of the ratio of their labels."""
+    table = table.sort_by([("place", "ascending"), ("label", "ascending")])
+    taught = table["label"].to_pylist()
+    ones = sum(taught)
+    if not 0 < ones < len(taught):
         return [], [], 0.0
-    prior = math.log(sizes[1] / sizes[0]) - math.log(taught[1] / taught[0])
-    return bags, [r["label"] for r in table], prior
+    ids, counts = ([np.frombuffer(b.as_buffer(), kind) for b in table[c]] for c, kind in (("ids", "<i4"), ("counts", "<f4")))
+    return list(zip(ids, counts, strict=True)), taught, math.log(ones / (len(taught) - ones))
+
+
+def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(parts, ratio): what is learned from the sample, and ``ratio`` as in ``_bags``; no row without both labels."""
+    held = [b for b in batches if b.num_rows]
+    bags, taught, ratio = _bags(pa.Table.from_batches(held)) if held else ([], [], 0.0)
+    if bags:
+        parts = pa.array([trained(bags, taught).astype("<f8").tobytes()], pa.binary())
+        yield pa.RecordBatch.from_arrays([parts, pa.array([ratio], pa.float64())], ["parts", "ratio"])
+
+
+def sample(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list, list[int], float]:
+    """Feature counts and labels of the sample, and what the logit is moved by. For looking at the sample: it comes to the driver."""
+    found, prior = sampled(documents, labels, rows)
+    bags, taught, ratio = _bags(found.toArrow()) if found is not None else ([], [], 0.0)
+    return bags, taught, prior - ratio if bags else 0.0
 
 
 def scored(
@@ -233,5 +255,11 @@ def filtered(
 
 def _fitted(rows: DataFrame, labels: DataFrame, label_id: str, label_column: str):
     known = picked(labels, doc_id=label_id, label=label_column).withColumn("label", F.col("label").cast("int"))
-    bags, taught, prior = sample(rows, known)
-    return rows.sparkSession.sparkContext.broadcast((trained(bags, taught), prior))
+    found, prior = sampled(rows, known)
+    parts, moved = np.zeros(FEATURES), 0.0
+    if found is not None:
+        # The sample is bounded, so one task can hold it. In the driver it would stand beside the plans of all that follows.
+        learned = found.repartition(1).mapInArrow(_learned, "parts binary, ratio double").first()
+        if learned:
+            parts, moved = np.frombuffer(learned["parts"], "<f8"), prior - learned["ratio"]
+    return rows.sparkSession.sparkContext.broadcast((parts, moved))

@@ -9,6 +9,7 @@ import pytest
 
 from assayer.llm import embedding_links, ngram_join
 from assayer.llm.components import components
+from assayer.session import pinned
 
 
 def classes(nodes, edges):
@@ -41,6 +42,22 @@ def test_components(spark, shape):
     assert len(found) == len(linked)
 
 
+
+@pytest.mark.parametrize("at_once", [0, 10_000])
+def test_components_of_few_edges_take_few_queries(spark, monkeypatch, at_once):
+    draw = random.Random(2)
+    nodes = [draw.randrange(-(1 << 62), 1 << 62) for _ in range(3000)]
+    edges = [(nodes[i], nodes[i + 1]) for i in range(2000)] + [(draw.choice(nodes[2001:]), draw.choice(nodes[2001:])) for _ in range(900)]
+    edges += edges[:500]
+    rows = spark.createDataFrame(edges, "a bigint, b bigint")
+    stored = []
+    monkeypatch.setattr("assayer.llm.components.EDGES_AT_ONCE", at_once)
+    monkeypatch.setattr("assayer.llm.components.pinned", lambda df: stored.append(df) or pinned(df))
+    found = components(rows).collect()
+    assert {r["node"]: r["component"] for r in found} == classes({n for e in edges if e[0] != e[1] for n in e}, edges)
+    assert len(stored) == 2 if at_once else len(stored) > 6
+
+
 def expected_vectors(rows):
     usable = {}
     for k, (_, v, label) in enumerate(rows):

@@ -3,6 +3,7 @@
 import bisect
 import hashlib
 import math
+import pickle
 import random
 import zlib
 from collections import Counter
@@ -303,3 +304,19 @@ def test_digest_index_stays(spark, tmp_path):
     small = again.compacted(f"{tmp_path}/small")
     assert sorted(map(tuple, small.rows().collect())) == sorted(map(tuple, again.rows().collect()))
     assert run(small, first, "one") == once
+
+
+def test_quality_sample_is_learned_from_outside_the_driver(spark, monkeypatch):
+    text = F.expr("concat_ws(' ', transform(sequence(0, 99), i -> hash(id, i)))").alias("text")
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), text)
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("quality"))
+    bags, taught, prior = quality.sample(docs, labels.withColumnRenamed("quality", "label"))
+    scorer = quality.Scorer(quality.trained(bags, taught), prior)
+    wanted = {r["doc_id"]: scorer.scores(pa.array([r["text"]]))[0] for r in docs.collect()}
+    came, kind = [], type(docs)
+    for name in ("collect", "toPandas", "toArrow"):
+        monkeypatch.setattr(kind, name, lambda self, f=getattr(kind, name): came.append(out := f(self)) or out)
+    found = quality.scored(docs, labels)
+    monkeypatch.undo()
+    assert sum(len(pickle.dumps(out)) for out in came) < 16 * quality.FEATURES  # the sample has several times that
+    assert {r["doc_id"]: r["score"] for r in found.collect()} == wanted
