@@ -391,8 +391,7 @@ def connected(members: DataFrame, percent: int, exact: bool) -> DataFrame:
         _blocks_for(F.count(F.lit(1)), F.sum(length)).alias("n"),
         _blocks_for(F.count_if(outside), F.coalesce(F.sum(F.when(outside, length)), F.lit(0))).alias("rest"),
     )
-    own, near = pinned(classes), _neighbours(classes)
-    split = split.join(narrow(own), ["family", "class"]).join(narrow(pinned(near)), ["family", "class"])
+    split = split.join(narrow(pinned(_neighbours(classes))), ["family", "class"])  # one look-up for each row
     x, y = (F.col("class") * CLASS_CODES + F.pmod(F.xxhash64("doc_id"), F.col(c)) for c in ("rest", "n"))
     left = split.where(outside).withColumns({"x": x, "side": F.lit(0)}).withColumn("y", F.explode("blocks_near"))
     right = split.withColumns({"x": F.explode("parts_near"), "own": F.when(outside, x)})
@@ -413,17 +412,23 @@ def _size_class(size: str, percent: int) -> Column:
 
 
 def _neighbours(classes: DataFrame) -> DataFrame:
-    """For each class of a family, the numbers of the blocks (``n``) and of the parts outside (``rest``) in it and next to it."""
+    """For each class of a family its blocks (``n``) and parts outside (``rest``), and the numbers of those in it and next to it.
+
+    Only classes with a part outside in or next to them: no others are compared.
+    """
 
     def numbers(count: str) -> Column:
         base = F.col("class") * CLASS_CODES
         some = F.transform(F.sequence(F.lit(0), F.col(count) - 1), lambda i: base + i)
         return F.when(F.col(count) > 0, some).otherwise(F.array().cast("array<bigint>"))
 
-    found = classes.select("family", "class", numbers("n").alias("blocks_near"), numbers("rest").alias("parts_near"))
-    found = found.withColumn("class", F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)])))
+    found = classes.select("*", numbers("n").alias("blocks_near"), numbers("rest").alias("parts_near"))
+    found = found.withColumn("step", F.explode(F.array(*map(F.lit, (-1, 0, 1)))))
+    found = found.withColumn("class", F.col("class") + F.col("step"))
+    own = [F.max(F.when(F.col("step") == 0, F.col(c))).alias(c) for c in ("n", "rest")]
     lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("blocks_near", "parts_near")]
-    return found.groupBy("family", "class").agg(*lists)
+    near = found.groupBy("family", "class").agg(*own, *lists)
+    return near.where(F.col("n").isNotNull() & (F.size("parts_near") > 0))
 
 
 def candidates(signed: DataFrame, percent: int) -> DataFrame:

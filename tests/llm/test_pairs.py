@@ -281,3 +281,17 @@ def test_overlaps_of_few_and_many(monkeypatch):
         monkeypatch.setattr(ngram_join, "LIGHT", light)
         monkeypatch.setattr(ngram_join, "COLUMNS", 7)
         assert ngram_join.overlaps(left, right).tolist() == want
+
+
+def test_classes_near_a_part_outside(spark):
+    rows = [(1, 5, 3, 0), (1, 6, 2, 2), (1, 7, 1, 0), (1, 8, 4, 0), (2, 5, 9, 0)]
+    found = ngram_join._neighbours(spark.createDataFrame(rows, "family bigint, class bigint, n int, rest int")).collect()
+    code = ngram_join.CLASS_CODES
+    numbers = {c: [c * code + i for i in range(n)] for f, c, n, _ in rows if f == 1}
+    have = {(r["family"], r["class"]): (r["n"], r["rest"], sorted(r["blocks_near"]), sorted(r["parts_near"])) for r in found}
+    parts = [6 * code, 6 * code + 1]
+    assert have == {
+        (1, 5): (3, 0, numbers[5] + numbers[6], parts),
+        (1, 6): (2, 2, numbers[5] + numbers[6] + numbers[7], parts),
+        (1, 7): (1, 0, numbers[6] + numbers[7] + numbers[8], parts),
+    }
