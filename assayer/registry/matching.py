@@ -187,8 +187,7 @@ def embeddings(spark, folder):
     """No SQL: the tests hold the singular values and the space against a full decomposition."""
     counts, packed, model = text_model(spark, folder)
     removed(counts, model.terms)
-    found, values = text_vectors.embedded(packed, DIMENSIONS)
-    removed(packed)
+    found, values = text_vectors.embedded(packed, DIMENSIONS, spent=True)
     strengths = F.array(*[F.lit(v) for v in values])
     return found.select(F.col("id").alias("doc_id"), "embedding", strengths.alias("singular_values"))
 

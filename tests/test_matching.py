@@ -4,6 +4,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -420,6 +421,45 @@ def test_embeddings_with_rare_terms(spark, monkeypatch):
     assert kept
 
 
+def test_embeddings_in_blocks_leave_no_tables(spark, monkeypatch):
+    """Terms in every task, in several blocks, and in one text only; some ids null. Passes leave nothing but the result."""
+    for name, value in {"PASSES": 2, "COMMON_ROWS": 12, "BLOCK_TERMS": 8, "BLOCK_POSTINGS": 90, "_BUCKET": 4, "_CHUNK": 5, "_BUCKET_TEXTS": 10}.items():
+        monkeypatch.setattr(text_vectors, name, value, raising=False)
+    rows = [(i, f"{t or ''} own{i} {'mine' * (i % 3)}{i}") for i, t in corpus()]
+    packed, _ = built(spark, [*rows, (None, "t1w1 c1 c2 lonely")])
+    packed = text_vectors.pinned(packed)
+    folder = Path(packed.inputFiles()[0].removeprefix("file://")).parents[1]
+    before = set(folder.iterdir())
+    found, values = text_vectors.embedded(packed, 4)
+    vectors = {r["id"]: r["embedding"] for r in found.collect()}
+    assert len(set(folder.iterdir()) - before) == 2  # its own form of the vectors, and the result
+    assert not spark.catalog.listTables()
+    weights = defaultdict(dict)
+    for r in packed.collect():
+        weights[r["id"]][r["term_id"]] = r["weight"]
+    ids = list(weights)
+    full = np.array([[weights[i].get(t, 0.0) for t in range(1 + max(map(max, weights.values())))] for i in ids])
+    u, s, _ = np.linalg.svd(full, full_matrices=False)
+    assert values == pytest.approx(s[:4].tolist(), rel=0.01)
+    assert vectors.keys() == weights.keys()
+    # the same passes over the whole matrix at once
+    basis = text_vectors._start(np.arange(full.shape[1]), 14, 7)
+    for _ in range(3):
+        basis = np.linalg.qr(full.T @ (full @ basis))[0]
+    u, s, _ = np.linalg.svd(full @ basis, full_matrices=False)
+    assert values == pytest.approx(s[:4].tolist(), rel=1e-9)
+    mine, best = np.array([vectors[i] for i in ids]), u[:, :4] * s[:4]
+    assert np.abs(mine @ mine.T - best @ best.T).max() < 1e-9
+
+
+def test_decomposition_starts_from_hashes(spark):
+    terms = np.array([0, 1, 77, 250_000, 3_000_000_000])
+    uniform = "pmod(xxhash64(7, {0}, {1}, id), 1048576) / 524288D - 1"
+    sums = [F.expr(" + ".join(uniform.format(i, j) for j in range(4))) for i in range(3)]
+    want = spark.createDataFrame([(int(t),) for t in terms], "id bigint").select(F.array(*sums).alias("row")).collect()
+    assert text_vectors._start(terms, 3, 7) == pytest.approx(np.array([r["row"] for r in want]))
+
+
 @pytest.mark.parametrize("common", [0, 12])
 def test_naive_bayes_with_rare_terms(spark, monkeypatch, common):
     monkeypatch.setattr(models, "COMMON_WEIGHTS", common)
