@@ -12,7 +12,7 @@ from assayer.matching import models, pairs, skills, text_vectors
 from assayer.matching.score import WEIGHTS, match_scores
 from assayer.registry.catalog import query
 from assayer.registry.inputs import stored
-from assayer.session import pinned, removed
+from assayer.session import lean, pinned, removed
 
 PERCENT = 3  # of a job's skills that a pair shares at least
 TOP = 10
@@ -185,7 +185,8 @@ def cosine_top(spark, folder):
 @query("j5_embeddings")
 def embeddings(spark, folder):
     """No SQL: the tests hold the singular values and the space against a full decomposition."""
-    counts, packed, model = text_model(spark, folder)
+    with lean(spark):
+        counts, packed, model = text_model(spark, folder)
     removed(counts, model.terms)
     found, values = text_vectors.embedded(packed, DIMENSIONS, spent=True)
     strengths = F.array(*[F.lit(v) for v in values])
